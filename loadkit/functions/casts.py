@@ -22,22 +22,28 @@ FLOAT = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 METRIC = r"-?[0-9]+"
 YEAR_MONTH = r"[0-9]{4}-[0-9]{2}"
 
-# (pattern of the trimmed text, Spark date format)
-DATE_FORMS = [
-    (r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}", "yyyy-M-d"),
-    (r"[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}", "yyyy/M/d"),
-    (r"[0-9]{8}", "yyyyMMdd"),
-    (r"[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", "M/d/yyyy"),
-    (r"[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}", "M-d-yyyy"),
-    (r"[A-Za-z]{3} [0-9]{1,2} [0-9]{4}", "MMM d yyyy"),
-    (r"[A-Za-z]{4,} [0-9]{1,2} [0-9]{4}", "MMMM d yyyy"),
-    (r"[0-9]{1,2} [A-Za-z]{3} [0-9]{4}", "d MMM yyyy"),
-    (r"[0-9]{1,2} [A-Za-z]{4,} [0-9]{4}", "d MMMM yyyy"),
-    (r"[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}", "d-MMM-yyyy"),
+MONTH_NAMES = (
+    "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?|oct(?:ober)?"
+    "|nov(?:ember)?|dec(?:ember)?"
+)
+MONTH_INDEX = "janfebmaraprmayjunjulaugsepoctnovdec"
+NAMED_DATE = (
+    rf"(?i)^(?:({MONTH_NAMES})[ ]+([0-9]{{1,2}})(?:,[ ]*|[ ]+)([0-9]{{4}})"
+    rf"|([0-9]{{1,2}})[ -]({MONTH_NAMES})[ -]([0-9]{{4}}))(?=\z|[T ])"
+)
+# Rewrites towards yyyy-M-d, one space before the time, none before the zone, and seconds.
+DATE_REWRITES = [
+    (r"^([0-9]{4})([0-9]{2})([0-9]{2})(?=\z|[T ])", "$1-$2-$3"),
+    (r"^([0-9]{1,2})([/-])([0-9]{1,2})\2([0-9]{4})(?=\z|[T ])", "$4-$1-$3"),
+    (r"^([0-9]{4})/([0-9]{1,2})/", "$1-$2-"),
+    (r"^([0-9-]+)(?:T\s*|\s+)(?=[0-9])", "$1 "),
+    (r"(?i)(?<=[0-9])\s*(?:z|utc|gmt)\z", "Z"),
+    (r"(?<=:[0-9]{2})\s+(?=[+-])", ""),
+    (r"^([0-9-]+ [0-9]{1,2}:[0-9]{2})(?=\z|[Z+-])", "$1:00"),
 ]
-TIME_TAIL = (
-    r"^(.*?[0-9])[T ]\s*([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(\.[0-9]+)?)?"
-    r"\s*(Z|z|UTC|utc|GMT|gmt|[+-][0-9]{1,2}(?::?[0-9]{2})?)?\z"
+STAMP = (
+    r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})"
+    r"(?: [0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]+)?)?(?:Z|[+-][0-9]{1,2}(?::?[0-9]{2})?)?)?\z"
 )
 
 
@@ -54,17 +60,15 @@ def to_bool_loose(c: Column | str) -> Column:
 def _integer(c: Column, spark_type: str) -> Column:
     t = _space_trimmed(c)
     digits = F.regexp_replace(F.lower(t), r"^[+-]?0[xob]_*0*|_", "")
-    sign = F.when(F.startswith(t, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
-    # At most 63 bits are handed to `conv`; anything longer is out of range for both types.
-    based = (
-        F.when(F.rlike(F.lower(t), F.lit("0x")) & (F.length(digits) <= 15), F.conv(digits, 16, 10))
-        .when(F.rlike(F.lower(t), F.lit("0o")) & (F.length(digits) <= 20), F.conv(digits, 8, 10))
-        .when(F.rlike(F.lower(t), F.lit("0b")) & (F.length(digits) <= 62), F.conv(digits, 2, 10))
-    )
-    based = F.when(digits == "", F.lit("0")).otherwise(based)
-    text = F.when(full_match(t, DEC_INT), F.replace(t, F.lit("_"), F.lit(""))).when(
-        full_match(t, BASED_INT), F.concat(sign, based)
+    bits = F.when(F.rlike(t, F.lit("0[xX]")), 4).when(F.rlike(t, F.lit("0[oO]")), 3).otherwise(1)
+    # At most 62 bits reach `conv`; anything longer is out of range for the smaller type, and is
+    # taken to be for the larger one too.
+    number = F.when(
+        F.length(digits) * bits <= 62,
+        F.call_function("conv", F.concat(F.lit("0"), digits), F.call_function("shiftleft", F.lit(1), bits), F.lit(10)),
     )
+    based = F.concat(F.when(F.startswith(t, F.lit("-")), F.lit("-")).otherwise(F.lit("")), number)
+    text = F.when(full_match(t, DEC_INT), F.replace(t, F.lit("_"), F.lit(""))).when(full_match(t, BASED_INT), based)
     return text.try_cast(spark_type)
 
 
@@ -81,16 +85,10 @@ def to_bigint_loose(c: Column | str) -> Column:
 def to_double_loose(c: Column | str) -> Column:
     """T9. Values too large or too small for a double are NULL, not infinity or zero."""
     t = _space_trimmed(col(c))
-    number = F.when(full_match(t, FLOAT), t.try_cast("double"))
-    underflow = (number == 0) & F.rlike(t, F.lit(r"^[+-]?[0-9.]*[1-9]"))
-    finite = F.when(~number.isin(float("inf"), float("-inf")) & ~underflow, number)
-    word = F.lower(t)
-    return (
-        F.when(full_match(word, r"\+?inf(?:inity)?"), F.lit(float("inf")))
-        .when(full_match(word, r"-inf(?:inity)?"), F.lit(float("-inf")))
-        .when(full_match(word, r"[+-]?nan"), F.lit(float("nan")))
-        .otherwise(finite)
-    )
+    number = F.regexp_extract(t, rf"\A(?:{FLOAT})\z", 0).try_cast("double")
+    lost = (F.abs(number) == float("inf")) | ((number == 0) & F.rlike(t, F.lit(r"^[+-]?[0-9.]*[1-9]")))
+    word = F.regexp_extract(F.lower(t), r"\A(?:[+-]?inf(?:inity)?|nan)\z", 0).try_cast("double")
+    return F.coalesce(F.when(~lost, number), word)
 
 
 def to_numeric_loose(c: Column | str) -> Column:
@@ -100,49 +98,40 @@ def to_numeric_loose(c: Column | str) -> Column:
     return F.when(full_match(plain, FLOAT), plain.try_cast("decimal(38,18)"))
 
 
-def _date_part(t: Column) -> Column:
-    t = F.regexp_replace(F.regexp_replace(t, ",", " "), r"\s+", " ")
-    chosen = F.lit(None).cast("date")
-    for pattern, form in reversed(DATE_FORMS):
-        chosen = F.when(full_match(t, pattern), F.try_to_date(t, form)).otherwise(chosen)
-    return chosen
+def _iso(c: Column) -> Column:
+    """Known spellings of a date, perhaps with a time, towards ISO; other text stays as it is."""
+    t = _space_trimmed(c)
+
+    def part(i: int, j: int) -> Column:
+        return F.concat(F.regexp_extract(t, NAMED_DATE, i), F.regexp_extract(t, NAMED_DATE, j))
+
+    month = (F.instr(F.lit(MONTH_INDEX), F.lower(F.substring(part(1, 5), 1, 3))) + F.lit(2)) / F.lit(3)
+    named = F.concat(part(3, 6), F.lit("-"), month.cast("int"), F.lit("-"), part(2, 4), F.regexp_replace(t, NAMED_DATE, ""))
+    iso = F.when(F.rlike(t, F.lit(NAMED_DATE)), named).otherwise(t)
+    for pattern, form in DATE_REWRITES:
+        iso = F.regexp_replace(iso, pattern, form)
+    return iso
+
+
+def _fast(c: Column, fast: str, kind: str, slow: Column) -> Column:
+    """The usual spelling is cast as it stands."""
+    return F.when(F.rlike(c, F.lit(fast)), c.try_cast(kind)).otherwise(slow)
 
 
 def to_date_loose(c: Column | str) -> Column:
     """T11. A time and zone after the date are checked and dropped."""
-    t = _space_trimmed(col(c))
-    timed = F.rlike(t, F.lit(TIME_TAIL))
-    return F.when(timed & to_timestamptz_loose(t).isNotNull(), _date_part(F.regexp_extract(t, TIME_TAIL, 1))).when(
-        ~timed, _date_part(t)
-    )
+    c = col(c)
+    iso = _iso(c)
+    day = F.regexp_extract(iso, STAMP, 1).try_cast("date")
+    slow = F.when(F.regexp_extract(iso, STAMP, 0).try_cast("timestamp").isNotNull(), day)
+    return _fast(c, r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z", "date", slow)
 
 
 def to_timestamptz_loose(c: Column | str) -> Column:
     """T12. Text without a zone is UTC; a bare date is midnight."""
-    t = _space_trimmed(col(c))
-    timed = F.rlike(t, F.lit(TIME_TAIL))
-    day = _date_part(F.when(timed, F.regexp_extract(t, TIME_TAIL, 1)).otherwise(t))
-    hour, minute, second, fraction, zone = (F.regexp_extract(t, TIME_TAIL, i) for i in range(2, 7))
-    offset = F.regexp_extract(zone, r"^[+-][0-9]{1,2}", 0)
-    offset_minute = F.regexp_extract(zone, r"^[+-][0-9]{1,2}:?([0-9]{2})\z", 1)
-    zone_text = F.when(offset == "", F.lit("Z")).otherwise(
-        F.concat(
-            F.substring(offset, 1, 1),
-            F.lpad(F.substring(offset, 2, 2), 2, "0"),
-            F.lit(":"),
-            F.when(offset_minute == "", F.lit("00")).otherwise(offset_minute),
-        )
-    )
-    clock = F.concat(
-        F.lpad(hour, 2, "0"),
-        F.lit(":"),
-        minute,
-        F.lit(":"),
-        F.when(second == "", F.lit("00")).otherwise(second),
-        F.substring(fraction, 1, 7),
-    )
-    stamp = F.concat(day.cast("string"), F.lit("T"), clock, zone_text).try_cast("timestamp")
-    return F.when(timed, stamp).otherwise(day.cast("timestamp"))
+    c = col(c)
+    slow = F.regexp_extract(_iso(c), STAMP, 0).try_cast("timestamp")
+    return _fast(c, r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:T[0-9]{2}:[0-9]{2}:[0-9]{2}Z)?\z", "timestamp", slow)
 
 
 LOOSE = {

@@ -17,27 +17,20 @@ def _trimmed(name: str = "txt") -> str:
 def _integer(kind: str) -> str:
     t = _trimmed()
     digits = rf"regexp_replace(lower({t}), r'^[+-]?0[xob]_*0*|_', '')"
-    based = rf"""CASE WHEN {digits} = '' THEN '0'
-        WHEN rlike(lower({t}), '0x') AND length({digits}) <= 15 THEN conv({digits}, 16, 10)
-        WHEN rlike(lower({t}), '0o') AND length({digits}) <= 20 THEN conv({digits}, 8, 10)
-        WHEN rlike(lower({t}), '0b') AND length({digits}) <= 62 THEN conv({digits}, 2, 10) END"""
+    bits = rf"CASE WHEN rlike({t}, '0[xX]') THEN 4 WHEN rlike({t}, '0[oO]') THEN 3 ELSE 1 END"
+    number = f"CASE WHEN length({digits}) * {bits} <= 62 THEN conv(concat('0', {digits}), shiftleft(1, {bits}), 10) END"
     return rf"""try_cast(CASE
         WHEN rlike({t}, r'\A(?:{casts.DEC_INT})\z') THEN replace({t}, '_', '')
         WHEN rlike({t}, r'\A(?:{casts.BASED_INT})\z')
-        THEN concat(CASE WHEN startswith({t}, '-') THEN '-' ELSE '' END, {based}) END AS {kind})"""
+        THEN concat(CASE WHEN startswith({t}, '-') THEN '-' ELSE '' END, {number}) END AS {kind})"""
 
 
 def _double() -> str:
     t = _trimmed()
-    number = f"try_cast({t} AS double)"
-    return rf"""CASE
-        WHEN rlike(lower({t}), r'\A\+?inf(?:inity)?\z') THEN double('Infinity')
-        WHEN rlike(lower({t}), r'\A-inf(?:inity)?\z') THEN double('-Infinity')
-        WHEN rlike(lower({t}), r'\A[+-]?nan\z') THEN double('NaN')
-        WHEN NOT rlike({t}, r'\A(?:{casts.FLOAT})\z') THEN NULL
-        WHEN {number} IN (double('Infinity'), double('-Infinity')) THEN NULL
-        WHEN {number} = 0 AND rlike({t}, r'^[+-]?[0-9.]*[1-9]') THEN NULL
-        ELSE {number} END"""
+    number = rf"try_cast(regexp_extract({t}, r'\A(?:{casts.FLOAT})\z', 0) AS double)"
+    lost = rf"abs({number}) = double('Infinity') OR ({number} = 0 AND rlike({t}, r'^[+-]?[0-9.]*[1-9]'))"
+    word = rf"try_cast(regexp_extract(lower({t}), r'\A(?:[+-]?inf(?:inity)?|nan)\z', 0) AS double)"
+    return f"coalesce(CASE WHEN NOT ({lost}) THEN {number} END, {word})"
 
 
 def _numeric() -> str:
@@ -45,33 +38,26 @@ def _numeric() -> str:
     return rf"CASE WHEN rlike({plain}, r'\A(?:{casts.FLOAT})\z') THEN try_cast({plain} AS decimal(38,18)) END"
 
 
-def _date_part(t: str) -> str:
-    t = rf"regexp_replace(regexp_replace({t}, ',', ' '), r'\s+', ' ')"
-    arms = "\n".join(rf"WHEN rlike({t}, r'\A(?:{p})\z') THEN try_to_date({t}, '{f}')" for p, f in casts.DATE_FORMS)
-    return f"CASE {arms} END"
+def _iso() -> str:
+    t = _trimmed()
 
+    def part(i: int, j: int) -> str:
+        return f"concat(regexp_extract({t}, r'{casts.NAMED_DATE}', {i}), regexp_extract({t}, r'{casts.NAMED_DATE}', {j}))"
 
-def _timestamp() -> str:
-    t = _trimmed()
+    month = f"cast((instr('{casts.MONTH_INDEX}', lower(substring({part(1, 5)}, 1, 3))) + 2) / 3 AS int)"
+    named = f"concat({part(3, 6)}, '-', {month}, '-', {part(2, 4)}, regexp_replace({t}, r'{casts.NAMED_DATE}', ''))"
+    iso = f"CASE WHEN rlike({t}, r'{casts.NAMED_DATE}') THEN {named} ELSE {t} END"
+    for pattern, form in casts.DATE_REWRITES:
+        iso = f"regexp_replace({iso}, r'{pattern}', '{form}')"
+    return iso
 
-    def part(i: int) -> str:
-        return f"regexp_extract({t}, r'{casts.TIME_TAIL}', {i})"
 
-    minute = rf"regexp_extract({part(6)}, r'^[+-][0-9]{{1,2}}:?([0-9]{{2}})\z', 1)"
-    offset = rf"regexp_extract({part(6)}, r'^[+-][0-9]{{1,2}}', 0)"
-    zone = f"""CASE WHEN {offset} = '' THEN 'Z' ELSE concat(substring({offset}, 1, 1), lpad(substring({offset}, 2, 2), 2, '0'),
-        ':', CASE WHEN {minute} = '' THEN '00' ELSE {minute} END) END"""
-    clock = f"""concat(lpad({part(2)}, 2, '0'), ':', {part(3)}, ':',
-        CASE WHEN {part(4)} = '' THEN '00' ELSE {part(4)} END, substring({part(5)}, 1, 7))"""
-    stamp = f"try_cast(concat(cast({_date_part(part(1))} AS string), 'T', {clock}, {zone}) AS timestamp)"
-    return f"CASE WHEN rlike({t}, r'{casts.TIME_TAIL}') THEN {stamp} ELSE cast({_date_part(t)} AS timestamp) END"
+def _timestamp() -> str:
+    return f"try_cast(regexp_extract({_iso()}, r'{casts.STAMP}', 0) AS timestamp)"
 
 
 def _date() -> str:
-    t = _trimmed()
-    head = _date_part(f"regexp_extract({t}, r'{casts.TIME_TAIL}', 1)")
-    return f"""CASE WHEN NOT rlike({t}, r'{casts.TIME_TAIL}') THEN {_date_part(t)}
-        WHEN to_timestamptz_loose(txt) IS NOT NULL THEN {head} END"""
+    return f"CASE WHEN {_timestamp()} IS NOT NULL THEN try_cast(regexp_extract({_iso()}, r'{casts.STAMP}', 1) AS date) END"
 
 
 def _jsonb() -> str:

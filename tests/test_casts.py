@@ -59,7 +59,8 @@ def test_date(column):
         ("Jan 2 2020", d(2020, 1, 2)), ("January 2, 2020", d(2020, 1, 2)), ("2 Jan 2020", d(2020, 1, 2)),
         ("1/2/2020", d(2020, 1, 2)), ("2020/01/02", d(2020, 1, 2)), ("2020-02-30", None), ("junk", None), ("", None),
         ("2020-01-02T23:00:00Z", d(2020, 1, 2)), ("2020-01-02 23:00:00-05", d(2020, 1, 2)), ("2020-01-02T99:00:00Z", None),
-        (" 2020-01-02 ", d(2020, 1, 2)), ("12:00", None), (None, None),
+        (" 2020-01-02 ", d(2020, 1, 2)), ("12:00", None), (None, None), ("02-Jan-2020", d(2020, 1, 2)), ("Sept 3 2021", d(2021, 9, 3)),
+        ("3 december 2021", d(2021, 12, 3)), ("Janx 2 2020", None), ("1-2-2020", d(2020, 1, 2)), ("1/2-2020", None), ("2020-13-01", None),
     ])
 
 
@@ -69,7 +70,9 @@ def test_timestamp(texts):
         ("2010-06-28 10:11", "2010-06-28 10:11:00"), ("2010-06-28T10:11:12.5+02:00", "2010-06-28 08:11:12.5"),
         ("2010-06-28T10:11:12-0330", "2010-06-28 13:41:12"), ("2010-06-28T10:11:12+1", "2010-06-28 09:11:12"),
         ("2010", None), ("junk", None), ("", None), (None, None), ("20100628", "2010-06-28 00:00:00"),
-        ("2010-06-28T25:00:00Z", None),
+        ("2010-06-28T25:00:00Z", None), ("2010-06-28 10:11:12 +02:00", "2010-06-28 08:11:12"), ("2010-06-28 10:11:12 UTC", "2010-06-28 10:11:12"),
+        ("June 28, 2010 7:05", "2010-06-28 07:05:00"), ("6/28/2010 07:05:01z", "2010-06-28 07:05:01"), ("2010-06-28T", None), ("2010-06-28T10", None),
+        ("2010-06-28 10:11+02", "2010-06-28 08:11:00"), ("2010-06-28 1:11 -0130", "2010-06-28 02:41:00"),
     ]
     frame = texts([k for k, _ in cases]).select("i", casts.to_timestamptz_loose("x").cast("string").alias("y"))
     got = [r.y for r in sorted(frame.collect(), key=lambda r: r.i)]
