@@ -281,6 +281,11 @@ def split_json_list(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("pos"),
         F.make_valid_utf8("value").alias("line"),
     )
+    return join_list_parts(parts)
+
+
+def join_list_parts(parts: DataFrame) -> DataFrame:
+    """Elements of JSON lists cut at every comma (rows as for `reassemble`)."""
     records = reassemble(parts, inside=",", nested=",", keep_returns=True, opener="[", keep_blank=True)
     records = stage(records.withColumn("ok", is_valid_json("record")), "elements")
     # The closing bracket is still on the last element, the only one that is not valid as it stands.

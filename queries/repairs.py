@@ -1,0 +1,271 @@
+"""File scans and repairs."""
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from loadkit import sinks
+from loadkit.functions.json import json_text, parse_records
+from loadkit.operators import damage, jsonish, ragged, reassemble
+from loadkit.operators.quality import repair_metrics
+from loadkit.plans import repairs
+from loadkit.sources import number_lines, scan_csv, scan_lines
+from loadkit.sources.json_list import explode_json_list
+from queries import query
+from queries.scalars import pick
+from queries.tables import folder
+
+BS = "chr(92)"
+
+
+def as_json(column, newline=f"{BS} || 'n'"):
+    """SQL for a JSON string of a column, its line breaks escaped or left as they are."""
+    escaped = f"""replace(replace({column}, {BS}, {BS} || {BS}), '"', {BS} || '"')"""
+    return f"""'"' || replace({escaped}, chr(10), {newline}) || '"'"""
+
+
+# B1, B2, B4, B6 over lines built from part.
+
+@query("csv_split", """
+    SELECT p_partkey, 4 AS n, CAST(p_partkey AS VARCHAR) AS f0, '[' || p_brand || ',' || p_size || ']' AS f1,
+           '"' || p_name || ', ' || p_type || '"' AS f2, '{"a":[1,2],"b":"]"}' AS f3 FROM part""")
+def _(t, spark):
+    line = "p_partkey || ',[' || p_brand || ',' || p_size || '],\"' || p_name || ', ' || p_type || '\",{\"a\":[1,2],\"b\":\"]\"}'"
+    cut = t("part").select("p_partkey", F.expr(line).alias("line")).withColumn("f", ragged.split_fields("line"))
+    return cut.select("p_partkey", F.size("f").alias("n"), *[F.get("f", F.lit(i)).alias(f"f{i}") for i in range(4)])
+
+
+RAGGED = [
+    "p_partkey || ',\"' || p_name || '\",' || p_brand", "p_partkey || ',' || p_name || ',' || p_brand || ',more,[1,2]'", "p_partkey || ',' || p_name",
+    "p_partkey || ',\"\",  '", "p_partkey || ', \"say \"\"' || p_name || '\"\"\" ,x'",
+]
+
+
+@query("ragged_repair", f"""
+    SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS id,
+           {pick('p_partkey', 'p_name', 'p_name', 'p_name', "''", "'say \"' || p_name || '\"'")} AS name,
+           {pick('p_partkey', 'p_brand', "p_brand || ',more,[1,2]'", 'NULL', 'NULL', "'x'")} AS brand,
+           p_partkey % 5 IN (1, 2) AS repaired FROM part""")
+def _(t, spark):
+    lines = t("part").select("p_partkey", F.expr(pick("p_partkey", *RAGGED)).alias("line"))
+    fitted = ragged.fit_lines(lines, ["id", "name", "brand"])
+    bound = ragged.bind_fields(fitted, ["id", "name", "brand"], ["p_partkey", "repaired"])
+    return bound.select("p_partkey", "repaired", *[ragged.field_text(c).alias(c) for c in ["id", "name", "brand"]])
+
+
+@query("ragged_sink", f"""
+    SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS id, {pick('p_partkey', 'p_name', "p_name || ',extra'")} AS name, p_brand AS brand FROM part""")
+def _(t, spark):
+    line = F.expr(pick("p_partkey", "p_partkey || ',' || p_name || ',' || p_brand", "p_partkey || ',' || p_name || ',' || p_brand || ',extra'"))
+    fitted = ragged.fit_lines(t("part").select("p_partkey", line.alias("line")), ["id", "name", "brand"], "name")
+    return ragged.bind_fields(fitted, ["id", "name", "brand"], ["p_partkey"])
+
+
+@query("repair_metrics", """
+    SELECT count(*) AS rows, CAST(count(*) FILTER (WHERE p_partkey % 5 IN (1, 2)) AS BIGINT) AS repaired FROM part""")
+def _(t, spark):
+    lines = t("part").select(F.expr(pick("p_partkey", *RAGGED)).alias("line"))
+    return repair_metrics(ragged.fit_lines(lines, ["id", "name", "brand"]), repaired=F.col("repaired"))
+
+
+Q = "chr(39)"
+
+
+@query("jsonish_column", f"""
+    SELECT p_partkey, {pick('p_partkey', "'[\"' || p_name || '\",null,true]'", "'{\"k\":' || p_size || '}'", 'NULL', 'NULL',
+    "'\"' || p_name || '\"'", 'NULL', "'\"[' || p_name || '\"'", "'[' || p_size || ',2]'")} AS value, p_partkey % 8 = 5 AS bad FROM part""")
+def _(t, spark):
+    x = pick("p_partkey", f"'[' || {Q} || p_name || {Q} || ', None, True]'", "'{\"k\": ' || p_size || '}'", "'None'", "'  '", "p_name",
+             "'{' || p_size || ', -1}'", "'[' || p_name", "'\"[' || p_size || ', 2]\"'")
+    done = jsonish.parse_jsonish(t("part").select("p_partkey", F.expr(x).alias("x")), ["x"])
+    return done.select("p_partkey", json_text(F.parse_json("x")).alias("value"), F.col("jsonish_bad").alias("bad"))
+
+
+# B7-B10 over the documents, whole texts.
+
+def document_parts(t, delimiter, text):
+    """One 'file' per document, cut at a delimiter."""
+    rows = t("documents").select(F.col("doc_id").cast("string").alias("file"), F.expr(text).alias("whole"))
+    return rows.select("file", F.lit(0).cast("long").alias("block"), F.posexplode(F.split("whole", delimiter)).alias("pos", "line"))
+
+
+BROKEN = "'{\"doc_id\": ' || doc_id || ',' || chr(10) || '\"text\": ' || " + as_json("text", "chr(10)") + " || '}' || chr(10) || '{\"doc_id\": 0}'"
+
+
+@query("record_reassembly", """
+    SELECT CAST(doc_id AS VARCHAR) AS file, CAST(0 AS BIGINT) AS idx, CAST(doc_id AS VARCHAR) AS doc_id, text,
+           CAST(length(text) - length(replace(text, chr(10), '')) AS BIGINT) AS newlines FROM documents
+    UNION ALL SELECT CAST(doc_id AS VARCHAR), 2 + length(text) - length(replace(text, chr(10), '')), '0', NULL, 0 FROM documents""")
+def _(t, spark):
+    records = reassemble.reassemble(document_parts(t, "\n", BROKEN))
+    parsed = parse_records(records, ["doc_id", "text"], line="record")
+    return parsed.select("file", "idx", "rec.doc_id", "rec.text", "newlines")
+
+
+DAMAGED = "'{\"doc_id\": ' || doc_id || ', \"description\": ' || " + as_json("text") + " || '}'"
+
+
+@query("escape_repair", """SELECT doc_id, 'x41 ' || chr(92) || 'd ' || text AS text FROM documents""")
+def _(t, spark):
+    body = "replace(" + DAMAGED + ", '\"description\": \"', '\"description\": \"' || chr(92) || 'x41' || chr(1) || ' ' || chr(92) || 'd ')"
+    fixed = t("documents").select("doc_id", damage.sanitize(F.expr(body)).alias("line"))
+    return parse_records(fixed, ["description"]).select("doc_id", F.col("rec.description").alias("text"))
+
+
+QUOTED = "replace(" + DAMAGED + ", '\"description\": \"', '\"description\": \"say \"hi\" now ')"
+
+
+@query("quote_repair", """SELECT doc_id, 'say "hi" now ' || text AS text FROM documents""")
+def _(t, spark):
+    fixed = t("documents").select("doc_id", damage.repair_quotes(F.expr(QUOTED)).alias("line"))
+    return parse_records(fixed, ["description"]).select("doc_id", F.col("rec.description").alias("text"))
+
+
+MIXED = pick("doc_id", DAMAGED, QUOTED, "'nope ' || " + DAMAGED, "'  '")
+
+
+@query("repair_or_reject", """
+    SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'good' WHEN 1 THEN 'good' ELSE 'bad' END AS outcome,
+           CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN 'say "hi" now ' || text END AS text FROM documents WHERE doc_id % 4 <> 3""")
+def _(t, spark):
+    good, bad = damage.repair_or_reject(t("documents").select("doc_id", F.expr(MIXED).alias("line")))
+    parsed = parse_records(good, ["description"], line="record")
+    return parsed.select("doc_id", F.lit("good").alias("outcome"), F.col("rec.description").alias("text")).unionByName(
+        bad.select("doc_id", F.lit("bad").alias("outcome"), F.lit(None).cast("string").alias("text")))
+
+
+# A4: each document as a JSON list of its lines.
+
+LINES_SQL = """
+    SELECT doc_id, CAST(i - 1 AS BIGINT) AS pos, parts[i] AS text FROM (
+      SELECT doc_id, string_split(text, chr(10)) AS parts, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)"""
+
+
+@query("json_list", LINES_SQL)
+def _(t, spark):
+    lists = t("documents").select("doc_id", F.to_json(F.split("text", "\n")).alias("j"))
+    items = explode_json_list(lists, "j", ["doc_id"])
+    return items.select("doc_id", "pos", F.try_variant_get(F.parse_json("line"), "$", "string").alias("text"))
+
+
+@query("json_list_parallel", LINES_SQL)
+def _(t, spark):
+    lists = t("documents").select(F.col("doc_id").cast("string").alias("file"), F.to_json(F.split("text", "\n")).alias("j"))
+    parts = lists.select("file", F.lit(0).cast("long").alias("block"), F.posexplode(F.split("j", ",")).alias("pos", "line"))
+    items = reassemble.join_list_parts(parts)
+    rank = F.row_number().over(Window.partitionBy("file").orderBy("block", "idx"))
+    return items.select(F.col("file").cast("long").alias("doc_id"), (rank - 1).cast("long").alias("pos"),
+                        F.try_variant_get(F.parse_json("line"), "$", "string").alias("text"))
+
+
+# Through files that Spark writes from the tables.
+
+@query("line_numbers", "SELECT row_number() OVER (ORDER BY o_orderkey) AS line_no, CAST(o_orderkey AS VARCHAR) AS line FROM orders")
+def _(t, spark):
+    path = folder(spark, "numbers")
+    t("orders").select(F.col("o_orderkey").cast("string").alias("value")).repartitionByRange(6, F.col("value").cast("long")).sortWithinPartitions(
+        F.col("value").cast("long")).write.text(path)
+    return number_lines(scan_lines(spark, path)).select("line_no", "line")
+
+
+@query("ndjson_round_trip", """
+    SELECT doc_id, text, CASE WHEN lang = 'en' THEN NULL ELSE lang END AS lang, lang = 'en' AS null_kept FROM documents""")
+def _(t, spark):
+    path = folder(spark, "ndjson")
+    sinks.write_ndjson(t("documents").select("doc_id", "text", F.when(F.col("lang") != "en", F.col("lang")).alias("lang")), path)
+    parsed = parse_records(scan_lines(spark, path), ["doc_id", "text"], ["lang"])
+    return parsed.select(F.col("rec.doc_id").cast("long").alias("doc_id"), "rec.text",
+                         F.try_variant_get("rec.lang", "$", "string").alias("lang"), F.is_variant_null("rec.lang").alias("null_kept"))
+
+
+@query("csv_round_trip", """
+    SELECT doc_id, replace(text, chr(10), ' ') AS text, CASE doc_id % 3 WHEN 0 THEN NULL WHEN 1 THEN '"x", y' ELSE lang END AS lang FROM documents""")
+def _(t, spark):
+    path = folder(spark, "csv")
+    rows = t("documents").select(F.col("doc_id").cast("string"), F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"),
+                                 F.expr(pick("doc_id", "NULL", "'\"x\", y'", "lang")).alias("lang"))
+    sinks.write_csv(rows, path)
+    return scan_csv(spark, path, ["doc_id", "text", "lang"]).withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+@query("csv_rejects", "SELECT c_custkey, c_name FROM customer WHERE c_custkey % 4 IN (1, 2)")
+def _(t, spark):
+    from loadkit.operators.classify import CSV_ID_LENGTH, NUMERIC_PATTERN, id_ok
+
+    path = folder(spark, "whole-rows")
+    raw = t("customer").select("c_custkey", "c_name", F.expr(pick("c_custkey", "CAST(c_custkey AS STRING)", "c_name", "''", "'0'")).alias("app_id"))
+    sinks.write_split(raw.filter(~id_ok("app_id", NUMERIC_PATTERN, CSV_ID_LENGTH)), path)
+    return spark.read.parquet(path).select("c_custkey", "c_name")
+
+
+# P10: whole repair jobs, file to file.
+
+def plain_text(rows, path):
+    rows.select(F.col("line").alias("value")).write.text(path)
+    return path
+
+
+def with_header(lines, header, path, parts=4):
+    """Text files that each start with a header line."""
+    cut = lines.repartition(parts).withColumn("__p", F.spark_partition_id()).withColumn("__o", F.monotonically_increasing_id())
+    heads = lines.sparkSession.range(parts).select(F.col("id").cast("int").alias("__p"), F.lit(header).alias("line"), F.lit(-1).cast("long").alias("__o"))
+    whole = cut.select("__p", "line", "__o").unionByName(heads.select("__p", "line", "__o"))
+    whole.repartitionByRange(parts, "__p").sortWithinPartitions("__p", "__o").select(F.col("line").alias("value")).write.text(path)
+    return path
+
+
+@query("clean_csv_job", f"""
+    SELECT CAST(p_partkey AS VARCHAR) AS id, {pick('p_partkey', "'\"' || p_name || '\"'", 'p_name', 'p_name', "'\"\"'", "' \"say \"\"' || p_name || '\"\"\" '")} AS name,
+           {pick('p_partkey', 'p_brand', "p_brand || ',more,[1,2]'", 'NULL', "'  '", "'x'")} AS brand FROM part""")
+def _(t, spark):
+    path = folder(spark, "clean")
+    with_header(t("part").select(F.expr(pick("p_partkey", *RAGGED)).alias("line")), "id,name,brand", f"{path}-in")
+    repairs.clean_csv(spark, f"{path}-in", path, "brand")
+    return scan_csv(spark, path, ["id", "name", "brand"])
+
+
+@query("csv_to_ndjson_job", f"""
+    SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name,
+           {pick('p_partkey', "'[\"' || p_brand || '\",null]'", "'[' || p_size || ',2]'", "'null'")} AS tags FROM part""")
+def _(t, spark):
+    path = folder(spark, "convert")
+    tags = pick("p_partkey", f"'[' || {Q} || p_brand || {Q} || ', None]'", "'\"[' || p_size || ',2]\"'", "' '")
+    with_header(t("part").select(F.expr("p_partkey || ',\"' || p_name || '\",' || " + tags).alias("line")), 'id,"name",tags', f"{path}-in")
+    repairs.csv_to_ndjson(spark, f"{path}-in", path, json_cols=["tags"])
+    parsed = parse_records(scan_lines(spark, path), ["id", "name"], ["tags"])
+    return parsed.select("rec.id", "rec.name", json_text("rec.tags").alias("tags"))
+
+
+@query("fix_ndjson_job", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents")
+def _(t, spark):
+    path = folder(spark, "fix")
+    broken = "'{\"doc_id\": ' || doc_id || ',' || chr(10) || '\"text\": ' || " + as_json("text", "chr(10)") + " || '}'"
+    plain_text(t("documents").select(F.expr(broken).alias("line")), f"{path}-in")
+    repairs.fix_ndjson(spark, f"{path}-in", path)
+    parsed = parse_records(scan_lines(spark, path), ["doc_id", "text"])
+    return parsed.select("rec.doc_id", "rec.text")
+
+
+@query("repair_ndjson_job", """
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'good' AS outcome, CASE doc_id % 4 WHEN 0 THEN text ELSE 'say "hi" now ' || text END AS text
+    FROM documents WHERE doc_id % 4 IN (0, 1)
+    UNION ALL SELECT NULL, 'bad', 'nope {"doc_id": ' || doc_id FROM documents WHERE doc_id % 4 = 2""")
+def _(t, spark):
+    path = folder(spark, "mend")
+    plain_text(t("documents").select(F.expr(MIXED).alias("line")), f"{path}-in")
+    repairs.repair_ndjson(spark, f"{path}-in", path, f"{path}-bad")
+    good = parse_records(scan_lines(spark, path), ["doc_id", "description"])
+    bad = parse_records(scan_lines(spark, f"{path}-bad"), ["line_no", "raw"])
+    return good.select("rec.doc_id", F.lit("good").alias("outcome"), F.col("rec.description").alias("text")).unionByName(
+        bad.select(F.lit(None).cast("string").alias("doc_id"), F.lit("bad").alias("outcome"),
+                   F.substring_index("rec.raw", ",", 1).alias("text")))
+
+
+@query("json_list_job", "SELECT CAST(n_nationkey AS VARCHAR) AS k, n_name FROM nation UNION ALL SELECT CAST(r_regionkey AS VARCHAR), r_name FROM region")
+def _(t, spark):
+    path = folder(spark, "lists")
+    for name, k, v in [("nation", "n_nationkey", "n_name"), ("region", "r_regionkey", "r_name")]:
+        # Two small lists, one file each.
+        rows = t(name).select(F.struct(F.col(k).alias("k"), F.col(v).alias("n_name")).alias("s"))
+        rows.agg(F.to_json(F.collect_list("s")).alias("value")).coalesce(1).write.text(f"{path}-in/{name}")
+    repairs.json_list_to_ndjson(spark, f"{path}-in/*", path, parallel=True)
+    return parse_records(scan_lines(spark, path), ["k", "n_name"]).select("rec.k", "rec.n_name")
