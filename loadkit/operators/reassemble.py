@@ -15,7 +15,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,6 +118,14 @@ _START = "file string, block bigint, state bigint, depth bigint, opened bigint"
 _PIECES = "file string, block bigint, seq bigint, idx bigint, text string, newlines bigint, returns bigint, partial boolean"
 
 
+_ARROW = {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_()}
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [field.split() for field in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[t]) for c, (_, t) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
+
+
 def _opened(line: str, block: int, opener: str) -> str:
     """First line of a file without the opening bracket."""
     if not opener or block:
@@ -143,26 +150,30 @@ def _summarise(opener: str):
             done.append((current, effect))
         rows = [(*key, *(v for e in effect for v in e)) for key, effect in done]
         if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in zip(*rows)], names=["file", "block", *_EFFECTS]
-            )
+            yield _batch(rows, _SUMMARY)
 
     return run
 
 
-def _start_states(summary: pd.DataFrame) -> pd.DataFrame:
-    """Chain the splits of one file. `opened` is the split where the record still open began."""
-    state, depth, opened = OUTSIDE, 0, -1
-    rows = []
-    for row in summary.sort_values("block").to_dict("records"):
-        rows.append((row["file"], row["block"], state, depth, opened))
-        is_open = (state, depth) != (OUTSIDE, 0)
-        if not is_open or depth <= row[f"ends{state}"]:
-            opened = row["block"]
-        state, depth = row[f"end{state}"], max(depth + row[f"net{state}"], row[f"floor{state}"])
-        if (state, depth) == (OUTSIDE, 0):
-            opened = -1
-    return pd.DataFrame(rows, columns=["file", "block", "state", "depth", "opened"])
+def _start_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chain the splits of each file; rows come sorted by file and split, files are not divided.
+
+    `opened` is the split where the record still open began, -1 between records.
+    """
+    current = None
+    for batch in batches:
+        rows = []
+        for row in batch.to_pylist():
+            if row["file"] != current:
+                current, state, depth, opened = row["file"], OUTSIDE, 0, -1
+            rows.append((current, row["block"], state, depth, opened))
+            if (state, depth) == (OUTSIDE, 0) or depth <= row[f"ends{state}"]:
+                opened = row["block"]
+            state, depth = row[f"end{state}"], max(depth + row[f"net{state}"], row[f"floor{state}"])
+            if (state, depth) == (OUTSIDE, 0):
+                opened = -1
+        if rows:
+            yield _batch(rows, _START)
 
 
 def _cut(inside: str, nested: str, keep_returns: bool, opener: str):
@@ -188,9 +199,7 @@ def _cut(inside: str, nested: str, keep_returns: bool, opener: str):
             out.append((file, owner, block, -1 if carried else first, "".join(buf), newlines, returns, partial))
 
         def flush() -> pa.RecordBatch:
-            names = [c.split()[0] for c in _PIECES.split(", ")]
-            types = [pa.string(), *[pa.int64()] * 3, pa.string(), *[pa.int64()] * 2, pa.bool_()]
-            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+            batch = _batch(out, _PIECES)
             out.clear()
             return batch
 
@@ -245,7 +254,8 @@ def reassemble(
     """
     rows = lines.select(*POSITION, "line")
     summary = stage(rows.select("file", "block", "line").mapInArrow(_summarise(opener), _SUMMARY), "summary")
-    starts = stage(summary.groupBy("file").applyInPandas(_start_states, _START), "starts")
+    in_order = summary.repartition("file").sortWithinPartitions("file", "block")
+    starts = stage(in_order.mapInArrow(_start_states, _START), "starts")
     if starts.count() <= BROADCAST_ROWS:
         known = rows.join(F.broadcast(starts), ["file", "block"])
     else:
