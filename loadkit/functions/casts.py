@@ -16,39 +16,47 @@ from loadkit.functions.text import blank, col, full_match
 TRUE_WORDS = ["true", "t", "1", "yes", "y"]
 FALSE_WORDS = ["false", "f", "0", "no", "n"]
 
-DEC_INT = r"[+-]?[0-9]+(?:_[0-9]+)*"
-BASED_INT = r"[+-]?0(?:[xX](?:_?[0-9a-fA-F])+|[oO](?:_?[0-7])+|[bB](?:_?[01])+)"
+BASED_INT = r"[+-]?0(?:x(?:_?[0-9a-f])+|o(?:_?[0-7])+|b(?:_?[01])+)"
 FLOAT = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 METRIC = r"-?[0-9]+"
 YEAR_MONTH = r"[0-9]{4}-[0-9]{2}"
 
-MONTH_NAMES = (
-    "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?|oct(?:ober)?"
-    "|nov(?:ember)?|dec(?:ember)?"
+# Month names by their first three letters, in calendar order.
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+_NAME = (
+    r"(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
+    r"(?:(?<=jan)uary|(?<=feb)ruary|(?<=mar)ch|(?<=apr)il|(?<=jun)e|(?<=jul)y|(?<=aug)ust|(?<=sep)t(?:ember)?|(?<=oct)ober"
+    r"|(?<=nov)ember|(?<=dec)ember)?"
 )
-MONTH_INDEX = "janfebmaraprmayjunjulaugsepoctnovdec"
-NAMED_DATE = (
-    rf"(?i)^(?:({MONTH_NAMES})[ ]+([0-9]{{1,2}})(?:,[ ]*|[ ]+)([0-9]{{4}})"
-    rf"|([0-9]{{1,2}})[ -]({MONTH_NAMES})[ -]([0-9]{{4}}))(?=\z|[T ])"
-)
-# Rewrites towards yyyy-M-d, one space before the time, none before the zone, and seconds.
+_END = r"(?=\z|[t ])"
+# Rewrites of trimmed, lower-case text towards yyyy-M-d, one space before the time, none before the
+# zone, and seconds. Month names are replaced after the first two.
+NAME_REWRITES = [
+    (rf"^{_NAME} +([0-9]{{1,2}})(?:, *| +)([0-9]{{4}}){_END}", "$3-$1-$2"),
+    (rf"^([0-9]{{1,2}})[ -]{_NAME}[ -]([0-9]{{4}}){_END}", "$3-$2-$1"),
+]
 DATE_REWRITES = [
-    (r"^([0-9]{4})([0-9]{2})([0-9]{2})(?=\z|[T ])", "$1-$2-$3"),
-    (r"^([0-9]{1,2})([/-])([0-9]{1,2})\2([0-9]{4})(?=\z|[T ])", "$4-$1-$3"),
+    (rf"^([0-9]{{4}})([0-9]{{2}})([0-9]{{2}}){_END}", "$1-$2-$3"),
+    (rf"^([0-9]{{1,2}})([/-])([0-9]{{1,2}})\2([0-9]{{4}}){_END}", "$4-$1-$3"),
     (r"^([0-9]{4})/([0-9]{1,2})/", "$1-$2-"),
-    (r"^([0-9-]+)(?:T\s*|\s+)(?=[0-9])", "$1 "),
-    (r"(?i)(?<=[0-9])\s*(?:z|utc|gmt)\z", "Z"),
+    (r"^([0-9-]+)(?:t\s*|\s+)(?=[0-9])", "$1 "),
+    (r"(?<=[0-9])\s*(?:z|utc|gmt)\z", "Z"),
     (r"(?<=:[0-9]{2})\s+(?=[+-])", ""),
     (r"^([0-9-]+ [0-9]{1,2}:[0-9]{2})(?=\z|[Z+-])", "$1:00"),
 ]
 STAMP = (
-    r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})"
-    r"(?: [0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]+)?)?(?:Z|[+-][0-9]{1,2}(?::?[0-9]{2})?)?)?\z"
+    r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})(?: (?:[01]?[0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](?:\.[0-9]+)?"
+    r"(?:Z|[+-](?:0?[0-9]|1[0-5])(?::?[0-5][0-9])?)?)?\z"
 )
+USUAL_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+USUAL_STAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:T[0-9]{2}:[0-9]{2}:[0-9]{2}Z)?\z"
+
+
+_SPACE = r"[ \t\n\x0B\f\r]"
 
 
 def _space_trimmed(c: Column) -> Column:
-    return F.regexp_replace(c, r"^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+\z", "")
+    return F.regexp_replace(c, rf"^{_SPACE}+|{_SPACE}+\z", "")
 
 
 def to_bool_loose(c: Column | str) -> Column:
@@ -58,18 +66,20 @@ def to_bool_loose(c: Column | str) -> Column:
 
 
 def _integer(c: Column, spark_type: str) -> Column:
-    t = _space_trimmed(c)
-    digits = F.regexp_replace(F.lower(t), r"^[+-]?0[xob]_*0*|_", "")
-    bits = F.when(F.rlike(t, F.lit("0[xX]")), 4).when(F.rlike(t, F.lit("0[oO]")), 3).otherwise(1)
-    # At most 62 bits reach `conv`; anything longer is out of range for the smaller type, and is
-    # taken to be for the larger one too.
+    # Spark's cast trims white space itself.
+    plain = F.regexp_replace(c, r"(?<=[0-9])_(?=[0-9])", "")
+    decimal = F.regexp_extract(plain, rf"\A{_SPACE}*[+-]?[0-9]+{_SPACE}*\z", 0).try_cast(spark_type)
+    word = F.regexp_extract(F.lower(c), rf"\A{_SPACE}*({BASED_INT}){_SPACE}*\z", 1)
+    letter = F.regexp_extract(word, "[xob]", 0)
+    bits = F.when(letter == "x", 4).when(letter == "o", 3).when(letter == "b", 1)
+    digits = F.regexp_replace(word, r"^[+-]?0[xob]_*0*|_", "")
+    # At most 62 bits reach `conv`; a longer number is taken to be out of range.
     number = F.when(
         F.length(digits) * bits <= 62,
         F.call_function("conv", F.concat(F.lit("0"), digits), F.call_function("shiftleft", F.lit(1), bits), F.lit(10)),
     )
-    based = F.concat(F.when(F.startswith(t, F.lit("-")), F.lit("-")).otherwise(F.lit("")), number)
-    text = F.when(full_match(t, DEC_INT), F.replace(t, F.lit("_"), F.lit(""))).when(full_match(t, BASED_INT), based)
-    return text.try_cast(spark_type)
+    based = F.concat(F.regexp_extract(word, "^-", 0), number).try_cast(spark_type)
+    return F.coalesce(decimal, F.when(F.rlike(c, F.lit("0[xXoObB]")), based))
 
 
 def to_int_loose(c: Column | str) -> Column:
@@ -84,10 +94,10 @@ def to_bigint_loose(c: Column | str) -> Column:
 
 def to_double_loose(c: Column | str) -> Column:
     """T9. Values too large or too small for a double are NULL, not infinity or zero."""
-    t = _space_trimmed(col(c))
-    number = F.regexp_extract(t, rf"\A(?:{FLOAT})\z", 0).try_cast("double")
-    lost = (F.abs(number) == float("inf")) | ((number == 0) & F.rlike(t, F.lit(r"^[+-]?[0-9.]*[1-9]")))
-    word = F.regexp_extract(F.lower(t), r"\A(?:[+-]?inf(?:inity)?|nan)\z", 0).try_cast("double")
+    c = col(c)
+    number = F.regexp_extract(c, rf"\A{_SPACE}*(?:{FLOAT}){_SPACE}*\z", 0).try_cast("double")
+    lost = (F.abs(number) == float("inf")) | ((number == 0) & F.rlike(c, F.lit(r"^\s*[+-]?[0-9.]*[1-9]")))
+    word = F.regexp_extract(F.lower(c), rf"\A{_SPACE}*(?:[+-]?inf(?:inity)?|nan){_SPACE}*\z", 0).try_cast("double")
     return F.coalesce(F.when(~lost, number), word)
 
 
@@ -100,38 +110,28 @@ def to_numeric_loose(c: Column | str) -> Column:
 
 def _iso(c: Column) -> Column:
     """Known spellings of a date, perhaps with a time, towards ISO; other text stays as it is."""
-    t = _space_trimmed(c)
-
-    def part(i: int, j: int) -> Column:
-        return F.concat(F.regexp_extract(t, NAMED_DATE, i), F.regexp_extract(t, NAMED_DATE, j))
-
-    month = (F.instr(F.lit(MONTH_INDEX), F.lower(F.substring(part(1, 5), 1, 3))) + F.lit(2)) / F.lit(3)
-    named = F.concat(part(3, 6), F.lit("-"), month.cast("int"), F.lit("-"), part(2, 4), F.regexp_replace(t, NAMED_DATE, ""))
-    iso = F.when(F.rlike(t, F.lit(NAMED_DATE)), named).otherwise(t)
+    iso = F.lower(_space_trimmed(c))
+    for pattern, form in NAME_REWRITES:
+        iso = F.regexp_replace(iso, pattern, form)
+    for number, name in enumerate(MONTHS, 1):
+        iso = F.replace(iso, F.lit(f"-{name}-"), F.lit(f"-{number}-"))
     for pattern, form in DATE_REWRITES:
         iso = F.regexp_replace(iso, pattern, form)
     return iso
 
 
-def _fast(c: Column, fast: str, kind: str, slow: Column) -> Column:
-    """The usual spelling is cast as it stands."""
-    return F.when(F.rlike(c, F.lit(fast)), c.try_cast(kind)).otherwise(slow)
-
-
 def to_date_loose(c: Column | str) -> Column:
     """T11. A time and zone after the date are checked and dropped."""
     c = col(c)
-    iso = _iso(c)
-    day = F.regexp_extract(iso, STAMP, 1).try_cast("date")
-    slow = F.when(F.regexp_extract(iso, STAMP, 0).try_cast("timestamp").isNotNull(), day)
-    return _fast(c, r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z", "date", slow)
+    slow = F.regexp_extract(_iso(c), STAMP, 1).try_cast("date")
+    return F.when(F.rlike(c, F.lit(USUAL_DATE)), c.try_cast("date")).otherwise(slow)
 
 
 def to_timestamptz_loose(c: Column | str) -> Column:
     """T12. Text without a zone is UTC; a bare date is midnight."""
     c = col(c)
     slow = F.regexp_extract(_iso(c), STAMP, 0).try_cast("timestamp")
-    return _fast(c, r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:T[0-9]{2}:[0-9]{2}:[0-9]{2}Z)?\z", "timestamp", slow)
+    return F.when(F.rlike(c, F.lit(USUAL_STAMP)), c.try_cast("timestamp")).otherwise(slow)
 
 
 LOOSE = {

@@ -31,16 +31,18 @@ def _digest(c: Column) -> Column:
 
 
 def parse_strict(c: Column | str) -> Column:
-    """Variant of a text that is exactly one JSON value, else NULL."""
+    """Variant of a text that is exactly one JSON value, else NULL.
+
+    Nothing here sits in a branch, so Spark computes the text, digest and parse once each.
+    """
     c = col(c)
-    wrapped = F.try_parse_json(F.concat(F.lit("["), c, F.lit(',"'), _digest(c), F.lit('"]')))
-    # The map looks the value up by digest, so the parse stands once in the expression.
+    close = F.when(~F.coalesce(bad_escape(c), F.lit(False)), F.lit('"]'))
+    wrapped = F.try_parse_json(F.concat(F.lit("["), c, F.lit(',"'), _digest(c), close))
     seen = F.create_map(
         F.coalesce(F.try_variant_get(wrapped, "$[1]", "string"), F.lit("")),
         F.try_variant_get(wrapped, "$[0]", "variant"),
     )
-    found = F.try_element_at(seen, _digest(c))
-    return F.when(~F.coalesce(bad_escape(c), F.lit(False)), found)
+    return F.try_element_at(seen, _digest(c))
 
 
 def is_valid_json(c: Column | str) -> Column:
@@ -100,10 +102,10 @@ def to_jsonb_loose(c: Column | str, strict_first: bool = False) -> Column:
     loaders know it; `strict_first` keeps text that is valid JSON already.
     """
     c = col(c)
-    choices = [parse_strict(unpythonise(c)), c.cast("variant")]
+    choices = [parse_strict(unpythonise(c)), F.when(~blank(c), c.cast("variant"))]
     if strict_first:
         choices.insert(0, parse_strict(c))
-    return F.when(~blank(c), F.coalesce(*choices))
+    return F.coalesce(*choices)
 
 
 def parse_records(

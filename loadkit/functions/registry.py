@@ -10,26 +10,27 @@ def _words(words: list[str]) -> str:
     return ", ".join(f"'{w}'" for w in words)
 
 
-def _trimmed(name: str = "txt") -> str:
-    return rf"regexp_replace({name}, r'^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+\z', '')"
+def _trimmed() -> str:
+    return rf"regexp_replace(txt, r'^{casts._SPACE}+|{casts._SPACE}+\z', '')"
 
 
 def _integer(kind: str) -> str:
-    t = _trimmed()
-    digits = rf"regexp_replace(lower({t}), r'^[+-]?0[xob]_*0*|_', '')"
-    bits = rf"CASE WHEN rlike({t}, '0[xX]') THEN 4 WHEN rlike({t}, '0[oO]') THEN 3 ELSE 1 END"
+    space = casts._SPACE
+    plain = "regexp_replace(txt, r'(?<=[0-9])_(?=[0-9])', '')"
+    word = rf"regexp_extract(lower(txt), r'\A{space}*({casts.BASED_INT}){space}*\z', 1)"
+    letter = f"regexp_extract({word}, '[xob]', 0)"
+    bits = f"CASE {letter} WHEN 'x' THEN 4 WHEN 'o' THEN 3 WHEN 'b' THEN 1 END"
+    digits = f"regexp_replace({word}, r'^[+-]?0[xob]_*0*|_', '')"
     number = f"CASE WHEN length({digits}) * {bits} <= 62 THEN conv(concat('0', {digits}), shiftleft(1, {bits}), 10) END"
-    return rf"""try_cast(CASE
-        WHEN rlike({t}, r'\A(?:{casts.DEC_INT})\z') THEN replace({t}, '_', '')
-        WHEN rlike({t}, r'\A(?:{casts.BASED_INT})\z')
-        THEN concat(CASE WHEN startswith({t}, '-') THEN '-' ELSE '' END, {number}) END AS {kind})"""
+    return rf"""coalesce(try_cast(regexp_extract({plain}, r'\A{space}*[+-]?[0-9]+{space}*\z', 0) AS {kind}),
+        CASE WHEN rlike(txt, '0[xXoObB]') THEN try_cast(concat(regexp_extract({word}, '^-', 0), {number}) AS {kind}) END)"""
 
 
 def _double() -> str:
-    t = _trimmed()
-    number = rf"try_cast(regexp_extract({t}, r'\A(?:{casts.FLOAT})\z', 0) AS double)"
-    lost = rf"abs({number}) = double('Infinity') OR ({number} = 0 AND rlike({t}, r'^[+-]?[0-9.]*[1-9]'))"
-    word = rf"try_cast(regexp_extract(lower({t}), r'\A(?:[+-]?inf(?:inity)?|nan)\z', 0) AS double)"
+    space = casts._SPACE
+    number = rf"try_cast(regexp_extract(txt, r'\A{space}*(?:{casts.FLOAT}){space}*\z', 0) AS double)"
+    lost = rf"abs({number}) = double('Infinity') OR ({number} = 0 AND rlike(txt, r'^\s*[+-]?[0-9.]*[1-9]'))"
+    word = rf"try_cast(regexp_extract(lower(txt), r'\A{space}*(?:[+-]?inf(?:inity)?|nan){space}*\z', 0) AS double)"
     return f"coalesce(CASE WHEN NOT ({lost}) THEN {number} END, {word})"
 
 
@@ -39,25 +40,24 @@ def _numeric() -> str:
 
 
 def _iso() -> str:
-    t = _trimmed()
-
-    def part(i: int, j: int) -> str:
-        return f"concat(regexp_extract({t}, r'{casts.NAMED_DATE}', {i}), regexp_extract({t}, r'{casts.NAMED_DATE}', {j}))"
-
-    month = f"cast((instr('{casts.MONTH_INDEX}', lower(substring({part(1, 5)}, 1, 3))) + 2) / 3 AS int)"
-    named = f"concat({part(3, 6)}, '-', {month}, '-', {part(2, 4)}, regexp_replace({t}, r'{casts.NAMED_DATE}', ''))"
-    iso = f"CASE WHEN rlike({t}, r'{casts.NAMED_DATE}') THEN {named} ELSE {t} END"
+    iso = f"lower({_trimmed()})"
+    for pattern, form in casts.NAME_REWRITES:
+        iso = f"regexp_replace({iso}, r'{pattern}', '{form}')"
+    for number, name in enumerate(casts.MONTHS, 1):
+        iso = f"replace({iso}, '-{name}-', '-{number}-')"
     for pattern, form in casts.DATE_REWRITES:
         iso = f"regexp_replace({iso}, r'{pattern}', '{form}')"
     return iso
 
 
 def _timestamp() -> str:
-    return f"try_cast(regexp_extract({_iso()}, r'{casts.STAMP}', 0) AS timestamp)"
+    slow = f"try_cast(regexp_extract({_iso()}, r'{casts.STAMP}', 0) AS timestamp)"
+    return f"CASE WHEN rlike(txt, r'{casts.USUAL_STAMP}') THEN try_cast(txt AS timestamp) ELSE {slow} END"
 
 
 def _date() -> str:
-    return f"CASE WHEN {_timestamp()} IS NOT NULL THEN try_cast(regexp_extract({_iso()}, r'{casts.STAMP}', 1) AS date) END"
+    slow = f"try_cast(regexp_extract({_iso()}, r'{casts.STAMP}', 1) AS date)"
+    return f"CASE WHEN rlike(txt, r'{casts.USUAL_DATE}') THEN try_cast(txt AS date) ELSE {slow} END"
 
 
 def _jsonb() -> str:
@@ -70,10 +70,10 @@ def _jsonb() -> str:
     t = rf"regexp_replace({t}, r'\\x([0-9A-Fa-f]{{2}})', 'x$1')"
     t = rf"""regexp_replace({t}, r'\\([^"\\/bfnrtu])', r'\\\\$1')"""
     t = f"""replace(replace({t}, "'", '"'), '@@APOS@@', "'")"""
-    w = f"""try_parse_json(concat('[', {t}, ',"', sha2({t}, 256), '"]'))"""
+    close = f"""CASE WHEN NOT rlike({t}, r'{BAD_ESCAPE}') THEN '"]' END"""
+    w = f"""try_parse_json(concat('[', {t}, ',"', sha2({t}, 256), {close}))"""
     seen = f"map(coalesce(try_variant_get({w}, '$[1]', 'string'), ''), try_variant_get({w}, '$[0]', 'variant'))"
-    value = f"CASE WHEN NOT rlike({t}, r'{BAD_ESCAPE}') THEN try_element_at({seen}, sha2({t}, 256)) END"
-    return f"CASE WHEN trim(txt) <> '' THEN coalesce({value}, cast(txt AS variant)) END"
+    return f"coalesce(try_element_at({seen}, sha2({t}, 256)), CASE WHEN trim(txt) <> '' THEN cast(txt AS variant) END)"
 
 
 def definitions() -> dict[str, tuple[str, str]]:
