@@ -127,15 +127,17 @@ def parse_records(
     wrapped = F.concat(F.lit("["), c, F.lit(',{"__digest":"'), digest, F.lit('"}]'))
     parsed = F.from_json(wrapped, f"ARRAY<STRUCT<{fields}, `__digest` STRING>>", STRICT)
     items = F.col("__items")
-    whole = (F.size(items) == 2) & (F.try_element_at(items, F.lit(2))["__digest"] == F.col("__sha"))
+    whole = (F.size(items) == 2) & (F.try_element_at(items, F.lit(2))["__digest"] == F.col("__sha")) & (F.col("__once") >= 0)
     record = F.when(
         whole & ~F.coalesce(bad_escape(c), F.lit(False)) & F.rlike(c, F.lit(r"^\s*\{")),
         F.try_element_at(items, F.lit(1)),
     )
     return (
-        df.withColumns({"__items": parsed, "__sha": digest})
+        # The row counter is not deterministic, so a filter on a field stays above this projection
+        # and does not bring a second parse with it.
+        df.withColumns({"__items": parsed, "__sha": digest, "__once": F.monotonically_increasing_id()})
         .withColumn(out, record)
         # Arrays and scalars are valid too, but have no fields; only lines that gave no record pay.
         .withColumn(f"{out}_ok", F.when(F.col(out).isNotNull(), F.lit(True)).otherwise(is_valid_json(c)))
-        .drop("__items", "__sha")
+        .drop("__items", "__sha", "__once")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loadkit.functions.json import json_text, parse_strict
 from loadkit.functions.text import col, strip_space
+from loadkit.session import stage
 
 _QUOTE_OR_ESCAPE = re.compile(r'\\.|"', re.DOTALL)
 _CLOSES = re.compile(r"\s*[,}]")
@@ -60,17 +61,25 @@ def repair_records(df: DataFrame, name: str = "description", line: str = "line")
     Blank lines give NULL too and are told apart by the caller. A line that is valid after B8 is
     left as it is; only the others go through Python.
     """
-    df = df.withColumn("__clean", sanitize(line)).withColumn("__json", json_text(parse_strict("__clean")))
-    df = df.withColumn("__quoted", repair_quotes(F.when(F.col("__json").isNull(), F.col("__clean")), name))
-    record = F.coalesce("__json", json_text(parse_strict("__quoted")))
+    df = df.withColumn("__clean", sanitize(line))
+    # The row counter keeps filters on the outcome above this projection, so it runs once.
+    df = df.withColumns({"__json": json_text(parse_strict("__clean")), "__once": F.monotonically_increasing_id()})
+    broken = F.col("__json").isNull() & (F.col("__once") >= 0)
+    df = df.withColumn("__quoted", repair_quotes(F.when(broken, F.col("__clean")), name))
+    df = df.withColumn("__again", json_text(parse_strict("__quoted")))
+    repaired = F.col("__json").isNull() | (F.col("__clean") != F.col(line))
     return (
-        df.withColumn("record", record)
-        .withColumn("repaired", F.col("record").isNotNull() & (F.col("__json").isNull() | (F.col("__clean") != F.col(line))))
-        .drop("__clean", "__json", "__quoted")
+        df.withColumn("record", F.coalesce("__json", "__again"))
+        .withColumn("repaired", F.col("record").isNotNull() & repaired)
+        .drop("__clean", "__json", "__once", "__quoted", "__again")
     )
 
 
 def repair_or_reject(df: DataFrame, name: str = "description", line: str = "line") -> tuple[DataFrame, DataFrame]:
-    """Good records and rejects of B10; blank lines are in neither. Keeps the original line."""
-    whole = repair_records(df.filter(F.coalesce(strip_space(line), F.lit("")) != ""), name, line)
+    """Good records and rejects of B10; blank lines are in neither. Keeps the original line.
+
+    The repair is staged, so that both outputs come from one run.
+    """
+    given = df.filter(F.coalesce(strip_space(line), F.lit("")) != "")
+    whole = stage(repair_records(given, name, line), "repair")
     return whole.filter(F.col("record").isNotNull()), whole.filter(F.col("record").isNull())

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,18 @@ Effect = tuple[int, int, int, int]
 _NOTHING: tuple[Effect, ...] = tuple((s, 0, 0, -1) for s in _STATES)
 
 
+@lru_cache(maxsize=8192)
+def nesting(brackets: str) -> tuple[int, int]:
+    """Net and floor of a run of brackets; lines of one file mostly share a few of them."""
+    net = floor = 0
+    for bracket in brackets:
+        if bracket in "{[":
+            net, floor = net + 1, floor + 1
+        else:
+            net, floor = net - 1, max(floor - 1, 0)
+    return net, floor
+
+
 def walk(text: str, state: int) -> tuple[int, int, int]:
     """End state, net and floor for text without line breaks."""
     at = 0
@@ -64,23 +77,20 @@ def walk(text: str, state: int) -> tuple[int, int, int]:
                     state = ESCAPED
                     break
                 at, state = at + 1, OUTSIDE
-    net = floor = 0
-    for bracket in _BRACKETS.findall("".join(outside)):
-        if bracket in "{[":
-            net, floor = net + 1, floor + 1
-        else:
-            net, floor = net - 1, max(floor - 1, 0)
-    return state, net, floor
+    return state, *nesting("".join(_BRACKETS.findall("".join(outside))))
 
 
 def line_effect(line: str) -> tuple[Effect, ...]:
     """Effect of one line for each start state. A carriage return changes no state."""
     text = line.replace("\r", "") if "\r" in line else line
     effects = []
-    for start in _STATES:
+    for start in (OUTSIDE, INSIDE):
         end, net, floor = walk(text, start)
         effects.append((end, net, floor, -net if end == OUTSIDE and floor == 0 else -1))
-    return tuple(effects)
+    if text[:1] not in ("", '"', "\\"):
+        return effects[0], effects[1], effects[1]  # an escaped ordinary character is an ordinary one
+    end, net, floor = walk(text, ESCAPED)
+    return effects[0], effects[1], (end, net, floor, -net if end == OUTSIDE and floor == 0 else -1)
 
 
 def chain(first: tuple[Effect, ...], then: tuple[Effect, ...]) -> tuple[Effect, ...]:
@@ -113,6 +123,7 @@ def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tup
 
 
 _EFFECTS = [f"{n}{s}" for s in _STATES for n in ("end", "net", "floor", "ends")]
+_BATCH_CHARS = 4_000_000
 _SUMMARY = "file string, block bigint, " + ", ".join(f"{c} bigint" for c in _EFFECTS)
 _START = "file string, block bigint, state bigint, depth bigint, opened bigint"
 _PIECES = "file string, block bigint, seq bigint, idx bigint, text string, newlines bigint, returns bigint, partial boolean"
@@ -191,16 +202,20 @@ def _cut(inside: str, nested: str, keep_returns: bool, opener: str):
         return "".join(out), count
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current = None
+        current, held = None, 0
         out: list[tuple] = []
 
         def emit(partial: bool) -> None:
+            nonlocal held
             owner = opened if carried else block
             out.append((file, owner, block, -1 if carried else first, "".join(buf), newlines, returns, partial))
+            held += len(out[-1][4]) + 100
 
         def flush() -> pa.RecordBatch:
+            nonlocal held
             batch = _batch(out, _PIECES)
             out.clear()
+            held = 0
             return batch
 
         for key, lines in _runs(batches, ["file", "block", "state", "depth", "opened"]):
@@ -227,8 +242,8 @@ def _cut(inside: str, nested: str, keep_returns: bool, opener: str):
                 if (state, depth) == (OUTSIDE, 0):
                     emit(carried)
                     buf, carried, newlines, returns = [], False, 0, 0
-            if out:
-                yield flush()
+                if held > _BATCH_CHARS:
+                    yield flush()
         if current and buf:
             emit(True)
         if out:

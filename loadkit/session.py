@@ -23,6 +23,11 @@ def configure(spark: SparkSession) -> SparkSession:
     # A reference check and the de-duplication after it may share one hot key: let the skewed
     # join split even though that costs another exchange.
     conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # The JVM does not compile methods beyond 8000 bytes of bytecode. A wide projection fused into one
+    # such method runs interpreted; Spark's unfused form cuts it into small ones and is faster.
+    conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    # Outcomes of a load are few: write their files side by side instead of sorting every task first.
+    conf.set("spark.sql.maxConcurrentOutputFileWriters", "8")
     # Input splits must not move when executors join or leave between two passes over a file.
     if conf.get("spark.sql.files.minPartitionNum", None) is None:
         conf.set("spark.sql.files.minPartitionNum", str(max(1, spark.sparkContext.defaultParallelism)))
