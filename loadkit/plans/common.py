@@ -12,7 +12,6 @@ from loadkit.operators.classify import first_reason
 from loadkit.operators.quality import row_counts
 from loadkit.operators.refcheck import mark_parent
 from loadkit.sinks import write_split
-from loadkit.sources.lines import POSITION, number_lines
 
 ACCEPTED, REJECTED, ORPHAN = "accepted", "rejected", "orphan"
 
@@ -62,8 +61,3 @@ def judge(
 
 def blank_as_null(c: str) -> Column:
     return F.when(~blank(c), F.col(c))
-
-
-def numbered(part: DataFrame, every: DataFrame) -> DataFrame:
-    """`part` with line numbers counted over all staged lines."""
-    return number_lines(part, counted=every.select(*POSITION))

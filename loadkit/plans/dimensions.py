@@ -10,13 +10,14 @@ from loadkit.functions.json import decode_json_text, parse_records, to_jsonb_loo
 from loadkit.operators import classify
 from loadkit.operators.keys import keep_one
 from loadkit.operators.quality import key_quality
+from loadkit.operators.refcheck import require_reference
 from loadkit.operators.upsert import split_outcomes, upsert_table
-from loadkit.plans.common import ACCEPTED, ORPHAN, REJECTED, Load, blank_as_null, judge, numbered
+from loadkit.plans.common import ACCEPTED, ORPHAN, REJECTED, Load, blank_as_null, judge
 from loadkit.schemas import APP, APP_CSV, APP_CSV_SHORT, GAME, PC_GAME, Table
 from loadkit.session import stage
 from loadkit.sinks import append_new, conform, read_table, refresh
 from loadkit.sources.csv import scan_csv
-from loadkit.sources.lines import POSITION, scan_lines
+from loadkit.sources.lines import POSITION, line_offsets, number_lines, scan_lines
 
 MISSING_GAME = "unified_app_id_not_in_dim_game_info"
 
@@ -81,10 +82,11 @@ def _finish(judged: DataFrame, table: Table, root: str, dependants: dict, mode:
         path = root
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    rejects = numbered(parts[REJECTED], parts["all"]).select("line_no", "line", "reason")
+    offsets = line_offsets(parts["all"])
+    rejects = number_lines(parts[REJECTED], offsets).select("line_no", "line", "reason")
     orphans = parts[ORPHAN]
     if table.parent_key:
-        orphans = numbered(orphans, parts["all"]).select(
+        orphans = number_lines(orphans, offsets).select(
             "line_no", "line", *table.key, table.parent_key, F.lit(MISSING_GAME).alias("reason")
         )
     return Load(parts["all"], parts[ACCEPTED], rejects, orphans, path)
@@ -158,8 +160,6 @@ def load_apps_csv(
     kept = keep_one(parts[ACCEPTED], ["app_id"], list(order_by) or ["row"])
     typed = cast_app_columns(kept, cast).withColumn("unified_app_id", blank_as_null("unified_app_id"))
     if games is not None:
-        from loadkit.operators.refcheck import require_reference
-
         typed = stage(typed, "typed")
         require_reference(typed, games, "unified_app_id")
     if mode == "append":

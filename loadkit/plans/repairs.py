@@ -12,7 +12,8 @@ from loadkit.operators.quality import repair_metrics
 from loadkit.operators.reassemble import reassemble, split_json_list
 from loadkit.session import stage
 from loadkit.sinks import ndjson_lines, write_csv, write_lines
-from loadkit.sources import number_lines, read_json_list, scan_lines
+from loadkit.sources import read_json_list, scan_lines
+from loadkit.sources.lines import line_offsets, number_lines
 
 
 def clean_csv(spark: SparkSession, path: str | list[str], out: str, sink: str = "description", strip_quotes: bool = False) -> DataFrame:
@@ -65,7 +66,7 @@ def repair_ndjson(spark: SparkSession, path: str | list[str], out: str, rejects:
     lines = scan_lines(spark, path, keep_cr=True)
     whole = stage(damage.repair_records(lines, name).withColumn("given", strip_space("line") != ""), "repaired")
     write_lines(whole.filter("record is not null"), out, "record")
-    bad = number_lines(whole.filter("given and record is null"), counted=whole)
+    bad = number_lines(whole.filter("given and record is null"), line_offsets(whole))
     ndjson_lines(bad.select("line_no", F.col("line").alias("raw"))).write.text(rejects)
     return repair_metrics(whole.filter("given"), ok=F.col("record").isNotNull(), bad=F.col("record").isNull(), repaired=F.col("repaired"))
 

@@ -46,6 +46,18 @@ def scratch_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_STAGED: list[str] = []
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete what `stage` wrote in this process; frames of earlier loads must no longer be read."""
+    dropped = len(_STAGED)
+    while _STAGED:
+        where = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return dropped
+
+
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back.
 
@@ -54,6 +66,7 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/stage-{label}-{uuid.uuid4().hex}"
+    _STAGED.append(path)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

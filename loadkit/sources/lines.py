@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadkit.session import broadcast_checked, stage
@@ -13,19 +13,13 @@ _BLOCK = ["file", "block"]
 _RANGES = 64
 
 
-def positioned(raw: DataFrame, keep_cr: bool = False, bad_utf8: str = "replace") -> DataFrame:
-    """`line` and POSITION columns of a text frame, batch or streaming."""
-    value = F.col("value")
+def line_text(value: Column, keep_cr: bool = False, bad_utf8: str = "replace") -> Column:
+    """Text of a physical line: one trailing CR dropped, an empty line NULL."""
     value = F.validate_utf8(value) if bad_utf8 == "fail" else F.make_valid_utf8(value)
-    if not keep_cr:
-        value = F.when(F.endswith(value, F.lit("\r")), F.substring(value, F.lit(1), F.length(value) - 1)).otherwise(value)
-        value = F.nullif(value, F.lit(""))
-    return raw.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"),
-        value.alias("line"),
-    )
+    if keep_cr:
+        return value
+    value = F.when(F.endswith(value, F.lit("\r")), F.substring(value, F.lit(1), F.length(value) - 1)).otherwise(value)
+    return F.nullif(value, F.lit(""))
 
 
 def scan_lines(spark: SparkSession, path: str | list[str], keep_cr: bool = False, bad_utf8: str = "replace") -> DataFrame:
@@ -34,7 +28,12 @@ def scan_lines(spark: SparkSession, path: str | list[str], keep_cr: bool = False
     `keep_cr` leaves carriage returns and empty lines alone for the repair jobs. Invalid UTF-8 is
     replaced, or stops the job with `bad_utf8="fail"`.
     """
-    return positioned(spark.read.option("lineSep", "\n").text(path), keep_cr, bad_utf8)
+    return spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"),
+        line_text(F.col("value"), keep_cr, bad_utf8).alias("line"),
+    )
 
 
 def block_offsets(df: DataFrame) -> DataFrame:
@@ -58,14 +57,19 @@ def block_offsets(df: DataFrame) -> DataFrame:
     )
 
 
-def number_lines(df: DataFrame, counted: DataFrame | None = None, column: str = "line_no") -> DataFrame:
+def line_offsets(df: DataFrame) -> DataFrame:
+    """Staged `block_offsets` of all lines, to number several parts of them."""
+    return stage(block_offsets(df), "offsets")
+
+
+def number_lines(df: DataFrame, offsets: DataFrame | None = None, column: str = "line_no") -> DataFrame:
     """Dense 1-based line numbers in file order (A3).
 
-    `counted` is the frame holding every line when `df` is only a part of them. Lines already staged
-    keep their POSITION; straight from `scan_lines` the splits must be the same in both passes,
-    which `configure` sees to. Lines are not shuffled: the split offsets are joined to them.
+    `offsets`, from `line_offsets` over every line, is needed when `df` is only a part of them. Lines
+    already staged keep their POSITION; straight from `scan_lines` the splits must be the same in
+    both passes, which `configure` sees to. Lines are not shuffled: the offsets are joined to them.
     """
-    offsets = stage(block_offsets(df if counted is None else counted), "offsets")
+    offsets = line_offsets(df) if offsets is None else offsets
     return (
         df.join(broadcast_checked(offsets), _BLOCK)
         .withColumn(column, F.col("pos") + F.col("shift"))

@@ -18,7 +18,7 @@ from loadkit.plans.common import ACCEPTED, ORPHAN, REJECTED
 from loadkit.plans.facts import Fact
 from loadkit.schemas import PROGRESS
 from loadkit.sinks import conform, exists, publish
-from loadkit.sources.lines import POSITION, number_lines
+from loadkit.sources.lines import POSITION, line_text, number_lines
 
 
 def _batches(spark: SparkSession, fact: Fact, work: str, outcome: str, schema: str | None = None) -> DataFrame:
@@ -169,12 +169,10 @@ def stream_fact(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if bytes_per_batch:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
-    value = F.make_valid_utf8("value")
-    value = F.when(F.endswith(value, F.lit("\r")), F.substring(value, F.lit(1), F.length(value) - 1)).otherwise(value)
     raw = reader.text(folder).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.nullif(value, F.lit("")).alias("line"),
+        line_text(F.col("value")).alias("line"),
     )
 
     def each(batch: DataFrame, number: int) -> None:

@@ -72,7 +72,7 @@ def app_load(t, spark):
 
 @query("app_dimension_load", """
     SELECT 'app' || (p_partkey - p_partkey % 2) AS app_id, p_name AS name, CASE WHEN p_partkey % 7 <> 0 THEN 'g' || p_size END AS unified_app_id,
-           true AS active, p_size + 0.5 AS rating, CAST(NULL AS DOUBLE) AS price, p_size AS rating_count,
+           true AS active, CAST(p_size + 0.5 AS DOUBLE) AS rating, CAST(NULL AS DOUBLE) AS price, p_size AS rating_count,
            '[' || p_size || ',null]' AS categories, 'null' AS permissions, '2010-06-28 01:02:03' AS released
     FROM part WHERE p_partkey % 13 <> 5 AND (p_partkey % 7 = 0 OR p_size <= 25)
     QUALIFY row_number() OVER (PARTITION BY p_partkey - p_partkey % 2 ORDER BY p_partkey) = 1""")
