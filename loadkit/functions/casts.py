@@ -148,7 +148,7 @@ LOOSE = {
 def required(parsed: Column, source: Column, label: str) -> Column:
     """Raise when `source` holds text that `parsed` could not read."""
     message = F.concat(F.lit(f"invalid {label}: "), source)
-    return F.when(source.isNotNull() & parsed.isNull(), F.raise_error(message)).otherwise(parsed)
+    return F.coalesce(parsed, F.when(source.isNotNull(), F.raise_error(message)))
 
 
 def strict_cast(c: Column | str, kind: str, on_error: str = "fail") -> Column:
