@@ -62,16 +62,18 @@ def repair_records(df: DataFrame, name: str = "description", line: str = "line")
     left as it is; only the others go through Python.
     """
     df = df.withColumn("__clean", sanitize(line))
-    # The row counter keeps filters on the outcome above this projection, so it runs once.
+    # The row counters keep filters on the outcome above these projections, so each runs once.
     df = df.withColumns({"__json": json_text(parse_strict("__clean")), "__once": F.monotonically_increasing_id()})
     broken = F.col("__json").isNull() & (F.col("__once") >= 0)
-    df = df.withColumn("__quoted", repair_quotes(F.when(broken, F.col("__clean")), name))
-    df = df.withColumn("__again", json_text(parse_strict("__quoted")))
+    quoted = repair_quotes(F.when(broken, F.col("__clean")), name)
+    df = df.withColumns({"__quoted": quoted, "__twice": F.monotonically_increasing_id()})
+    again = json_text(parse_strict(F.col("__quoted")))
+    df = df.withColumn("__again", F.when(F.col("__quoted").isNotNull() & (F.col("__twice") >= 0), again))
     repaired = F.col("__json").isNull() | (F.col("__clean") != F.col(line))
     return (
         df.withColumn("record", F.coalesce("__json", "__again"))
         .withColumn("repaired", F.col("record").isNotNull() & repaired)
-        .drop("__clean", "__json", "__once", "__quoted", "__again")
+        .drop("__clean", "__json", "__once", "__quoted", "__twice", "__again")
     )
 
 

@@ -10,6 +10,10 @@ from loadkit.session import stage
 from loadkit.sinks import conform, current_path, publish, read_table
 
 
+# Touched partitions up to which their values go into the scan's filter.
+PRUNE_BY_LIST = 5000
+
+
 def one_per_key(source: DataFrame, keys: list[str], on_dup: str = "last", order_by: list[str | Column] = ()) -> DataFrame:
     """Resolve keys that occur more than once in a batch (U4).
 
@@ -96,8 +100,13 @@ def upsert_table(
         return batch.count()
     if partition_by not in keys:
         raise ValueError("partition_by must be one of the keys")
-    # Dynamic pruning turns this semi join into a partition filter on the target's scan.
-    touched = target.join(batch.select(partition_by).distinct(), partition_by, "left_semi").select(*target.columns)
+    # One value per folder the batch will write; with ordinary numbers of them the scan is pruned by list.
+    values = batch.select(partition_by).distinct()
+    listed = [r[0] for r in values.limit(PRUNE_BY_LIST + 1).collect()]
+    if len(listed) <= PRUNE_BY_LIST:
+        touched = target.filter(F.col(partition_by).isin(listed))
+    else:
+        touched = target.join(values, partition_by, "left_semi").select(*target.columns)
     merged = stage(upsert(touched, batch, keys, policy, update_cols), "merged")
     (
         merged.hint("rebalance", partition_by)

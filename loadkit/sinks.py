@@ -81,11 +81,15 @@ def current_path(spark: SparkSession, root: str) -> str | None:
 
 
 def read_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Newest complete version, conformed to `schema`; empty when there is none."""
+    """Newest complete version in the columns of `schema`; empty when there is none.
+
+    Columns a file lacks are NULL (A12). Nothing is inferred: no footers are merged, and partition
+    values keep their type, as in '007'.
+    """
     path = current_path(spark, root)
     if path is None:
         return spark.createDataFrame([], schema)
-    return conform(spark.read.option("mergeSchema", True).parquet(path), schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def publish(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
