@@ -34,4 +34,4 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
-from queries import loads, repairs, scalars, tables  # noqa: E402,F401
+from loadkit.queries import loads, repairs, scalars, tables  # noqa: E402,F401

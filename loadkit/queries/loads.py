@@ -8,8 +8,8 @@ from loadkit.plans import dimensions, facts
 from loadkit.schemas import APP, APP_CSV, APP_CSV_SHORT, DAILY, GAME, MONTHLY, PC_GAME
 from loadkit.sources import scan_lines
 from loadkit.streaming import incremental
-from queries import query
-from queries.tables import LINE_ORDER, folder
+from loadkit.queries import query
+from loadkit.queries.tables import LINE_ORDER, folder
 
 
 def write_sorted(rows, order, path, parts=6):

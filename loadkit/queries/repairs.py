@@ -10,9 +10,9 @@ from loadkit.operators.quality import repair_metrics
 from loadkit.plans import repairs
 from loadkit.sources import number_lines, scan_csv, scan_lines
 from loadkit.sources.json_list import explode_json_list
-from queries import query
-from queries.scalars import pick
-from queries.tables import folder
+from loadkit.queries import query
+from loadkit.queries.scalars import pick
+from loadkit.queries.tables import folder
 
 BS = "chr(92)"
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from loadkit.functions import casts, json, registry, text
 from loadkit.operators import classify
 from loadkit.operators.quality import reject_breakdown
-from queries import query
+from loadkit.queries import query
 
 
 def pick(key: str, *values: str) -> str:

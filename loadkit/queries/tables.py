@@ -9,7 +9,7 @@ from loadkit.functions.text import blank
 from loadkit.operators import keys, quality, refcheck, upsert
 from loadkit.schemas import Table, _columns
 from loadkit.session import scratch_dir
-from queries import query
+from loadkit.queries import query
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
