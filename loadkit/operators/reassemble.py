@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from loadkit.functions.json import is_valid_json, json_text, parse_strict
 from loadkit.functions.text import strip_space
-from loadkit.session import BROADCAST_ROWS, stage
+from loadkit.session import BROADCAST_ROWS, broadcast_checked, stage
 from loadkit.sources.lines import POSITION
 
 OUTSIDE, INSIDE, ESCAPED = 0, 1, 2
@@ -318,7 +318,7 @@ def join_list_parts(parts: DataFrame) -> DataFrame:
     ends = records.groupBy("file").agg(
         F.max(at).alias("last"), F.count_if(~F.col("ok")).alias("bad"), F.count(F.lit(1)).alias("n")
     )
-    marked = records.join(ends, "file")
+    marked = records.join(broadcast_checked(stage(ends, "ends")), "file")
     last = at == F.col("last")
     body = strip_space(F.regexp_replace("record", r"\]\z", ""))
     closed = last & F.endswith("record", F.lit("]")) & ~F.col("ok")

@@ -32,13 +32,14 @@ def mark_parent(
     child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None, blank_ok: bool = False, out: str = "has_parent"
 ) -> DataFrame:
     """Add a flag for both outputs in one pass (J1 and J2 together). `blank_ok` accepts blank keys."""
-    keys = _renamed(parent, parent_key or key, key).distinct().withColumn(out, F.lit(True))
+    # Skewed partitions are only split when the join reads both exchanges directly. De-duplicating
+    # on a struct leaves the keys partitioned by something else, so that the join gets its own.
+    keys = _renamed(parent, parent_key or key, key).groupBy(F.struct(key).alias("__one")).agg(F.lit(True).alias(out))
+    keys = keys.select(F.col(f"__one.{key}").cast("string").alias("__join"), out)
     # A NULL key would meet in one task; a per-row stand-in spreads such rows and matches nothing.
     text = F.col(key).cast("string")
     child_key = F.coalesce(text, F.concat(F.lit("\x00"), F.rand(7).cast("string")))
-    joined = child.withColumn("__join", child_key).join(
-        keys.select(F.col(key).cast("string").alias("__join"), out), "__join", "left"
-    )
+    joined = child.withColumn("__join", child_key).join(keys, "__join", "left")
     flag = F.coalesce(F.col(out), F.lit(False))
     if blank_ok:
         flag = flag | blank(text)

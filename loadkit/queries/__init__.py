@@ -1,7 +1,8 @@
 """Queries over the given tables, each with the SQL that states its expected result.
 
 The SQL never repeats the operator: where text is damaged on purpose, it derives the expected value
-from the row's own columns.
+from the row's own columns. Remainders of a key choose which damage a row gets, never which rows are
+read: every query runs over its whole tables.
 """
 
 from __future__ import annotations

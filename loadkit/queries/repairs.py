@@ -204,12 +204,14 @@ def plain_text(rows, path):
     return path
 
 
-def with_header(lines, header, path, parts=4):
-    """Text files that each start with a header line."""
-    cut = lines.repartition(parts).withColumn("__p", F.spark_partition_id()).withColumn("__o", F.monotonically_increasing_id())
-    heads = lines.sparkSession.range(parts).select(F.col("id").cast("int").alias("__p"), F.lit(header).alias("line"), F.lit(-1).cast("long").alias("__o"))
-    whole = cut.select("__p", "line", "__o").unionByName(heads.select("__p", "line", "__o"))
-    whole.repartitionByRange(parts, "__p").sortWithinPartitions("__p", "__o").select(F.col("line").alias("value")).write.text(path)
+def framed(lines, path, head, tail=None, parts=4):
+    """Text files that each start with a head line, and end with a tail line if there is one."""
+    cut = lines.repartition(parts).select(F.spark_partition_id().alias("p"), F.lit(1).alias("place"), "line")
+    for place, text in [(0, head), (2, tail)]:
+        if text is not None:
+            ends = lines.sparkSession.range(parts)
+            cut = cut.unionByName(ends.select(F.col("id").cast("int").alias("p"), F.lit(place).alias("place"), F.lit(text).alias("line")))
+    cut.repartitionByRange(parts, "p").sortWithinPartitions("p", "place").select(F.col("line").alias("value")).write.text(path)
     return path
 
 
@@ -218,7 +220,7 @@ def with_header(lines, header, path, parts=4):
            {pick('p_partkey', 'p_brand', "p_brand || ',more,[1,2]'", 'NULL', "'  '", "'x'")} AS brand FROM part""")
 def _(t, spark):
     path = folder(spark, "clean")
-    with_header(t("part").select(F.expr(pick("p_partkey", *RAGGED)).alias("line")), "id,name,brand", f"{path}-in")
+    framed(t("part").select(F.expr(pick("p_partkey", *RAGGED)).alias("line")), f"{path}-in", "id,name,brand")
     repairs.clean_csv(spark, f"{path}-in", path, "brand")
     return scan_csv(spark, path, ["id", "name", "brand"])
 
@@ -229,7 +231,7 @@ def _(t, spark):
 def _(t, spark):
     path = folder(spark, "convert")
     tags = pick("p_partkey", f"'[' || {Q} || p_brand || {Q} || ', None]'", "'\"[' || p_size || ',2]\"'", "' '")
-    with_header(t("part").select(F.expr("p_partkey || ',\"' || p_name || '\",' || " + tags).alias("line")), 'id,"name",tags', f"{path}-in")
+    framed(t("part").select(F.expr("p_partkey || ',\"' || p_name || '\",' || " + tags).alias("line")), f"{path}-in", 'id,"name",tags')
     repairs.csv_to_ndjson(spark, f"{path}-in", path, json_cols=["tags"])
     parsed = parse_records(scan_lines(spark, path), ["id", "name"], ["tags"])
     return parsed.select("rec.id", "rec.name", json_text("rec.tags").alias("tags"))
@@ -260,12 +262,12 @@ def _(t, spark):
                    F.substring_index("rec.raw", ",", 1).alias("text")))
 
 
-@query("json_list_job", "SELECT CAST(n_nationkey AS VARCHAR) AS k, n_name FROM nation UNION ALL SELECT CAST(r_regionkey AS VARCHAR), r_name FROM region")
+@query("json_list_job", """
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents UNION ALL SELECT '-1', NULL, NULL FROM range(4)""")
 def _(t, spark):
     path = folder(spark, "lists")
-    for name, k, v in [("nation", "n_nationkey", "n_name"), ("region", "r_regionkey", "r_name")]:
-        # Two small lists, one file each.
-        rows = t(name).select(F.struct(F.col(k).alias("k"), F.col(v).alias("n_name")).alias("s"))
-        rows.agg(F.to_json(F.collect_list("s")).alias("value")).coalesce(1).write.text(f"{path}-in/{name}")
-    repairs.json_list_to_ndjson(spark, f"{path}-in/*", path, parallel=True)
-    return parse_records(scan_lines(spark, path), ["k", "n_name"]).select("rec.k", "rec.n_name")
+    # Each file is one list over many lines; its first element is the same small record.
+    items = t("documents").select(F.concat(F.lit(","), F.to_json(F.struct("doc_id", "text", "lang"))).alias("line"))
+    framed(items, f"{path}-in", '[{"doc_id": -1}', "]")
+    repairs.json_list_to_ndjson(spark, f"{path}-in", path, parallel=True)
+    return parse_records(scan_lines(spark, path), ["doc_id", "text", "lang"]).select("rec.doc_id", "rec.text", "rec.lang")

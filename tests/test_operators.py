@@ -44,12 +44,15 @@ def test_hot_key_gives_whole_results(spark):
     rows = spark.range(30000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000).cast("string").alias("k"))
     parent = spark.range(0, 1000, 2).select(F.col("id").cast("string").alias("k"))
     saved = {k: spark.conf.get(k, None) for k in ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
-             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]}
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.shuffle.partitions"]}
     try:
-        for k, v in zip(saved, ["-1", "-1", "1KB", "1KB"]):
+        for k, v in zip(saved, ["-1", "-1", "1KB", "1KB", "2", "16"]):
             spark.conf.set(k, v)
         marked = refcheck.mark_parent(rows, parent, "k")
-        split = {r.has_parent: r["count"] for r in marked.groupBy("has_parent").count().collect()}
+        counted = marked.groupBy("has_parent").count()
+        split = {r.has_parent: r["count"] for r in counted.collect()}
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
         even = sum(1 for i in range(30000) if i % 3 == 0 or (i % 1000) % 2 == 0)
         assert split == {True: even, False: 30000 - even}
         kept = keys.keep_one(marked, ["k"], ["id"], last=True).filter("k = '0'").collect()
