@@ -211,7 +211,8 @@ def framed(lines, path, head, tail=None, parts=4):
         if text is not None:
             ends = lines.sparkSession.range(parts)
             cut = cut.unionByName(ends.select(F.col("id").cast("int").alias("p"), F.lit(place).alias("place"), F.lit(text).alias("line")))
-    cut.repartitionByRange(parts, "p").sortWithinPartitions("p", "place").select(F.col("line").alias("value")).write.text(path)
+    together = cut.repartition(parts, "p").sortWithinPartitions("p", "place")
+    together.select("p", F.col("line").alias("value")).write.partitionBy("p").text(path)
     return path
 
 
