@@ -56,7 +56,10 @@ def json_text(c: Column | str) -> Column:
 
 
 def field_text(variant: Column | str, key: str) -> Column:
-    """Field as text: strings unquoted, nested values as JSON, null and missing as NULL."""
+    """Field as text: strings unquoted, nested values as JSON, null and missing as NULL.
+
+    A variant drops trailing zeros of numbers (`5.0` reads `5`); `parse_records` keeps `5.0`.
+    """
     return F.try_variant_get(col(variant), f"$.{key}", "string")
 
 

@@ -21,7 +21,7 @@ from loadkit.sinks import conform, exists, publish
 from loadkit.sources.lines import POSITION, line_text, number_lines
 
 
-def _batches(spark: SparkSession, fact: Fact, work: str, outcome: str, schema: str | None = None) -> DataFrame:
+def _batches(spark: SparkSession, fact: Fact, work: str, outcome: str) -> DataFrame:
     """Rows of one outcome in all finished batches, with `batch`."""
     if not exists(spark, f"{work}/rows"):
         return spark.createDataFrame([], _row_schema(fact))

@@ -3,7 +3,6 @@ import os
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from loadkit.operators.reassemble import reassemble, split_json_list
 from loadkit.sources import number_lines, read_json_list, scan_lines

@@ -2,7 +2,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from loadkit.operators import damage, jsonish, ragged
 
