@@ -1,39 +1,35 @@
 import json
 import random
+import re
 
 import pytest
 
 from loadkit.operators import damage, jsonish, ragged
 
 
-def char_by_char(line):
-    """Plain statement of the splitting rule, to check the operator against."""
-    fields, buf, quoted, esc, square, curly = [], "", False, False, 0, 0
-    for ch in line:
-        if esc:
-            buf, esc = buf + ch, False
-            continue
-        if ch == "\\":
-            buf, esc = buf + ch, True
-            continue
-        if ch == '"':
-            quoted = not quoted
-        elif not quoted:
-            square = max(0, square + (ch == "[") - (ch == "]"))
-            curly = max(0, curly + (ch == "{") - (ch == "}"))
-        if ch == "," and not quoted and not square and not curly:
-            fields.append(buf)
-            buf = ""
-        else:
-            buf += ch
-    return fields + [buf]
+def nesting(text, opener, closer):
+    """Open brackets at the end of a text in which surplus closers count for nothing."""
+    steps = [(ch == opener) - (ch == closer) for ch in text]
+    return max(sum(steps[i:]) for i in range(len(steps) + 1))
+
+
+def cuts(line, at):
+    """Whether the comma at a place separates fields, judged from the text before it alone."""
+    before = re.sub(r"\\.", "", line[:at])
+    outside = "".join(before.split('"')[::2])
+    return not (before.endswith("\\") or before.count('"') % 2 or nesting(outside, "[", "]") or nesting(outside, "{", "}"))
+
+
+def fields_of(line):
+    places = [-1, *(i for i, ch in enumerate(line) if ch == "," and cuts(line, i)), len(line)]
+    return [line[i + 1 : j] for i, j in zip(places, places[1:])]
 
 
 def test_split_fields(column):
     rng = random.Random(5)
     lines = ["1,[a,b],x", "1,t", '1,"a,b",c', "", ",", "a,b,,", '1,"a\\",b",c', "],1,[2,3", "{a,[b},c]", "\\,a,b", "a\\"]
     lines += ["".join(rng.choice('ab,,"[]{}\\é') for _ in range(rng.randint(0, 25))) for _ in range(400)]
-    assert column(ragged.split_fields, lines) == [char_by_char(x) for x in lines]
+    assert column(ragged.split_fields, lines) == [fields_of(x) for x in lines]
     assert column(ragged.split_fields, [None]) == [None]
 
 
@@ -45,7 +41,7 @@ def test_split_fields(column):
 def test_fit(texts, sink, line, want):
     row = ragged.fit_lines(texts([line], "line"), ["id", "tags", "description"], sink).first()
     assert row.fields == want
-    assert row.repaired == (len(char_by_char(line)) != 3)
+    assert row.repaired == (len(fields_of(line)) != 3)
 
 
 def test_quotes_and_blanks(column):
