@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.llm import mixing, topk, url_filter
+from loadkit.llm import bpe, mixing, simhash, topk, url_filter
 from loadkit.llm.common import prepare, table
 from loadkit.session import stage
 
@@ -114,3 +115,15 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.Mix()
     measured = stage(mixing.measure(table(spark, sf_dir, "documents"), mix), "mix-sizes")
     return mixing.mix_sources(measured, mix)
+
+
+@query("op6_bpe")
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return decoded.select("doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op9_simhash")
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
