@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.llm import bpe, mixing, simhash, topk, url_filter
+from loadkit.llm import bpe, licenses, mixing, simhash, topk, url_filter
 from loadkit.llm.common import prepare, table
 from loadkit.session import stage
 
@@ -127,3 +127,8 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_simhash")
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op7_licenses")
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
