@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.llm import bpe, licenses, mixing, simhash, topk, url_filter
+from loadkit.llm import bpe, licenses, mixing, quality, simhash, topk, url_filter
 from loadkit.llm.common import prepare, table
 from loadkit.session import stage
 
@@ -132,3 +132,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_licenses")
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.fit(docs, quality.learnable(table(spark, sf_dir, "labels"))))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
