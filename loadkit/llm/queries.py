@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.llm import bpe, licenses, mixing, quality, simhash, topk, url_filter
+from loadkit.llm import bpe, licenses, mixing, pii, quality, simhash, topk, url_filter
 from loadkit.llm.common import prepare, table
 from loadkit.session import stage
 
@@ -139,3 +139,16 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.score(docs, quality.fit(docs, quality.learnable(table(spark, sf_dir, "labels"))))
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
+
+
+def _joined(spans: str):
+    parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    return F.array_join(parts, ",")
+
+
+@query("op4_pii")
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    counts = [F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
