@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.llm import bpe, licenses, mixing, pii, quality, simhash, topk, url_filter
+from loadkit.llm import bpe, chunks, licenses, mixing, pii, quality, simhash, topk, url_filter
 from loadkit.llm.common import prepare, table
 from loadkit.session import stage
 
@@ -146,9 +146,18 @@ def _joined(spans: str):
     return F.array_join(parts, ",")
 
 
+def _is_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 @query("op4_pii")
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find(docs, pii.fit(docs))
-    counts = [F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
+    counts = [F.size(F.filter("base", _is_kind(kind))).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.passages(table(spark, sf_dir, "documents")).drop("mark")
