@@ -85,7 +85,7 @@ def _chunk(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         # Places in code points: count the bytes that begin one.
         point = np.concatenate(([0], np.cumsum((bytes_of & 0xC0) != 0x80, dtype=np.int32))) if len(raw) != len(text) else None
         digests = np.array([digest(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist())], dtype=np.uint64).view(np.int64)
-        # A cut may fall inside a character; it then counts with the chunk where it ends.
+        # A cut may fall inside a character, which then counts with the chunk where it begins.
         places = (starts, ends) if point is None else (point[starts], point[ends])
         for name, values in zip(out, (np.full(len(ends), key), np.full(len(ends), mark), *[p.astype(np.int32) for p in places], (ends - starts).astype(np.int32), digests)):
             out[name].append(values)
