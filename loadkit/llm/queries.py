@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.llm import bpe, chunks, licenses, mixing, pii, quality, simhash, topk, url_filter
+from loadkit.llm import bpe, chunks, licenses, mixing, neighbours, pii, quality, simhash, topk, url_filter
 from loadkit.llm.common import prepare, table
 from loadkit.session import stage
 
@@ -161,3 +161,9 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_substring_dedup")
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.passages(table(spark, sf_dir, "documents")).drop("mark")
+
+
+@query("op8_neighbours")
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(neighbours.build(given), given.filter(F.col("vec_id") % 20 == 0), 20)
