@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadkit.llm.common import map_batches
+from loadkit.llm.common import map_batches, unused
 from loadkit.session import stage
 
 WINDOW = 16
@@ -138,9 +138,10 @@ def passages(docs: DataFrame, text: str = "text", key: str = "doc_id", least: in
 
 def remove(docs: DataFrame, found: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """All rows and columns, with the removable places of `found` cut out of the text. Null texts stay null."""
-    places = found.filter("removable").groupBy("mark").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("_places"))
     columns = docs.columns
-    marked = docs.withColumn("_mark", F.xxhash64(F.col(key), F.col(text))).join(places.withColumnRenamed("mark", "_mark"), "_mark", "left").select(*columns, "_places")
+    mark, where = unused(columns, "_mark"), unused(columns, "_places")
+    places = found.filter("removable").groupBy(F.col("mark").alias(mark)).agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias(where))
+    marked = docs.withColumn(mark, F.xxhash64(F.col(key), F.col(text))).join(places, mark, "left").select(*columns, where)
     place = columns.index(text)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -32,6 +32,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """The name, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def same(left: Column, right: Column) -> Column:
     """Equality that holds between two nulls."""
     return left.eqNullSafe(right)

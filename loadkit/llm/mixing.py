@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadkit.llm.common import same
+from loadkit.llm.common import same, unused
 from loadkit.session import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -32,7 +32,7 @@ class Mix:
     share: float = 1.5
     most: int = 2
     seed: str = "mix"
-    range_rows: int = 8192
+    range_rows: int = 1024
 
 
 def targets(sizes: DataFrame, mix: Mix) -> DataFrame:
@@ -106,6 +106,30 @@ def mix_sources(measured: DataFrame, mix: Mix = Mix()) -> DataFrame:
     return queued.withColumn("copies", copies).withColumn("taken", F.col("size") * F.col("copies")).drop("place", "span", "through", "budget", *[f"finish_{t}" for t in range(mix.most)])
 
 
+def take(docs: DataFrame, mix: Mix = Mix(), text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
+    """The mixed corpus: every row as often as it is taken, all columns kept. Rows that are not taken go.
+
+    Rows with the same id, source and text share their copies: each gives an equal number, one of them the rest.
+    """
+    columns = docs.columns
+    marks = F.xxhash64(F.col(key), F.col(source), F.col(text))
+    measured = stage(measure(docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"), marks.alias("mark")), mix, keep=("mark",)), "mix-sizes")
+    mark, rows, copies, copy = (unused(columns, f"_{n}") for n in ("mark", "rows", "copies", "copy"))
+    shared = mix_sources(measured, mix).groupBy(F.col("mark").alias(mark)).agg(F.count("*").alias(rows), F.sum("copies").alias(copies)).filter(F.col(copies) > 0)
+    shared = stage(shared, "mix-copies")
+    marked = docs.withColumn(mark, marks)
+
+    def given(part: DataFrame, times: str) -> DataFrame:
+        return part.withColumn(copy, F.explode(F.expr(f"sequence(1, {times})"))).select(*columns)
+
+    # The usual case needs no second look at the texts.
+    out = given(marked.join(shared.filter(F.col(copies) >= F.col(rows)), mark), f"{copies} div {rows}")
+    uneven = shared.filter(F.col(copies) % F.col(rows) > 0)
+    if uneven.limit(1).count():
+        out = out.unionByName(given(marked.join(uneven, mark).dropDuplicates([mark]), f"{copies} % {rows}"))
+    return out
+
+
 def _cut(queued: DataFrame, goals: DataFrame, mix: Mix, ranges: int) -> tuple[float, int] | None:
     """The last finish time and source that fit the budget when all queues are merged by finish time."""
     first = goals.agg(F.max("budget")).first()
