@@ -17,6 +17,7 @@ TRUE_WORDS = ["true", "t", "1", "yes", "y"]
 FALSE_WORDS = ["false", "f", "0", "no", "n"]
 
 BASED_INT = r"[+-]?0(?:x(?:_?[0-9a-f])+|o(?:_?[0-7])+|b(?:_?[01])+)"
+OCTAL_64 = r"^1[0-7]{21}\z"
 FLOAT = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 METRIC = r"-?[0-9]+"
 YEAR_MONTH = r"[0-9]{4}-[0-9]{2}"
@@ -32,18 +33,35 @@ _END = r"(?=\z|[t ])"
 # Rewrites of trimmed, lower-case text towards yyyy-M-d, one space before the time, none before the
 # zone, and seconds. Month names are replaced after the first two.
 NAME_REWRITES = [
+    (r"^(?:mon(?:day)?|tue(?:s(?:day)?)?|wed(?:nesday)?|thu(?:r(?:s(?:day)?)?)?|fri(?:day)?|sat(?:urday)?|sun(?:day)?)(?:, *| +)", ""),
+    (rf"^{_NAME}-([0-9]{{1,2}})-([0-9]{{4}}){_END}", "$3-$1-$2"),
     (rf"^{_NAME} +([0-9]{{1,2}})(?:, *| +)([0-9]{{4}}){_END}", "$3-$1-$2"),
     (rf"^([0-9]{{1,2}})[ -]{_NAME}[ -]([0-9]{{4}}){_END}", "$3-$2-$1"),
 ]
 DATE_REWRITES = [
+    (r"^([0-9]{4})([0-9]{2})([0-9]{2})[t ]([0-9]{2})([0-9]{2})(?:([0-9]{2})|(?![0-9]))", "$1-$2-$3 $4:$5:$6"),
+    (r"^([0-9-]+ [0-9]{2}:[0-9]{2}):(?![0-9])", "$1"),
     (rf"^([0-9]{{4}})([0-9]{{2}})([0-9]{{2}}){_END}", "$1-$2-$3"),
     (rf"^([0-9]{{1,2}})([/-])([0-9]{{1,2}})\2([0-9]{{4}}){_END}", "$4-$1-$3"),
     (r"^([0-9]{4})/([0-9]{1,2})/", "$1-$2-"),
     (r"^([0-9-]+)(?:t\s*|\s+)(?=[0-9])", "$1 "),
     (r"(?<=[0-9])\s*(?:z|utc|gmt)\z", "Z"),
     (r"(?<=:[0-9]{2})\s+(?=[+-])", ""),
-    (r"^([0-9-]+ [0-9]{1,2}:[0-9]{2})(?=\z|[Z+-])", "$1:00"),
+    (r"^([0-9-]+ [0-9]{1,2}:[0-9]{2})(?=\z|[Z+ -])", "$1:00"),
 ]
+# Once more at the end, as what stood before the zone or the minutes may be gone.
+ZONE_REWRITES = DATE_REWRITES[-3:]
+# Zone abbreviations and their offsets from UTC.
+ZONES = {
+    "est": "-05:00", "edt": "-04:00", "cst": "-06:00", "cdt": "-05:00", "mst": "-07:00", "mdt": "-06:00", "pst": "-08:00", "pdt": "-07:00",
+    "akst": "-09:00", "akdt": "-08:00", "hst": "-10:00", "wet": "+00:00", "west": "+01:00", "bst": "+01:00", "cet": "+01:00", "cest": "+02:00",
+    "eet": "+02:00", "eest": "+03:00", "msk": "+03:00", "jst": "+09:00", "kst": "+09:00",
+}
+# A time on the 12-hour clock: date, hour, rest, half of the day, zone.
+HALF_DAY = r"^([0-9-]+) (0?[1-9]|1[0-2])(:[0-5][0-9](?::[0-5][0-9](?:\.[0-9]+)?)?) ?([ap])\.?m\.?(?=\z|[ zZ+-])(.*)\z"
+ZONE = r"(?<=[0-9]) ?([a-z]{3,4})\z"
+REGION = r"(?<=[0-9]|[aApP][mM]|[aApP]\.[mM]\.) ?([A-Za-z]+(?:/[A-Za-z_+-]+)+)\s*\z"
+MIDNIGHT = r"^([0-9-]+ )24:00(?::00(?:\.0+)?)?(?=\z|[Z+ -])"
 STAMP = (
     r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})(?: (?:[01]?[0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](?:\.[0-9]+)?"
     r"(?:Z|[+-](?:0?[0-9]|1[0-5])(?::?[0-5][0-9])?)?)?\z"
@@ -73,9 +91,10 @@ def _integer(c: Column, spark_type: str) -> Column:
     letter = F.regexp_extract(word, "[xob]", 0)
     bits = F.when(letter == "x", 4).when(letter == "o", 3).when(letter == "b", 1)
     digits = F.regexp_replace(word, r"^[+-]?0[xob]_*0*|_", "")
-    # At most 62 bits reach `conv`; a longer number is taken to be out of range.
+    # `conv` takes up to 64 bits; what is longer is out of range, and the cast decides about the last bit.
+    # 22 octal digits are 64 bits only after a leading 1.
     number = F.when(
-        F.length(digits) * bits <= 62,
+        (F.length(digits) * bits <= 64) | ((letter == "o") & F.rlike(digits, F.lit(OCTAL_64))),
         F.call_function("conv", F.concat(F.lit("0"), digits), F.call_function("shiftleft", F.lit(1), bits), F.lit(10)),
     )
     based = F.concat(F.regexp_extract(word, "^-", 0), number).try_cast(spark_type)
@@ -120,17 +139,37 @@ def _iso(c: Column) -> Column:
     return iso
 
 
+def _clock(c: Column) -> tuple[Column, Column, Column]:
+    """Text of a time on the 24-hour clock with an offset, a region name if it ends with one, and whether it is 24:00."""
+    region = F.regexp_extract(c, REGION, 1)
+    iso = _iso(F.regexp_replace(c, REGION, ""))
+    half = [F.regexp_extract(iso, HALF_DAY, i) for i in range(1, 6)]
+    hour = half[1].try_cast("int") % 12 + F.when(half[3] == "p", 12).otherwise(0)
+    iso = F.when(half[3] != "", F.concat(half[0], F.lit(" "), hour.cast("string"), half[2], F.trim(half[4]))).otherwise(iso)
+    zone = F.regexp_extract(iso, ZONE, 1)
+    offset = F.try_element_at(F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair]), zone)
+    iso = F.when(offset.isNotNull(), F.concat(F.regexp_replace(iso, ZONE, ""), offset)).otherwise(iso)
+    last = F.rlike(iso, F.lit(MIDNIGHT))
+    iso = F.regexp_replace(iso, MIDNIGHT, "$100:00:00")
+    for pattern, form in ZONE_REWRITES:
+        iso = F.regexp_replace(iso, pattern, form)
+    return iso, region, last
+
+
 def to_date_loose(c: Column | str) -> Column:
     """T11. A time and zone after the date are checked and dropped."""
     c = col(c)
-    slow = F.regexp_extract(_iso(c), STAMP, 1).try_cast("date")
+    slow = F.regexp_extract(_clock(c)[0], STAMP, 1).try_cast("date")
     return F.when(F.rlike(c, F.lit(USUAL_DATE)), c.try_cast("date")).otherwise(slow)
 
 
 def to_timestamptz_loose(c: Column | str) -> Column:
     """T12. Text without a zone is UTC; a bare date is midnight."""
     c = col(c)
-    slow = F.regexp_extract(_iso(c), STAMP, 0).try_cast("timestamp")
+    iso, region, last = _clock(c)
+    found = F.regexp_extract(iso, STAMP, 0)
+    slow = F.when(found != "", F.concat(found, F.when(region != "", F.concat(F.lit(" "), region)).otherwise(""))).try_cast("timestamp")
+    slow = F.when(last, slow + F.expr("INTERVAL 24 HOURS")).otherwise(slow)
     return F.when(F.rlike(c, F.lit(USUAL_STAMP)), c.try_cast("timestamp")).otherwise(slow)
 
 

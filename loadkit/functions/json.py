@@ -12,7 +12,11 @@ from pyspark.sql import functions as F
 
 from loadkit.functions.text import blank, col
 
-STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+# No limit of the reader turns a valid line away: nesting, length of a text or a number.
+_MOST = str(2**31 - 1)
+STRICT = {
+    "allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "maxNestingDepth": _MOST, "maxStringLen": _MOST, "maxNumLen": _MOST,
+}
 
 # Escapes the target engine refuses: the NUL character and halves of a surrogate pair.
 _ODD = r"(?<!\\)(?:\\\\)*+"
@@ -46,8 +50,25 @@ def parse_strict(c: Column | str) -> Column:
 
 
 def is_valid_json(c: Column | str) -> Column:
-    """True for exactly one JSON value; NULL and blank text are not valid."""
-    return parse_strict(c).isNotNull()
+    """True for exactly one JSON value; NULL and blank text are not valid.
+
+    The text is read past twice, as a field and in a list: text that goes on after its first value fits one
+    of them at most. A digest behind it shows that the reader came to the end. Nothing of the value is built, so
+    its size and depth do not matter.
+    """
+    c = col(c)
+    digest = _digest(c)
+
+    def fits(head: str, tail: str) -> Column:
+        whole = F.concat(F.lit(head), c, F.lit(f'{tail},"digest":"'), digest, F.lit('"}'))
+        return F.from_json(whole, "STRUCT<digest STRING>", STRICT)["digest"] == digest
+
+    return F.coalesce(fits('{"value":', "") & fits('{"list":[', "]") & ~bad_escape(c), F.lit(False))
+
+
+def one_line(c: Column | str) -> Column:
+    """Valid JSON on one line, otherwise as given: line breaks can only stand between its parts."""
+    return F.trim(F.regexp_replace(col(c), r"[\r\n\t]+", " "))
 
 
 def json_text(c: Column | str) -> Column:
@@ -141,6 +162,10 @@ def parse_records(
         df.withColumns({"__items": parsed, "__sha": digest, "__once": F.monotonically_increasing_id()})
         .withColumn(out, record)
         # Arrays and scalars are valid too, but have no fields; only lines that gave no record pay.
-        .withColumn(f"{out}_ok", F.when(F.col(out).isNotNull(), F.lit(True)).otherwise(is_valid_json(c)))
-        .drop("__items", "__sha", "__once")
+        .withColumns({
+            "__valid": F.when(F.col(out).isNotNull(), F.lit(True)).otherwise(is_valid_json(c)), "__twice": F.monotonically_increasing_id(),
+        })
+        # The second counter keeps a filter on this flag, too, from bringing the check along.
+        .withColumn(f"{out}_ok", F.col("__valid") & (F.col("__twice") >= 0))
+        .drop("__items", "__sha", "__once", "__valid", "__twice")
     )

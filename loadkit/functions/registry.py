@@ -21,7 +21,8 @@ def _integer(kind: str) -> str:
     letter = f"regexp_extract({word}, '[xob]', 0)"
     bits = f"CASE {letter} WHEN 'x' THEN 4 WHEN 'o' THEN 3 WHEN 'b' THEN 1 END"
     digits = f"regexp_replace({word}, r'^[+-]?0[xob]_*0*|_', '')"
-    number = f"CASE WHEN length({digits}) * {bits} <= 62 THEN conv(concat('0', {digits}), shiftleft(1, {bits}), 10) END"
+    wide = f"({letter} = 'o' AND rlike({digits}, r'{casts.OCTAL_64}'))"
+    number = f"CASE WHEN length({digits}) * {bits} <= 64 OR {wide} THEN conv(concat('0', {digits}), shiftleft(1, {bits}), 10) END"
     return rf"""coalesce(try_cast(regexp_extract({plain}, r'\A{space}*[+-]?[0-9]+{space}*\z', 0) AS {kind}),
         CASE WHEN rlike(txt, '0[xXoObB]') THEN try_cast(concat(regexp_extract({word}, '^-', 0), {number}) AS {kind}) END)"""
 
@@ -40,7 +41,8 @@ def _numeric() -> str:
 
 
 def _iso() -> str:
-    iso = f"lower({_trimmed()})"
+    trimmed = _trimmed().replace("(txt,", f"(regexp_replace(txt, r'{casts.REGION}', ''),", 1)
+    iso = f"lower({trimmed})"
     for pattern, form in casts.NAME_REWRITES:
         iso = f"regexp_replace({iso}, r'{pattern}', '{form}')"
     for number, name in enumerate(casts.MONTHS, 1):
@@ -50,13 +52,38 @@ def _iso() -> str:
     return iso
 
 
+def _steps(result: str) -> str:
+    """`result` over `txt`, `iso`, `region` and `last`, each step worked out once as a lambda of the one before."""
+    half = [f"regexp_extract(iso, r'{casts.HALF_DAY}', {i})" for i in range(1, 6)]
+    hour = f"cast(try_cast({half[1]} AS int) % 12 + CASE WHEN {half[3]} = 'p' THEN 12 ELSE 0 END AS string)"
+    zones = ", ".join(f"'{k}', '{v}'" for k, v in casts.ZONES.items())
+    offset = f"try_element_at(map({zones}), regexp_extract(iso, r'{casts.ZONE}', 1))"
+    end = f"regexp_replace(iso, r'{casts.MIDNIGHT}', '$100:00:00')"
+    for pattern, form in casts.ZONE_REWRITES:
+        end = f"regexp_replace({end}, r'{pattern}', '{form}')"
+    steps = [
+        f"CASE WHEN {half[3]} <> '' THEN concat({half[0]}, ' ', {hour}, {half[2]}, trim({half[4]})) ELSE iso END",
+        f"CASE WHEN {offset} IS NOT NULL THEN concat(regexp_replace(iso, r'{casts.ZONE}', ''), {offset}) ELSE iso END",
+        f"concat({end}, CASE WHEN rlike(iso, r'{casts.MIDNIGHT}') THEN '#' ELSE '' END)",
+        result,
+    ]
+    found = f"array({_iso()})"
+    for step in steps:
+        found = f"transform({found}, iso -> {step})"
+    return f"{found}[0]"
+
+
 def _timestamp() -> str:
-    slow = f"try_cast(regexp_extract({_iso()}, r'{casts.STAMP}', 0) AS timestamp)"
+    # `#` marks 24:00, which is the midnight that follows.
+    found = f"regexp_extract(replace(iso, '#', ''), r'{casts.STAMP}', 0)"
+    region = f"regexp_extract(txt, r'{casts.REGION}', 1)"
+    at = f"try_cast(CASE WHEN {found} <> '' THEN concat({found}, CASE WHEN {region} <> '' THEN concat(' ', {region}) ELSE '' END) END AS timestamp)"
+    slow = _steps(f"CASE WHEN endswith(iso, '#') THEN {at} + INTERVAL 24 HOURS ELSE {at} END")
     return f"CASE WHEN rlike(txt, r'{casts.USUAL_STAMP}') THEN try_cast(txt AS timestamp) ELSE {slow} END"
 
 
 def _date() -> str:
-    slow = f"try_cast(regexp_extract({_iso()}, r'{casts.STAMP}', 1) AS date)"
+    slow = _steps(f"try_cast(regexp_extract(replace(iso, '#', ''), r'{casts.STAMP}', 1) AS date)")
     return f"CASE WHEN rlike(txt, r'{casts.USUAL_DATE}') THEN try_cast(txt AS date) ELSE {slow} END"
 
 

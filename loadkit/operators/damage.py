@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadkit.functions.json import json_text, parse_strict
+from loadkit.functions.json import is_valid_json
 from loadkit.functions.text import col, strip_space
 from loadkit.session import stage
 
@@ -18,6 +18,7 @@ _CLOSES = re.compile(r"\s*[,}]")
 
 def sanitize(c: Column | str) -> Column:
     r"""B8. Drop control characters, turn \xHH into xHH, double a backslash that starts no escape."""
+    # The patterns and their order decide the result.
     t = F.regexp_replace(col(c), r"[\x00-\x1f\x7f]", "")
     t = F.regexp_replace(t, r"\\x([0-9A-Fa-f]{2})", "x$1")
     return F.regexp_replace(t, r'\\([^"\\/bfnrtu])', r"\\\\$1")
@@ -58,16 +59,16 @@ def repair_quotes(c: Column | str, name: str = "description") -> Column:
 def repair_records(df: DataFrame, name: str = "description", line: str = "line") -> DataFrame:
     """B10. Add `record` (JSON text, NULL when beyond repair) and `repaired`.
 
-    Blank lines give NULL too and are told apart by the caller. A line that is valid after B8 is
+    The record is the text itself after the repair: numbers, key order and spaces stay as they were given. Blank lines give NULL too and are told apart by the caller. A line that is valid after B8 is
     left as it is; only the others go through Python.
     """
     df = df.withColumn("__clean", sanitize(line))
     # The row counters keep filters on the outcome above these projections, so each runs once.
-    df = df.withColumns({"__json": json_text(parse_strict("__clean")), "__once": F.monotonically_increasing_id()})
+    df = df.withColumns({"__json": F.when(is_valid_json("__clean"), F.col("__clean")), "__once": F.monotonically_increasing_id()})
     broken = F.col("__json").isNull() & (F.col("__once") >= 0)
     quoted = repair_quotes(F.when(broken, F.col("__clean")), name)
     df = df.withColumns({"__quoted": quoted, "__twice": F.monotonically_increasing_id()})
-    again = json_text(parse_strict(F.col("__quoted")))
+    again = F.when(is_valid_json("__quoted"), F.col("__quoted"))
     df = df.withColumn("__again", F.when(F.col("__quoted").isNotNull() & (F.col("__twice") >= 0), again))
     repaired = F.col("__json").isNull() | (F.col("__clean") != F.col(line))
     return (

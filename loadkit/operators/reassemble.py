@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.functions.json import is_valid_json, json_text, parse_strict
+from loadkit.functions.json import is_valid_json, one_line
 from loadkit.functions.text import strip_space
 from loadkit.session import BROADCAST_ROWS, broadcast_checked, stage
 from loadkit.sources.lines import POSITION
@@ -298,7 +298,7 @@ def reassemble(
 def split_json_list(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A4 for large files: the list is read in parallel, cut at its top-level commas.
 
-    `file`, `block`, `idx`, `line`; text that is not one JSON list fails the job when it is read.
+    `file`, `block`, `idx`, `line`, an element as given on one line; text that is not one JSON list fails the job when it is read.
     """
     parts = spark.read.option("lineSep", ",").text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -323,8 +323,8 @@ def join_list_parts(parts: DataFrame) -> DataFrame:
     body = strip_space(F.regexp_replace("record", r"\]\z", ""))
     closed = last & F.endswith("record", F.lit("]")) & ~F.col("ok")
     element = F.when(closed, body).otherwise(F.col("record"))
-    value = parse_strict(element)
+    valid = is_valid_json(element)
     empty_list = closed & (body == "") & (F.col("n") == 1)
     whole = (F.col("bad") == 1) & (F.col("ok") | closed)
-    line = F.when(~whole | (value.isNull() & ~empty_list), F.raise_error(F.lit("expected a JSON list"))).otherwise(json_text(value))
+    line = F.when(~whole | (~valid & ~empty_list), F.raise_error(F.lit("expected a JSON list"))).otherwise(one_line(element))
     return marked.select("file", "block", "idx", line.alias("line"), empty_list.alias("none")).filter("not none").drop("none")

@@ -36,9 +36,11 @@ def mark_parent(
     # on a struct leaves the keys partitioned by something else, so that the join gets its own.
     keys = _renamed(parent, parent_key or key, key).groupBy(F.struct(key).alias("__one")).agg(F.lit(True).alias(out))
     keys = keys.select(F.col(f"__one.{key}").cast("string").alias("__join"), out)
-    # A NULL key would meet in one task; a per-row stand-in spreads such rows and matches nothing.
+    # A NULL key would meet in one task; a stand-in made of the row spreads such rows and matches nothing.
+    # It is the same when a task runs again.
     text = F.col(key).cast("string")
-    child_key = F.coalesce(text, F.concat(F.lit("\x00"), F.rand(7).cast("string")))
+    hashed = [c for c, kind in child.dtypes if "variant" not in kind and "map<" not in kind]
+    child_key = F.coalesce(text, F.concat(F.lit("\x00"), F.xxhash64(*[F.col(f"`{c}`") for c in hashed]).cast("string")))
     joined = child.withColumn("__join", child_key).join(keys, "__join", "left")
     flag = F.coalesce(F.col(out), F.lit(False))
     if blank_ok:

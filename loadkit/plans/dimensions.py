@@ -152,12 +152,16 @@ def load_apps_csv(
     which stops the load when missing.
     """
     columns = APP_CSV if cast == "loose" else APP_CSV_SHORT
-    raw = source if isinstance(source, DataFrame) else scan_csv(spark, source, columns, multi_line)
+    # Rows of a frame have no place in a file; those of files keep theirs, so that the first one stays.
+    given = isinstance(source, DataFrame)
+    raw = source if given else scan_csv(spark, source, columns, multi_line, position=True)
+    place = ["row"] if given else POSITION
+    raw = raw.withColumn("row", F.monotonically_increasing_id()) if given else raw
     good = csv_id_ok() if cast == "loose" else ~classify.blank("app_id")
     outcome = F.when(good, F.lit(ACCEPTED)).otherwise(F.lit(REJECTED))
-    parts = split_outcomes(raw.withColumns({"row": F.monotonically_increasing_id(), "outcome": outcome}))
+    parts = split_outcomes(raw.withColumn("outcome", outcome))
     # One row per id while all columns are still text, so only survivors are cast.
-    kept = keep_one(parts[ACCEPTED], ["app_id"], list(order_by) or ["row"])
+    kept = keep_one(parts[ACCEPTED], ["app_id"], list(order_by) or place).drop(*place)
     typed = cast_app_columns(kept, cast).withColumn("unified_app_id", blank_as_null("unified_app_id"))
     if games is not None:
         typed = stage(typed, "typed")
@@ -167,7 +171,7 @@ def load_apps_csv(
         path = root
     else:
         path = refresh(conform(typed, APP.schema), root, dependants)
-    rejects = parts[REJECTED].drop("row")
+    rejects = parts[REJECTED].drop(*place)
     return (
         Load(parts["all"], parts[ACCEPTED], rejects, rejects.limit(0), path),
         key_quality(parts["all"], "app_id", csv_id_ok()),

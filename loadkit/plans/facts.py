@@ -100,13 +100,13 @@ def load_fact(
     partition_by: str | None = None,
     **options,
 ) -> Load:
-    """One-shot load. P6 is the daily fact with `orphans="fail"`, P9 the monthly one with `drop`.
+    """One-shot load. P6 is the daily fact with `orphans="fail"`, P9 the monthly one with `drop` and policy `replace`.
 
     Orphans fail the load, are diverted to the result's `orphans`, or are dropped. When a key occurs
-    more than once the last line wins, or the first with policy `keep`, unless `on_dup` says otherwise.
+    more than once the last line wins, or the first with policy `keep`, unless `on_dup` says otherwise. The policy is the fact's own by default.
     `upsert` merges into the stored table under `policy`.
     """
-    policy = policy or "replace"
+    policy = policy or fact.policy
     on_dup = on_dup or ("first" if policy == "keep" else "last")
     lines = source if isinstance(source, DataFrame) else scan_lines(spark, source)
     parts = split_outcomes(fact.judged(lines, parent, **options))

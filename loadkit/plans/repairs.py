@@ -43,12 +43,16 @@ def csv_to_ndjson(
     spark: SparkSession, path: str | list[str], out: str, sink: str | None = None, json_cols: list[str] = (),
     keep_empty: bool = False, rejects: str | None = None,
 ) -> DataFrame:
-    """Ragged CSV to NDJSON (B1-B6, A5). Lines with a value JSON has no form for go to `rejects`."""
+    """Ragged CSV to NDJSON (B1-B6, A5). Lines with a value JSON has no form for go to `rejects`, or fail the job without one."""
     lines = scan_lines(spark, path, keep_cr=True)
     heads = ragged.first_lines(lines)
     header = ragged.header_names(heads)
     rows = stage(csv_rows(ragged.body_lines(lines, heads), header, sink, list(json_cols), keep_empty), "csv-rows")
-    if rejects is not None:
+    if rejects is None:
+        bad = rows.filter("jsonish_bad").select("line").limit(5).collect()
+        if bad:
+            raise ValueError(f"no JSON form, for example {[r.line[:200] for r in bad]}; give `rejects` to set such lines aside")
+    else:
         rows.filter("jsonish_bad").select("line", F.lit("no_json_form").alias("reason")).write.parquet(rejects)
     ndjson_lines(rows.filter("not jsonish_bad").select(*[F.col(f"`{c}`") for c in header])).write.text(out)
     return repair_metrics(rows, repaired=F.col("repaired"), bad=F.col("jsonish_bad"))

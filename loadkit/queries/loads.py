@@ -12,9 +12,10 @@ from loadkit.queries import query
 from loadkit.queries.tables import LINE_ORDER, folder
 
 
-def write_sorted(rows, order, path, parts=6):
-    """`line` as text files whose names sort as the rows do."""
-    sorted_rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+def write_sorted(rows, order, path, parts=None):
+    """`line` as text files whose names sort as the rows do; Spark chooses their number unless it matters."""
+    ranged = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
+    sorted_rows = ranged.sortWithinPartitions(*order)
     sorted_rows.select(F.col("line").alias("value")).write.text(path)
     return path
 
@@ -118,7 +119,7 @@ def _(t, spark):
         t("part"), APP_CSV, f"{path}-in", app_id=CSV_ID, name="'\"' || p_name || '\", ' || p_brand", categories="'[' || chr(39) || p_brand || chr(39) || ', None]'",
         price="CASE WHEN p_size > 25 THEN CAST(p_retailprice AS STRING) ELSE 'free' END", rating_count="p_size",
         active="CASE WHEN p_size > 10 THEN 'Yes' ELSE 'f' END", description="lpad(CAST(p_partkey AS STRING), 15, '0')")
-    dimensions.load_apps_csv(spark, source, path, order_by=["description"])
+    dimensions.load_apps_csv(spark, source, path)
     return sinks.read_table(spark, path, APP.schema).select("app_id", "name", json_text("categories").alias("categories"), "price", "rating_count", "active")
 
 
@@ -225,10 +226,19 @@ def _(t, spark):
     fact = facts.DAILY_FACT
     lost = incremental.batch_orphans(spark, fact, work).groupBy("batch").agg(F.count(F.lit(1)).alias("orphans"))
     bad = incremental.batch_rejects(spark, fact, work).groupBy("batch").agg(F.count(F.lit(1)).alias("rejects"))
-    done = incremental.progress(spark, work).join(lost, "batch").join(bad, "batch")
+    done = incremental.progress(spark, work).join(lost, "batch", "left").join(bad, "batch", "left").fillna(0, ["orphans", "rejects"])
     return done.select("batch", "processed_lines", "total_lines", "inserted_rows", "orphans", "rejects")
 
 
+@query("daily_fact_orphans", f"""
+    WITH numbered AS (SELECT *, row_number() OVER (ORDER BY {", ".join(ORDER)}) AS line_no FROM lineitem)
+    SELECT line_no, CAST(l_partkey AS VARCHAR) AS app_id, 'S' || l_suppkey AS country_android, {DAY['sql']} AS day, CAST(l_linenumber AS BIGINT) AS revenue_iphone
+    FROM numbered WHERE l_linenumber <> 7 AND NOT {SMALL}""")
+def _(t, spark):
+    lost = incremental.batch_orphans(spark, facts.DAILY_FACT, daily_batches(t, spark) + "-work")
+    return lost.select("line_no", "app_id", "country_android", F.date_format("date", "yyyy-MM-dd").alias("day"), "revenue_iphone")
+
+
 @query("daily_fact_stream", """
     SELECT CAST(user_id AS VARCHAR) AS app_id, 'E' || event_id AS country_android, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS ts,
            event_id AS downloads_iphone FROM events""")
@@ -291,5 +301,5 @@ def _(t, spark):
 @query("monthly_fact_replace", monthly_sql("DESC"))
 def _(t, spark):
     root = folder(spark, "monthly-replace")
-    facts.load_fact(spark, monthly_lines(t, f"{root}-in"), facts.MONTHLY_FACT, root, pc_games(t), orphans="drop", partition_by="month")
+    facts.load_fact(spark, monthly_lines(t, f"{root}-in"), facts.MONTHLY_FACT, root, pc_games(t), orphans="drop", policy="replace", partition_by="month")
     return monthly_table(spark, root)

@@ -120,17 +120,23 @@ def _(t, spark):
     return parse_records(fixed, ["description"]).select("doc_id", F.col("rec.description").alias("text"))
 
 
+def raw_text(c):
+    """`nope {"doc_id": N, "description": "..."}` as `nope N...`, the whole text with its escapes undone."""
+    inner = F.from_json(F.substring(c, F.lit(6), F.length(c)), "doc_id STRING, description STRING")
+    return F.concat(F.substring(c, 1, 5), inner["doc_id"], inner["description"])
+
+
 MIXED = pick("doc_id", DAMAGED, QUOTED, "'nope ' || " + DAMAGED, "'  '")
 
 
 @query("repair_or_reject", """
     SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'good' WHEN 1 THEN 'good' ELSE 'bad' END AS outcome,
-           CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN 'say "hi" now ' || text END AS text FROM documents WHERE doc_id % 4 <> 3""")
+           CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN 'say "hi" now ' || text ELSE 'nope ' || doc_id || text END AS text FROM documents WHERE doc_id % 4 <> 3""")
 def _(t, spark):
     good, bad = damage.repair_or_reject(t("documents").select("doc_id", F.expr(MIXED).alias("line")))
     parsed = parse_records(good, ["description"], line="record")
     return parsed.select("doc_id", F.lit("good").alias("outcome"), F.col("rec.description").alias("text")).unionByName(
-        bad.select("doc_id", F.lit("bad").alias("outcome"), F.lit(None).cast("string").alias("text")))
+        bad.select("doc_id", F.lit("bad").alias("outcome"), raw_text("line").alias("text")))
 
 
 # A4: each document as a JSON list of its lines.
@@ -162,7 +168,7 @@ def _(t, spark):
 @query("line_numbers", "SELECT row_number() OVER (ORDER BY o_orderkey) AS line_no, CAST(o_orderkey AS VARCHAR) AS line FROM orders")
 def _(t, spark):
     path = folder(spark, "numbers")
-    t("orders").select(F.col("o_orderkey").cast("string").alias("value")).repartitionByRange(6, F.col("value").cast("long")).sortWithinPartitions(
+    t("orders").select(F.col("o_orderkey").cast("string").alias("value")).repartitionByRange(F.col("value").cast("long")).sortWithinPartitions(
         F.col("value").cast("long")).write.text(path)
     return number_lines(scan_lines(spark, path)).select("line_no", "line")
 
@@ -199,6 +205,11 @@ def _(t, spark):
 
 # P10: whole repair jobs, file to file.
 
+def write_sorted(rows, order, path):
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).select(F.col("line").alias("value")).write.text(path)
+    return path
+
+
 def plain_text(rows, path):
     rows.select(F.col("line").alias("value")).write.text(path)
     return path
@@ -251,7 +262,7 @@ def _(t, spark):
 @query("repair_ndjson_job", """
     SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'good' AS outcome, CASE doc_id % 4 WHEN 0 THEN text ELSE 'say "hi" now ' || text END AS text
     FROM documents WHERE doc_id % 4 IN (0, 1)
-    UNION ALL SELECT NULL, 'bad', 'nope {"doc_id": ' || doc_id FROM documents WHERE doc_id % 4 = 2""")
+    UNION ALL SELECT NULL, 'bad', 'nope ' || doc_id || text FROM documents WHERE doc_id % 4 = 2""")
 def _(t, spark):
     path = folder(spark, "mend")
     plain_text(t("documents").select(F.expr(MIXED).alias("line")), f"{path}-in")
@@ -260,7 +271,27 @@ def _(t, spark):
     bad = parse_records(scan_lines(spark, f"{path}-bad"), ["line_no", "raw"])
     return good.select("rec.doc_id", F.lit("good").alias("outcome"), F.col("rec.description").alias("text")).unionByName(
         bad.select(F.lit(None).cast("string").alias("doc_id"), F.lit("bad").alias("outcome"),
-                   F.substring_index("rec.raw", ",", 1).alias("text")))
+                   raw_text(F.col("rec.raw")).alias("text")))
+
+
+@query("repair_ndjson_line_numbers", """
+    SELECT row_number() OVER (ORDER BY doc_id) AS line_no, doc_id FROM documents QUALIFY doc_id % 4 = 2""")
+def _(t, spark):
+    path = folder(spark, "mend-numbers")
+    write_sorted(t("documents").select("doc_id", F.expr(MIXED).alias("line")), ["doc_id"], f"{path}-in")
+    repairs.repair_ndjson(spark, f"{path}-in", path, f"{path}-bad")
+    bad = parse_records(scan_lines(spark, f"{path}-bad"), ["line_no", "raw"])
+    number = F.regexp_extract("rec.raw", '"doc_id": ([0-9]+)', 1)
+    return bad.select(F.col("rec.line_no").cast("bigint").alias("line_no"), number.cast("bigint").alias("doc_id"))
+
+
+@query("json_kept_as_given", """
+    SELECT o_orderkey, '{"b":5.0,"a":[' || o_custkey || ',1.5],"n":1234567890123456789012345678901234567890' || o_orderkey || '}' AS line FROM orders""")
+def _(t, spark):
+    given = "'{\"b\": 5.0, \"a\": [' || o_custkey || ', 1.50], \"n\": 1234567890123456789012345678901234567890' || o_orderkey || '}'"
+    mended = damage.repair_records(t("orders").select("o_orderkey", F.expr(given).alias("line")))
+    lists = mended.select("o_orderkey", F.concat(F.lit("["), "record", F.lit("]")).alias("list"))
+    return explode_json_list(lists, "list", ["o_orderkey"]).select("o_orderkey", "line")
 
 
 @query("json_list_job", """

@@ -132,8 +132,10 @@ cast_query(
     "to_int_loose")
 cast_query(
     "loose_bigint", "orders", "o_orderkey", casts.to_bigint_loose,
-    [K, f"'4' || lpad({K}, 12, '0')", f"'99999999999999999999' || {K}", "o_orderstatus", "'0b101'"],
-    pick("o_orderkey", "o_orderkey", "4000000000000 + o_orderkey", "NULL", "NULL", "5"), "to_bigint_loose")
+    [K, f"'4' || lpad({K}, 12, '0')", f"'99999999999999999999' || {K}", "o_orderstatus", "'0b101'", "'0x1000000000000000'", "'0x7fffffffffffffff'",
+     "'0x8000000000000000'", "'-0x8000000000000000'", "'0o1777777777777777777777'"],
+    pick("o_orderkey", "o_orderkey", "4000000000000 + o_orderkey", "NULL", "NULL", "5", "1152921504606846976", "9223372036854775807", "NULL",
+         "CAST('-9223372036854775808' AS BIGINT)", "NULL"), "to_bigint_loose")
 cast_query(
     "loose_double", "orders", "o_orderkey", casts.to_double_loose,
     [f"{K} || '.25'", f"{K} || 'd'", "'1e400'", f"'-' || {K} || 'e2'", f"' ' || {K}", "''", "'1e-400'", "o_orderpriority"],
@@ -150,14 +152,17 @@ _DAY_TEXT = f"strftime({_D}, '%Y-%m-%d')"
 cast_query(
     "loose_date", "orders", "o_orderkey", casts.to_date_loose,
     [_DF("yyyy-MM-dd"), _DF("yyyyMMdd"), _DF("MMM d yyyy"), _DF("MMMM d, yyyy"), _DF("M/d/yyyy"), _DF("yyyy"), _DF("HH:mm"), "o_orderpriority",
-     _DF("yyyy-MM-dd") + " || 'T23:59:59Z'", _DF("d MMM yyyy"), "''"],
-    pick("o_orderkey", *[_DAY_TEXT] * 5, "NULL", "NULL", "NULL", _DAY_TEXT, _DAY_TEXT, "NULL"), "to_date_loose", lambda c: c.cast("string"))
+     _DF("yyyy-MM-dd") + " || 'T23:59:59Z'", _DF("d MMM yyyy"), "''", _DF("MMM-dd-yyyy"), _DF("E, dd MMM yyyy"), _DF("yyyyMMdd") + " || 'T030405Z'",
+     _DF("yyyy-MM-dd") + " || ' 3:04 PM'", _DF("yyyy-MM-dd") + " || ' 24:00:00'"],
+    pick("o_orderkey", *[_DAY_TEXT] * 5, "NULL", "NULL", "NULL", _DAY_TEXT, _DAY_TEXT, "NULL", *[_DAY_TEXT] * 5), "to_date_loose", lambda c: c.cast("string"))
 _TS = lambda hours: f"strftime({_D} + INTERVAL {hours} HOUR, '%Y-%m-%d %H:%M:%S')"
 cast_query(
     "loose_timestamp", "orders", "o_orderkey", casts.to_timestamptz_loose,
     [_DF("yyyy-MM-dd"), _DF("yyyy-MM-dd") + " || 'T05:00:00Z'", _DF("yyyy-MM-dd") + " || ' 05:00+02'", _DF("yyyy-MM-dd") + " || 'T05:00:00.000-0100'",
-     _DF("HH:mm"), "o_orderpriority", _DF("MMM d yyyy") + " || ' 7:00'", "''"],
-    pick("o_orderkey", _TS(0), _TS(5), _TS(3), _TS(6), "NULL", "NULL", _TS(7), "NULL"), "to_timestamptz_loose",
+     _DF("HH:mm"), "o_orderpriority", _DF("MMM d yyyy") + " || ' 7:00'", "''", _DF("yyyy-MM-dd") + " || ' 03:00 PM'", _DF("yyyy-MM-dd") + " || ' 12:00:00 am'",
+     _DF("yyyy-MM-dd") + " || ' 03:00 PST'", _DF("yyyyMMdd") + " || 'T050000Z'", _DF("yyyy-MM-dd") + " || ' 24:00'", _DF("E, d MMM yyyy") + " || ' 05:00:00 GMT'",
+     _DF("yyyy-MM-dd") + " || ' 12:00 Asia/Tokyo'"],
+    pick("o_orderkey", _TS(0), _TS(5), _TS(3), _TS(6), "NULL", "NULL", _TS(7), "NULL", _TS(15), _TS(0), _TS(11), _TS(5), _TS(24), _TS(5), _TS(3)), "to_timestamptz_loose",
     lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss"))
 _Q = "chr(39)"
 cast_query(
@@ -181,13 +186,14 @@ def _(t, spark):
 
 @query("strict_cast", """
     SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS custkey, o_totalprice AS price, strftime(o_orderdate, '%Y-%m-%d') AS day,
-           CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END AS optional FROM orders""")
+           strftime(o_orderdate + INTERVAL 15 HOUR, '%Y-%m-%d %H:%M:%S') AS at, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END AS optional FROM orders""")
 def _(t, spark):
     return t("orders").select(
         "o_orderkey",
         casts.strict_key(F.col("o_custkey").cast("string"), "fail").alias("custkey"),
         casts.strict_cast(F.col("o_totalprice").cast("string"), "double").alias("price"),
         casts.strict_cast(F.date_format("o_orderdate", "yyyy-MM-dd"), "date").cast("string").alias("day"),
+        F.date_format(casts.strict_cast(F.concat(F.date_format("o_orderdate", "EEE, d MMM yyyy"), F.lit(" 3:00 PM")), "timestamp"), "yyyy-MM-dd HH:mm:ss").alias("at"),
         casts.strict_cast(F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("o_orderkey").cast("string")), "bigint").alias("optional"),
     )
 

@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loadkit.schemas import text_schema
 
 
 def scan_csv(
-    spark: SparkSession, path: str | list[str], columns: list[str], multi_line: bool = True, ragged: str = "fail"
+    spark: SparkSession, path: str | list[str], columns: list[str], multi_line: bool = True, ragged: str = "fail", position: bool = False
 ) -> DataFrame:
     """Header skipped, columns bound by position, unquoted empty = NULL, quoted empty = ''.
 
-    A row with another number of fields fails the job; `ragged="pad"` lets it through. `multi_line`
+    A row with another number of fields fails the job; `ragged="pad"` fills short rows with NULL and fails for
+    long ones. `position` adds POSITION, which sorts rows in file order. `multi_line`
     is needed for quoted line breaks and makes a file one task: turn it off for large files known
     to hold one record per line, which then split.
     """
-    return (
-        spark.read.schema(text_schema(columns))
+    surplus = "__surplus"
+    schema = text_schema([*columns, surplus] if ragged == "pad" else columns)
+    rows = (
+        spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", True)
         .option("quote", '"')
@@ -31,3 +35,11 @@ def scan_csv(
         .option("mode", "FAILFAST" if ragged == "fail" else "PERMISSIVE")
         .csv(path)
     )
+    picked = [F.col(f"`{c}`") for c in columns]
+    if ragged == "pad":
+        message = F.concat(F.lit("more fields than columns: "), F.col(surplus))
+        picked[0] = F.when(F.col(surplus).isNull(), picked[0]).otherwise(F.raise_error(message)).alias(columns[0])
+    if position:
+        where = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+        picked += [*where, F.monotonically_increasing_id().alias("pos")]
+    return rows.select(*picked)

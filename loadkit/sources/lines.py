@@ -62,6 +62,15 @@ def line_offsets(df: DataFrame) -> DataFrame:
     return stage(block_offsets(df), "offsets")
 
 
+def number_in_file(df: DataFrame) -> DataFrame:
+    """`line_no`, 1-based within each file, of staged lines with their POSITION."""
+    offsets = block_offsets(df)
+    first = offsets.join(df.groupBy(*_BLOCK).agg(F.min("pos").alias("pos")), _BLOCK)
+    first = first.groupBy("file").agg(F.min(F.col("pos") + F.col("shift") - 1).alias("base"))
+    shifts = stage(offsets.join(first, "file").select(*_BLOCK, (F.col("shift") - F.col("base")).alias("shift")), "offsets")
+    return number_lines(df, shifts)
+
+
 def number_lines(df: DataFrame, offsets: DataFrame | None = None, column: str = "line_no") -> DataFrame:
     """Dense 1-based line numbers in file order (A3).
 

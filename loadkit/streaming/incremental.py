@@ -17,8 +17,9 @@ from loadkit.operators.upsert import one_per_key, upsert_table
 from loadkit.plans.common import ACCEPTED, ORPHAN, REJECTED
 from loadkit.plans.facts import Fact
 from loadkit.schemas import PROGRESS
+from loadkit.session import broadcast_checked, stage
 from loadkit.sinks import conform, exists, publish
-from loadkit.sources.lines import POSITION, line_text, number_lines
+from loadkit.sources.lines import POSITION, line_text, number_in_file, number_lines
 
 
 def _batches(spark: SparkSession, fact: Fact, work: str, outcome: str) -> DataFrame:
@@ -27,7 +28,7 @@ def _batches(spark: SparkSession, fact: Fact, work: str, outcome: str) -> DataFr
         return spark.createDataFrame([], _row_schema(fact))
     rows = spark.read.schema(_row_schema(fact)).parquet(f"{work}/rows")
     done = progress(spark, work).select(F.col("batch"))
-    return rows.filter(F.col("outcome") == outcome).join(F.broadcast(done), "batch", "left_semi")
+    return rows.filter(F.col("outcome") == outcome).join(broadcast_checked(done), "batch", "left_semi")
 
 
 def _row_schema(fact: Fact) -> str:
@@ -57,18 +58,19 @@ def progress_view(spark: SparkSession, work: str) -> DataFrame:
 
 def run_batch(
     lines: DataFrame, batch: int, fact: Fact, parent: DataFrame, work: str, orphans: str = "divert",
-    on_dup: str | None = None, total: int | None = None, **options,
-) -> None:
+    on_dup: str | None = None, total: int | None = None, before: int | None = None, **options,
+) -> int:
     """Classify one batch of lines (POSITION, `line`, perhaps `line_no`), store it, record progress.
 
-    The lines are parsed once; one write holds accepted rows, orphans and rejects apart.
+    The lines are parsed once; one write holds accepted rows, orphans and rejects apart. `before` is the
+    number of lines in earlier batches, looked up if not given. Returns the lines up to and with this batch.
     """
     spark = lines.sparkSession
     started = dt.datetime.now(dt.timezone.utc)
     target = f"{work}/rows/batch={batch}"
-    judged = fact.judged(lines, parent, **options)
+    judged = fact.judged(lines.withColumn("pos", F.col("line_no")) if "line_no" in lines.columns else lines, parent, **options)
     if "line_no" in lines.columns:
-        # Numbers are dense within a batch of lines; the position tells which one a row has.
+        # The load keeps the position, so the number takes the place of the counter in it.
         judged = judged.withColumn("line_no", F.col("pos"))
     else:
         judged = judged.withColumn("line_no", F.lit(None).cast("bigint"))
@@ -85,10 +87,12 @@ def run_batch(
         F.count(F.lit(1)).alias("lines"),
         F.count_distinct(F.when(F.col("outcome") == ACCEPTED, F.struct(*keys))).alias("affected"),
     ).first()
-    before = progress(spark, work).filter(F.col("batch") < batch).agg(F.max("processed_lines")).first()[0] or 0
+    if before is None:
+        before = progress(spark, work).filter(F.col("batch") < batch).agg(F.max("processed_lines")).first()[0] or 0
     row = (batch, started, dt.datetime.now(dt.timezone.utc), total, before + figures.lines, figures.affected)
     entry = spark.createDataFrame([row], PROGRESS).drop("batch")
     entry.coalesce(1).write.mode("overwrite").parquet(f"{work}/progress/batch={batch}")
+    return before + figures.lines
 
 
 def merge_batches(spark: SparkSession, fact: Fact, work: str, root: str, policy: str | None = None, mode: str = "refresh",
@@ -107,6 +111,8 @@ def merge_batches(spark: SparkSession, fact: Fact, work: str, root: str, policy:
         highest = progress(spark, work).agg(F.max("batch")).first()[0]
         seen = f"{work}/merged"
         last = spark.read.schema("batch bigint").parquet(seen).agg(F.max("batch")).first()[0] if exists(spark, seen) else None
+        if highest is None or last is not None and last >= highest:
+            return root
         rows = rows.filter(F.col("batch") <= highest)
         if last is not None:
             rows = rows.filter(F.col("batch") > last)
@@ -118,21 +124,25 @@ def merge_batches(spark: SparkSession, fact: Fact, work: str, root: str, policy:
 
 
 def batch_orphans(spark: SparkSession, fact: Fact, work: str) -> DataFrame:
-    """Rows without a parent in all finished batches."""
-    return _batches(spark, fact, work, ORPHAN).select("line_no", *fact.table.columns, F.col("line").alias("raw_line"), "batch")
+    """Rows without a parent in all finished batches (A9). Streamed ones have their number within the file and its name."""
+    return _batches(spark, fact, work, ORPHAN).select("line_no", *fact.table.columns, F.col("line").alias("raw_line"), "batch", "file")
 
 
 def batch_rejects(spark: SparkSession, fact: Fact, work: str) -> DataFrame:
-    """Rejected lines in all finished batches."""
-    return _batches(spark, fact, work, REJECTED).select("line_no", "line", "reason", "batch")
+    """Rejected lines in all finished batches (A7). Streamed ones have their number within the file and its name."""
+    return _batches(spark, fact, work, REJECTED).select("line_no", "line", "reason", "batch", "file")
 
 
 def load_in_batches(
     spark: SparkSession, lines: DataFrame, fact: Fact, root: str, parent: DataFrame, work: str, batch_lines: int = 500_000,
-    policy: str | None = None, mode: str = "refresh", partition_by: str | None = None, **options,
+    policy: str | None = None, mode: str = "refresh", partition_by: str | None = None, merge_every: int | None = None, **options,
 ) -> DataFrame:
     """Load lines in slices of `batch_lines`, then merge. Returns the progress view.
 
+    With mode `upsert` the batches are merged into the table after every `merge_every` of them (1 by default
+    when it is partitioned, else at the end only), so a run that fails keeps what it has merged. `refresh`
+    replaces the table once, at the end.
+
     Lines are numbered and stored by slice first; a run that finds the same `work` folder goes on
     after the last finished batch. No lines: no batch, and the table is left alone.
     """
@@ -145,13 +155,18 @@ def load_in_batches(
     total = held.agg(F.max("line_no")).first()[0]
     if not total:
         return progress_view(spark, work)
-    finished = {r.batch for r in progress(spark, work).select("batch").collect()}
-    for batch in range(-(-total // batch_lines)):
-        if batch not in finished:
-            rows = held.filter(F.col("batch") == batch).select(
-                F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"), F.col("line_no").alias("pos"), "line", "line_no"
-            )
-            run_batch(rows, batch, fact, parent, work, total=total, **options)
+    if merge_every is None and mode == "upsert" and partition_by:
+        merge_every = 1
+    # Batches finish in order, so the first one to run follows the last finished.
+    last = progress(spark, work).agg(F.max("batch"), F.max("processed_lines")).first()
+    before, count = last[1] or 0, -(-total // batch_lines)
+    for batch in range(0 if last[0] is None else last[0] + 1, count):
+        rows = held.filter(F.col("batch") == batch).select(
+            F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"), F.col("line_no").alias("pos"), "line", "line_no"
+        )
+        before = run_batch(rows, batch, fact, parent, work, total=total, before=before, **options)
+        if mode == "upsert" and merge_every and (batch + 1) % merge_every == 0 and batch + 1 < count:
+            merge_batches(spark, fact, work, root, policy, mode, partition_by)
     merge_batches(spark, fact, work, root, policy, mode, partition_by)
     return progress_view(spark, work)
 
@@ -176,7 +191,11 @@ def stream_fact(
     )
 
     def each(batch: DataFrame, number: int) -> None:
-        run_batch(batch.withColumn("pos", F.monotonically_increasing_id()), number, fact, parent, work, **options)
+        # Staged, so that both passes of the numbering see the same positions. A file is in one batch whole.
+        held = stage(batch.withColumn("pos", F.monotonically_increasing_id()), "stream-lines")
+        run_batch(number_in_file(held), number, fact, parent, work, **options)
+        if mode == "upsert" and partition_by:
+            merge_batches(spark, fact, work, root, policy, mode, partition_by)
 
     query = raw.writeStream.foreachBatch(each).option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()

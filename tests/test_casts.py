@@ -24,7 +24,7 @@ def test_int(column):
         ("12", 12), (" 12 ", 12), ("+7", 7), ("-0", 0), ("12.7", None), ("2147483647", 2147483647),
         ("2147483648", None), ("-2147483648", -2147483648), ("1_000", 1000), ("1__0", None),
         ("_1", None), ("0x10", 16), ("-0xFF", -255), ("0o17", 15), ("0b101", 5), ("0x", None),
-        ("0x0", 0), ("0xFFFFFFFFFFFFFFFFFFFF", None), ("abc", None), ("", None), (None, None),
+        ("0x0", 0), ("0xFFFFFFFFFFFFFFFFFFFF", None), ("0x7fffffff", 2**31 - 1), ("0x80000000", None), ("-0x80000000", -(2**31)), ("abc", None), ("", None), (None, None),
         ("1 2", None), ("12\n", 12), ("007", 7), ("5.0", None),
     ])
 
@@ -33,6 +33,8 @@ def test_bigint(column):
     check(column, casts.to_bigint_loose, [
         ("9223372036854775807", 9223372036854775807), ("9223372036854775808", None),
         ("-9223372036854775808", -9223372036854775808), ("0x7", 7), ("", None),
+        ("0x1000000000000000", 2**60), ("0x7fffffffffffffff", 2**63 - 1), ("0x8000000000000000", None), ("-0x8000000000000000", -(2**63)),
+        ("0o777777777777777777777", 2**63 - 1), ("-0o1000000000000000000000", -(2**63)), ("0o2000000000000000000000", None), ("0b" + "1" * 63, 2**63 - 1),
     ])
 
 
@@ -72,6 +74,10 @@ def test_timestamp(texts):
         ("2010", None), ("junk", None), ("", None), (None, None), ("20100628", "2010-06-28 00:00:00"),
         ("2010-06-28T25:00:00Z", None), ("2010-06-28 10:11:12 +02:00", "2010-06-28 08:11:12"), ("2010-06-28 10:11:12 UTC", "2010-06-28 10:11:12"),
         ("June 28, 2010 7:05", "2010-06-28 07:05:00"), ("6/28/2010 07:05:01z", "2010-06-28 07:05:01"), ("2010-06-28T", None), ("2010-06-28T10", None),
+        ("2010-06-28 03:04 PM", "2010-06-28 15:04:00"), ("2010-06-28 12:04:05 am", "2010-06-28 00:04:05"), ("2010-06-28 13:04 PM", None), ("2010-06-28 12:00pm z", "2010-06-28 12:00:00"),
+        ("2010-06-28 03:04:05 PST", "2010-06-28 11:04:05"), ("2010-06-28 03:04 XYZ", None), ("2010-06-28 03:04 PM America/New_York", "2010-06-28 19:04:00"), ("2010-06-28 03:04 No/Where", None),
+        ("20100628T030405Z", "2010-06-28 03:04:05"), ("20100628 0304", "2010-06-28 03:04:00"), ("2010-06-28 24:00:00", "2010-06-29 00:00:00"), ("2010-06-28 24:01", None),
+        ("Jun-28-2010", "2010-06-28 00:00:00"), ("Mon, 28 Jun 2010 03:04:05 GMT", "2010-06-28 03:04:05"), ("Monday June 28, 2010", "2010-06-28 00:00:00"),
         ("2010-06-28 10:11+02", "2010-06-28 08:11:00"), ("2010-06-28 1:11 -0130", "2010-06-28 02:41:00"),
     ]
     frame = texts([k for k, _ in cases]).select("i", casts.to_timestamptz_loose("x").cast("string").alias("y"))

@@ -57,3 +57,19 @@ def test_field_json(texts):
     assert [r.v for r in rows] == ["null", None, "[1]", '"[1]"', None]
     assert [r.d for r in rows] == ["null", None, "[1]", "[1]", None]
     assert [bool(r.h) for r in rows] == [True, False, True, True, False]
+
+
+def test_limits_of_the_reader_refuse_nothing(texts):
+    """Long texts, deep nesting and long numbers are valid, in a field that is read and in one that is not."""
+    long_text = '{"a":1,"b":"' + "x" * 21_000_000 + '"}'
+    deep = '{"a":1,"b":' + "[" * 1100 + "]" * 1100 + "}"
+    number = '{"a":1,"b":' + "7" * 1200 + "}"
+    frame = J.parse_records(texts([long_text, deep, number, deep + "x", "[" * 1100 + "]" * 1100], "line"), ["a"])
+    got = [(r.rec_ok, r.a) for r in sorted(frame.select("i", "rec_ok", F.col("rec.a").alias("a")).collect(), key=lambda r: r.i)]
+    assert got == [(True, "1"), (True, "1"), (True, "1"), (False, None), (True, None)]
+
+
+def test_validity_sees_text_behind_the_value(texts):
+    cases = {'1, "x": 2': False, "1, 2": False, '1], "x": [2': False, '1}, {"value": 2': False, "": False, " ": False, "null": True, '"a"': True, " [1] ": True, "{}": True, "01": False, "[1,]": False}
+    frame = texts(list(cases)).select("i", J.is_valid_json("x").alias("ok"))
+    assert [r.ok for r in sorted(frame.collect(), key=lambda r: r.i)] == list(cases.values())

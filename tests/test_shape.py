@@ -31,10 +31,23 @@ def test_filters_do_not_repeat_the_parse(spark, tmp):
     assert physical(repaired).count("ArrowEvalPython") == 1
 
 
+def test_breakdown_parses_once(spark, tmp):
+    from loadkit.functions.json import parse_records as parse
+    from loadkit.operators import classify
+    from loadkit.operators.quality import reject_breakdown
+
+    parsed = parse(lines_at(spark, tmp), ["app_id"])
+    rules = classify.line_rules("line", parsed.rec_ok) + classify.id_rules(parsed["rec.app_id"])
+    judged = parsed.select("line", classify.first_reason(rules).alias("reason"))
+    plan = physical(reject_breakdown(judged.filter("reason is not null")))
+    assert plan.count("from_json") == 3
+
+
 def test_classification_parses_once_and_keeps_rows_in_place(spark, tmp):
     games = table_at(spark, tmp).selectExpr("wide unified_app_id")
     plan = physical(dimensions.classify_apps(lines_at(spark, tmp), games).filter("outcome = 'accepted'"))
-    assert plan.count("from_json") == 1
+    # One parse of the record, and two passes that only lines without a record pay for.
+    assert plan.count("from_json(StructField(digest") == 2 and plan.count("from_json") == 3 and "parse_json" not in plan
     # The only exchanges are on the parent's keys: its distinct and the broadcast.
     assert plan.count("Exchange hashpartitioning") == 1
     assert "BroadcastHashJoin" in plan
