@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loadkit.operators.keys import duplicate_keys, keep_one
 from loadkit.session import stage
-from loadkit.sinks import conform, current_path, publish, read_table
+from loadkit.sinks import change_partitions, conform, current_path, publish, read_table
 
 
 # Touched partitions up to which their values go into the scan's filter.
@@ -87,8 +87,8 @@ def upsert_table(
     """Merge a batch into a stored table and return the affected rows.
 
     Without partitions the table is rewritten as a new version. With `partition_by`, one of the
-    keys, only the partitions the batch touches are read and replaced; their merged rows are staged
-    first, so a failed run can be repeated.
+    keys, only the partitions the batch touches are read and replaced, all of them or none: their merged rows
+    are staged first, and a change that was broken off is finished by whoever opens the table next.
     """
     spark = source.sparkSession
     batch = stage(one_per_key(source, keys, on_dup, order_by), "batch")
@@ -107,14 +107,7 @@ def upsert_table(
         touched = target.filter(F.col(partition_by).isin(listed))
     else:
         touched = target.join(values, partition_by, "left_semi").select(*target.columns)
-    merged = stage(upsert(touched, batch, keys, policy, update_cols), "merged")
-    (
-        merged.hint("rebalance", partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
+    change_partitions(upsert(touched, batch, keys, policy, update_cols), root, partition_by)
     return batch.count()
 
 

@@ -3,10 +3,18 @@
 A table is a folder of versions, `v=1`, `v=2`, ...; Spark writes `_SUCCESS` last, so the newest
 version that has one is the table. A new version is complete before anyone can see it, which also
 lets a load read the table it replaces.
+
+Where a load changes partitions of the live version, or adds to it, the finished rows are staged first. A
+marker `_pending` in the version then names them, and goes when the change is done. Whoever finds the
+marker repeats the change from the staged rows before anything else, so a reader sees the table before
+or after the load, never a mixture that a failed load left. Loads of one table run one after the other.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,8 +84,74 @@ def _versions(spark: SparkSession, root: str) -> tuple[list[int], list[int]]:
 
 
 def current_path(spark: SparkSession, root: str) -> str | None:
+    """Folder of the newest complete version; a change of it that was broken off is finished first."""
     complete = _versions(spark, root)[1]
-    return f"{root}/v={max(complete)}" if complete else None
+    if not complete:
+        return None
+    path = f"{root}/v={max(complete)}"
+    _finish_change(spark, path)
+    return path
+
+
+def change_partitions(rows: DataFrame, root: str, partition_by: str) -> None:
+    """Replace the partitions of the live version that `rows` has, all or none of them."""
+    _change(rows, root, partition_by)
+
+
+def _change(rows: DataFrame, root: str, partition_by: str | None) -> None:
+    spark = rows.sparkSession
+    path = current_path(spark, root)
+    # Beside the versions, not in the scratch folder: the change must outlive this process.
+    staged = f"{root}/change-{uuid.uuid4().hex}"
+    rows.write.mode("errorifexists").parquet(staged)
+    marker = {"rows": staged, "partition_by": partition_by, "names": [f.name for f in rows.schema]}
+    _put(spark, f"{path}/_pending", json.dumps(marker))
+    _finish_change(spark, path)
+
+
+def _finish_change(spark: SparkSession, path: str) -> None:
+    """Carry out what `_pending` names, if there is one. Doing it twice changes nothing."""
+    if not exists(spark, f"{path}/_pending"):
+        return
+    marker = json.loads(_get(spark, f"{path}/_pending"))
+    if exists(spark, f"{marker['rows']}/_SUCCESS"):
+        if marker["partition_by"]:
+            by = marker["partition_by"]
+            writer = spark.read.parquet(marker["rows"]).hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(by).parquet(path)
+        else:
+            _move_in(spark, marker["rows"], path)
+    for done in (f"{path}/_pending", marker["rows"]):
+        fs, where = _fs(spark, done)
+        fs.delete(where, True)
+
+
+def _move_in(spark: SparkSession, staged: str, path: str) -> None:
+    """Move files into a version under their own names, so that a repetition finds those that are there."""
+    fs, where = _fs(spark, staged)
+    name_of = spark._jvm.org.apache.hadoop.fs.Path
+    for status in fs.listStatus(where):
+        name = status.getPath().getName()
+        if not name.startswith(("_", ".")):
+            fs.rename(status.getPath(), name_of(f"{path}/{name}"))
+
+
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file under a temporary name and give it its own, so that it is there whole or not at all."""
+    fs, where = _fs(spark, path)
+    half = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.part")
+    out = fs.create(half, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.rename(half, where)
+
+
+def _get(spark: SparkSession, path: str) -> str:
+    fs, where = _fs(spark, path)
+    source = fs.open(where)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    source.close()
+    return text
 
 
 def read_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
@@ -115,7 +189,7 @@ def refresh(df: DataFrame, root: str, dependants: dict[str, T.StructType] | None
 def append_new(df: DataFrame, root: str, schema: T.StructType, keys: list[str]) -> int:
     """Insert into a table; a key that is already there, or twice in `df`, fails the load.
 
-    Files are added to the current version, so nothing present is rewritten.
+    Files are added to the current version, so nothing present is rewritten; all of them are there, or none.
     """
     spark = df.sparkSession
     rows = stage(conform(df, schema), "append")
@@ -128,7 +202,7 @@ def append_new(df: DataFrame, root: str, schema: T.StructType, keys: list[str])
     if path is None:
         publish(rows, root)
     else:
-        rows.write.mode("append").parquet(path)
+        _change(rows, root, None)
     return rows.count()
 
 

@@ -147,3 +147,38 @@ def test_tables(spark, tmp):
     assert sinks.current_path(spark, root).endswith("v=8")
     sinks.drop_old_versions(spark, root, keep=1)
     assert merged(sinks.read_table(spark, root, table.schema)) == [(5, "e")]
+
+
+@pytest.mark.parametrize("when", ["before the marker", "after the marker", "half way"])
+def test_broken_changes_leave_the_old_or_the_new_table(spark, tmp, monkeypatch, when):
+    """Partition replacement and append that fail in the middle: a reader sees all of the change or nothing."""
+    schema = spark.createDataFrame([], "k string, p string, v int").schema
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    old = [("a", "1", 1), ("b", "2", 1), ("c", "3", 1)]
+    read = lambda root: sorted(tuple(r) for r in sinks.read_table(spark, root, schema).collect())
+
+    class Stop(Exception):
+        pass
+
+    def stop_after(function):
+        def run(*args):
+            if function is not None:
+                function(*args)
+            raise Stop
+
+        return run
+
+    steps = {"before the marker": ("_put", None), "after the marker": ("_put", sinks._put), "half way": ("_move_in", sinks._move_in)}
+    for kind in ("upsert", "append") if when != "half way" else ("append",):
+        root = f"{tmp}/{kind}"
+        sinks.publish(frame(old), root, ["p"] if kind == "upsert" else None)
+        with monkeypatch.context() as patched:
+            patched.setattr(sinks, steps[when][0], stop_after(steps[when][1]))
+            with pytest.raises(Stop):
+                if kind == "upsert":
+                    upsert.upsert_table(root, frame([("a", "1", 2), ("d", "2", 2)]), schema, ["k", "p"], order_by=["v"], partition_by="p")
+                else:
+                    sinks.append_new(frame([("d", "2", 2), ("e", "3", 2)]).repartition(2), root, schema, ["k"])
+        new = [("a", "1", 2), ("b", "2", 1), ("c", "3", 1), ("d", "2", 2)] if kind == "upsert" else old + [("d", "2", 2), ("e", "3", 2)]
+        for _ in range(2):
+            assert read(root) == sorted(old if when == "before the marker" else new)
