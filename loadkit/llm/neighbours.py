@@ -246,9 +246,10 @@ def search(index: Index, queries: DataFrame, k: int = 20, key: str = "vec_id", v
         return map_batches(told, _near, "query_id bigint, w bigint, sim float").withColumn("open", F.lit(True))
 
     # A fixed number of rows, whatever the size of the index.
-    entries = F.broadcast(index.nodes.select(F.col("node").alias("w")).orderBy(F.xxhash64("w")).limit(settings.entries))
+    entries = [r["node"] for r in index.nodes.select("node").orderBy(F.xxhash64("node")).limit(settings.entries).collect()]
     owned = asked.join(index.members.groupBy("vector").agg(F.min("node").alias("w")), "vector").select("query_id", "w")
-    starts = asked.select("query_id").join(entries, F.lit(True)).unionByName(owned).distinct()
+    dealt = F.explode(F.array(*[F.lit(e) for e in entries]).cast("array<bigint>")).alias("w")
+    starts = asked.select("query_id", dealt).unionByName(owned).distinct()
     order = Window.partitionBy("query_id").orderBy(F.desc("sim"), "w")
     beam = stage(near(starts).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= settings.beam), "nn-beam")
     for _ in range(settings.steps):

@@ -128,12 +128,14 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = 20, key: str = "v
     named = lambda df: df.select(F.col(key).cast("bigint").alias("id"), F.col(vector).alias("vector")).filter("id IS NOT NULL AND vector IS NOT NULL")
     blocks = stage(packed(named(candidates), BLOCK), "topk-blocks").withColumn("block", F.monotonically_increasing_id())
     blocks = stage(blocks, "topk-numbered")
-    numbers = blocks.select("block")
+    # Blocks get dense numbers (one row for each block, not each vector), so that queries can be dealt to all of them.
+    numbers = stage(blocks.select("block").withColumn("number", F.row_number().over(Window.orderBy("block"))), "topk-numbers")
+    count = numbers.count()
     asked = packed(named(queries).distinct(), QUERY_BLOCK).select(F.col("ids").alias("q_ids"), F.col("lengths").alias("q_lengths"), F.col("flat").alias("q_flat"))
     asked = stage(asked, "topk-queries")
     # The stated query set against all rows, in blocks: one row for each pair of blocks.
-    per_block = asked.join(numbers, F.lit(True))
-    pairs = per_block.join(blocks, "block")
+    per_block = asked.withColumn("number", F.explode(F.sequence(F.lit(1), F.lit(count)) if count else F.array().cast("array<int>")))
+    pairs = per_block.join(blocks.join(numbers, "block"), "number")
     found = pairs.select("ids", "lengths", "flat", "q_ids", "q_lengths", "q_flat").mapInArrow(_score(k), "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
