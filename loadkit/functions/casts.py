@@ -57,11 +57,23 @@ ZONES = {
     "akst": "-09:00", "akdt": "-08:00", "hst": "-10:00", "wet": "+00:00", "west": "+01:00", "bst": "+01:00", "cet": "+01:00", "cest": "+02:00",
     "eet": "+02:00", "eest": "+03:00", "msk": "+03:00", "jst": "+09:00", "kst": "+09:00",
 }
-# A time on the 12-hour clock: date, hour, rest, half of the day, zone.
-HALF_DAY = r"^([0-9-]+) (0?[1-9]|1[0-2])(:[0-5][0-9](?::[0-5][0-9](?:\.[0-9]+)?)?) ?([ap])\.?m\.?(?=\z|[ zZ+-])(.*)\z"
-ZONE = r"(?<=[0-9]) ?([a-z]{3,4})\z"
+# Zones at the end of the text as given: an abbreviation of the list, or the name of a region.
+ENDING = r"(?i)(?<=[0-9]|[ap]m|[ap]\.m\.) ?([a-z]{3,4})\s*\z"
 REGION = r"(?<=[0-9]|[aApP][mM]|[aApP]\.[mM]\.) ?([A-Za-z]+(?:/[A-Za-z_+-]+)+)\s*\z"
-MIDNIGHT = r"^([0-9-]+ )24:00(?::00(?:\.0+)?)?(?=\z|[Z+ -])"
+_REST = r"(:[0-5][0-9](?::[0-5][0-9](?:\.[0-9]+)?)?) ?"
+# The 12-hour clock, hour by hour; then 24:00, which is the midnight that follows.
+HALF_DAYS = [
+    *[(rf"^([0-9-]+ )0?{h}{_REST}p\.?m\b\.?", f"$1{h + 12}$2") for h in range(1, 12)],
+    (rf"^([0-9-]+ )12{_REST}a\.?m\b\.?", "$100$2"),
+    (rf"^([0-9-]+ 12){_REST}p\.?m\b\.?", "$1$2"),
+    (rf"^([0-9-]+ (?:0?[1-9]|1[01])){_REST}a\.?m\b\.?", "$1$2"),
+    (r"^([0-9-]+ )24:00(?::00(?:\.0+)?)?(?=\z|[Z+ -])", "$100:00:00"),
+]
+# What a text must have for the longer ways to be worth a try: a name, a word at its end, a half day.
+NAMED = r"[a-z]{3}"
+ENDS = r"[A-Za-z]{3}\s*\z"
+MARKED = r"(?i)[0-9] ?[ap]\.?m\b|24:00"
+MIDNIGHT = r"(?<![0-9:.])24:00"
 STAMP = (
     r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})(?: (?:[01]?[0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](?:\.[0-9]+)?"
     r"(?:Z|[+-](?:0?[0-9]|1[0-5])(?::?[0-5][0-9])?)?)?\z"
@@ -129,47 +141,44 @@ def to_numeric_loose(c: Column | str) -> Column:
 
 def _iso(c: Column) -> Column:
     """Known spellings of a date, perhaps with a time, towards ISO; other text stays as it is."""
-    iso = F.lower(_space_trimmed(c))
+    plain = F.lower(_space_trimmed(c))
+    named = plain
     for pattern, form in NAME_REWRITES:
-        iso = F.regexp_replace(iso, pattern, form)
+        named = F.regexp_replace(named, pattern, form)
     for number, name in enumerate(MONTHS, 1):
-        iso = F.replace(iso, F.lit(f"-{name}-"), F.lit(f"-{number}-"))
+        named = F.replace(named, F.lit(f"-{name}-"), F.lit(f"-{number}-"))
+    iso = F.when(F.rlike(plain, F.lit(NAMED)), named).otherwise(plain)
     for pattern, form in DATE_REWRITES:
         iso = F.regexp_replace(iso, pattern, form)
     return iso
 
 
-def _clock(c: Column) -> tuple[Column, Column, Column]:
-    """Text of a time on the 24-hour clock with an offset, a region name if it ends with one, and whether it is 24:00."""
-    region = F.regexp_extract(c, REGION, 1)
-    iso = _iso(F.regexp_replace(c, REGION, ""))
-    half = [F.regexp_extract(iso, HALF_DAY, i) for i in range(1, 6)]
-    hour = half[1].try_cast("int") % 12 + F.when(half[3] == "p", 12).otherwise(0)
-    iso = F.when(half[3] != "", F.concat(half[0], F.lit(" "), hour.cast("string"), half[2], F.trim(half[4]))).otherwise(iso)
-    zone = F.regexp_extract(iso, ZONE, 1)
-    offset = F.try_element_at(F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair]), zone)
-    iso = F.when(offset.isNotNull(), F.concat(F.regexp_replace(iso, ZONE, ""), offset)).otherwise(iso)
-    last = F.rlike(iso, F.lit(MIDNIGHT))
-    iso = F.regexp_replace(iso, MIDNIGHT, "$100:00:00")
-    for pattern, form in ZONE_REWRITES:
-        iso = F.regexp_replace(iso, pattern, form)
-    return iso, region, last
+def _clock(c: Column) -> Column:
+    """A date or time towards ISO on the 24-hour clock, with its offset but without the name of a region."""
+    offset = F.try_element_at(F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair]), F.lower(F.regexp_extract(c, ENDING, 1)))
+    ends = F.rlike(c, F.lit(ENDS))
+    offset = F.when(ends, offset)
+    cut = F.when(offset.isNotNull(), F.regexp_replace(c, ENDING, "")).otherwise(F.regexp_replace(c, REGION, ""))
+    iso = _iso(F.when(ends, cut).otherwise(c))
+    half = iso
+    for pattern, form in HALF_DAYS + ZONE_REWRITES:
+        half = F.regexp_replace(half, pattern, form)
+    return F.concat(F.when(F.rlike(c, F.lit(MARKED)), half).otherwise(iso), F.coalesce(offset, F.lit("")))
 
 
 def to_date_loose(c: Column | str) -> Column:
     """T11. A time and zone after the date are checked and dropped."""
     c = col(c)
-    slow = F.regexp_extract(_clock(c)[0], STAMP, 1).try_cast("date")
+    slow = F.regexp_extract(_clock(c), STAMP, 1).try_cast("date")
     return F.when(F.rlike(c, F.lit(USUAL_DATE)), c.try_cast("date")).otherwise(slow)
 
 
 def to_timestamptz_loose(c: Column | str) -> Column:
     """T12. Text without a zone is UTC; a bare date is midnight."""
     c = col(c)
-    iso, region, last = _clock(c)
-    found = F.regexp_extract(iso, STAMP, 0)
-    slow = F.when(found != "", F.concat(found, F.when(region != "", F.concat(F.lit(" "), region)).otherwise(""))).try_cast("timestamp")
-    slow = F.when(last, slow + F.expr("INTERVAL 24 HOURS")).otherwise(slow)
+    region = F.regexp_replace(F.regexp_extract(c, REGION, 1), "^(?=.)", " ")
+    slow = F.concat(F.regexp_extract(_clock(c), STAMP, 0), region).try_cast("timestamp")
+    slow = slow + F.when(F.rlike(c, F.lit(MIDNIGHT)), F.expr("INTERVAL 24 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
     return F.when(F.rlike(c, F.lit(USUAL_STAMP)), c.try_cast("timestamp")).otherwise(slow)
 
 

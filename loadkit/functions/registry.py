@@ -40,50 +40,38 @@ def _numeric() -> str:
     return rf"CASE WHEN rlike({plain}, r'\A(?:{casts.FLOAT})\z') THEN try_cast({plain} AS decimal(38,18)) END"
 
 
+def _offset() -> str:
+    zones = ", ".join(f"'{k}', '{v}'" for k, v in casts.ZONES.items())
+    return f"CASE WHEN rlike(txt, r'{casts.ENDS}') THEN try_element_at(map({zones}), lower(regexp_extract(txt, r'{casts.ENDING}', 1))) END"
+
+
 def _iso() -> str:
-    trimmed = _trimmed().replace("(txt,", f"(regexp_replace(txt, r'{casts.REGION}', ''),", 1)
-    iso = f"lower({trimmed})"
+    cut = f"CASE WHEN {_offset()} IS NOT NULL THEN regexp_replace(txt, r'{casts.ENDING}', '') ELSE regexp_replace(txt, r'{casts.REGION}', '') END"
+    body = f"CASE WHEN rlike(txt, r'{casts.ENDS}') THEN {cut} ELSE txt END"
+    plain = "lower(" + _trimmed().replace("(txt,", f"({body},", 1) + ")"
+    named = plain
     for pattern, form in casts.NAME_REWRITES:
-        iso = f"regexp_replace({iso}, r'{pattern}', '{form}')"
+        named = f"regexp_replace({named}, r'{pattern}', '{form}')"
     for number, name in enumerate(casts.MONTHS, 1):
-        iso = f"replace({iso}, '-{name}-', '-{number}-')"
+        named = f"replace({named}, '-{name}-', '-{number}-')"
+    iso = f"CASE WHEN rlike({plain}, r'{casts.NAMED}') THEN {named} ELSE {plain} END"
     for pattern, form in casts.DATE_REWRITES:
         iso = f"regexp_replace({iso}, r'{pattern}', '{form}')"
-    return iso
-
-
-def _steps(result: str) -> str:
-    """`result` over `txt`, `iso`, `region` and `last`, each step worked out once as a lambda of the one before."""
-    half = [f"regexp_extract(iso, r'{casts.HALF_DAY}', {i})" for i in range(1, 6)]
-    hour = f"cast(try_cast({half[1]} AS int) % 12 + CASE WHEN {half[3]} = 'p' THEN 12 ELSE 0 END AS string)"
-    zones = ", ".join(f"'{k}', '{v}'" for k, v in casts.ZONES.items())
-    offset = f"try_element_at(map({zones}), regexp_extract(iso, r'{casts.ZONE}', 1))"
-    end = f"regexp_replace(iso, r'{casts.MIDNIGHT}', '$100:00:00')"
-    for pattern, form in casts.ZONE_REWRITES:
-        end = f"regexp_replace({end}, r'{pattern}', '{form}')"
-    steps = [
-        f"CASE WHEN {half[3]} <> '' THEN concat({half[0]}, ' ', {hour}, {half[2]}, trim({half[4]})) ELSE iso END",
-        f"CASE WHEN {offset} IS NOT NULL THEN concat(regexp_replace(iso, r'{casts.ZONE}', ''), {offset}) ELSE iso END",
-        f"concat({end}, CASE WHEN rlike(iso, r'{casts.MIDNIGHT}') THEN '#' ELSE '' END)",
-        result,
-    ]
-    found = f"array({_iso()})"
-    for step in steps:
-        found = f"transform({found}, iso -> {step})"
-    return f"{found}[0]"
+    half = iso
+    for pattern, form in casts.HALF_DAYS + casts.ZONE_REWRITES:
+        half = f"regexp_replace({half}, r'{pattern}', '{form}')"
+    return f"concat(CASE WHEN rlike(txt, r'{casts.MARKED}') THEN {half} ELSE {iso} END, coalesce({_offset()}, ''))"
 
 
 def _timestamp() -> str:
-    # `#` marks 24:00, which is the midnight that follows.
-    found = f"regexp_extract(replace(iso, '#', ''), r'{casts.STAMP}', 0)"
-    region = f"regexp_extract(txt, r'{casts.REGION}', 1)"
-    at = f"try_cast(CASE WHEN {found} <> '' THEN concat({found}, CASE WHEN {region} <> '' THEN concat(' ', {region}) ELSE '' END) END AS timestamp)"
-    slow = _steps(f"CASE WHEN endswith(iso, '#') THEN {at} + INTERVAL 24 HOURS ELSE {at} END")
+    region = f"regexp_replace(regexp_extract(txt, r'{casts.REGION}', 1), '^(?=.)', ' ')"
+    slow = f"try_cast(concat(regexp_extract({_iso()}, r'{casts.STAMP}', 0), {region}) AS timestamp)"
+    slow = f"{slow} + CASE WHEN rlike(txt, r'{casts.MIDNIGHT}') THEN INTERVAL 24 HOURS ELSE INTERVAL 0 HOURS END"
     return f"CASE WHEN rlike(txt, r'{casts.USUAL_STAMP}') THEN try_cast(txt AS timestamp) ELSE {slow} END"
 
 
 def _date() -> str:
-    slow = _steps(f"try_cast(regexp_extract(replace(iso, '#', ''), r'{casts.STAMP}', 1) AS date)")
+    slow = f"try_cast(regexp_extract({_iso()}, r'{casts.STAMP}', 1) AS date)"
     return f"CASE WHEN rlike(txt, r'{casts.USUAL_DATE}') THEN try_cast(txt AS date) ELSE {slow} END"
 
 

@@ -13,8 +13,8 @@ from loadkit.queries.tables import LINE_ORDER, folder
 
 
 def write_sorted(rows, order, path, parts=None):
-    """`line` as text files whose names sort as the rows do; Spark chooses their number unless it matters."""
-    ranged = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
+    """`line` as text files whose names sort as the rows do, as many as the cluster has cores unless the number matters."""
+    ranged = rows.repartitionByRange(parts or rows.sparkSession.sparkContext.defaultParallelism, *order)
     sorted_rows = ranged.sortWithinPartitions(*order)
     sorted_rows.select(F.col("line").alias("value")).write.text(path)
     return path

@@ -168,7 +168,7 @@ def _(t, spark):
 @query("line_numbers", "SELECT row_number() OVER (ORDER BY o_orderkey) AS line_no, CAST(o_orderkey AS VARCHAR) AS line FROM orders")
 def _(t, spark):
     path = folder(spark, "numbers")
-    t("orders").select(F.col("o_orderkey").cast("string").alias("value")).repartitionByRange(F.col("value").cast("long")).sortWithinPartitions(
+    t("orders").select(F.col("o_orderkey").cast("string").alias("value")).repartitionByRange(spark.sparkContext.defaultParallelism, F.col("value").cast("long")).sortWithinPartitions(
         F.col("value").cast("long")).write.text(path)
     return number_lines(scan_lines(spark, path)).select("line_no", "line")
 
@@ -206,7 +206,7 @@ def _(t, spark):
 # P10: whole repair jobs, file to file.
 
 def write_sorted(rows, order, path):
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).select(F.col("line").alias("value")).write.text(path)
+    rows.repartitionByRange(rows.sparkSession.sparkContext.defaultParallelism, *order).sortWithinPartitions(*order).select(F.col("line").alias("value")).write.text(path)
     return path
 
 

@@ -196,6 +196,49 @@ def test_failed_batch_resumes(spark, tmp, monkeypatch):
     assert daily(spark, f"{tmp}/t") == DAILY_ROWS
 
 
+def test_merged_batches_stay_when_a_later_one_fails(spark, tmp):
+    from loadkit.sources import scan_lines
+
+    months = [f"2024-{m:02d}" for m in range(1, 9)]
+    lines = scan_lines(spark, lines_file(f"{tmp}/in/f.ndjson", [{"app_id": 9 if m == "2024-06" else 1, "month": m, "peak_ccu": i} for i, m in enumerate(months)]))
+    known = spark.createDataFrame([(1,)], "app_id int")
+    args = (spark, lines, facts.MONTHLY_FACT, f"{tmp}/t")
+    read = lambda: sorted(str(r.month)[:7] for r in sinks.read_table(spark, f"{tmp}/t", MONTHLY.schema).collect())
+    more = {"batch_lines": 2, "mode": "upsert", "partition_by": "month"}
+    with pytest.raises(Exception, match="no parent"):
+        incremental.load_in_batches(*args, known, f"{tmp}/w", orphans="fail", **more)
+    assert read() == months[:4]
+    incremental.load_in_batches(*args, known, f"{tmp}/w", **more)
+    assert read() == [m for m in months if m != "2024-06"]
+
+
+def test_first_row_of_the_first_file_stays(spark, tmp):
+    """Of equal keys the row in the first file stays, however Spark packs the files."""
+    at = APP_CSV.index("app_id"), APP_CSV.index("name")
+    line = lambda name: ",".join("7" if i == at[0] else name if i == at[1] else "" for i in range(len(APP_CSV)))
+    put(f"{tmp}/in/a.csv", ",".join(APP_CSV) + "\n" + line("first") + "\n")
+    put(f"{tmp}/in/b.csv", ",".join(APP_CSV) + "\n" + line("second") + "\n" + (line("third") + "\n") * 500)
+    dimensions.load_apps_csv(spark, f"{tmp}/in", f"{tmp}/t")
+    assert [r.name for r in sinks.read_table(spark, f"{tmp}/t", APP.schema).collect()] == ["first"]
+
+
+def test_surplus_csv_fields_are_not_cut(spark, tmp):
+    from loadkit.sources import scan_csv
+
+    path = put(f"{tmp}/c.csv", "a,b\n1\n1,2\n")
+    assert [tuple(r) for r in scan_csv(spark, path, ["a", "b"], ragged="pad").collect()] == [("1", None), ("1", "2")]
+    with pytest.raises(Exception, match="more fields than columns"):
+        scan_csv(spark, put(f"{tmp}/d.csv", "a,b\n1,2,3\n"), ["a", "b"], ragged="pad").collect()
+
+
+def test_rows_without_a_json_form_are_not_dropped(spark, tmp):
+    path = put(f"{tmp}/c.csv", "a,b\n1,\"{1,2}\"\n2,[1]\n")
+    with pytest.raises(ValueError, match="no JSON form"):
+        repairs.csv_to_ndjson(spark, path, f"{tmp}/out", json_cols=["b"])
+    repairs.csv_to_ndjson(spark, path, f"{tmp}/out2", json_cols=["b"], rejects=f"{tmp}/bad")
+    assert len(out_lines(f"{tmp}/out2")) == 1 and spark.read.parquet(f"{tmp}/bad").count() == 1
+
+
 def test_empty_batches(spark, tmp):
     from loadkit.sources import scan_lines
 
@@ -221,14 +264,16 @@ def test_monthly_stream(spark, tmp, policy, peak):
     view = call("upsert")
     assert (view.processed_lines, view.inserted_rows) == (6, 3)
     assert read() == [(1, dt.date(2024, 5, 1), peak), (2, dt.date(2024, 6, 1), 3)]
-    assert sorted(r.reason for r in incremental.batch_rejects(spark, facts.MONTHLY_FACT, f"{tmp}/w").collect()) == ["app_id_not_integer", "bad_month"]
-    assert [r.app_id for r in incremental.batch_orphans(spark, facts.MONTHLY_FACT, f"{tmp}/w").collect()] == [9]
+    place = lambda r: (os.path.basename(r.file), r.line_no)
+    rejects = incremental.batch_rejects(spark, facts.MONTHLY_FACT, f"{tmp}/w").collect()
+    assert sorted((*place(r), r.reason) for r in rejects) == [("a.ndjson", 3, "app_id_not_integer"), ("b.ndjson", 2, "bad_month")]
+    assert [(*place(r), r.app_id) for r in incremental.batch_orphans(spark, facts.MONTHLY_FACT, f"{tmp}/w").collect()] == [("a.ndjson", 2, 9)]
 
 
 def test_monthly_once(spark, tmp):
     games = spark.createDataFrame([(1,)], "app_id int")
     path = lines_file(f"{tmp}/m.ndjson", [{"app_id": 1, "month": "2024-05", "peak_ccu": 1}, {"app_id": 1, "month": "2024-05", "peak_ccu": None}, {"app_id": 9, "month": "2024-05"}])
-    load = facts.load_fact(spark, path, facts.MONTHLY_FACT, f"{tmp}/t", games, orphans="drop")
+    load = facts.load_fact(spark, path, facts.MONTHLY_FACT, f"{tmp}/t", games, orphans="drop", policy="replace")
     assert sorted(map(tuple, sinks.read_table(spark, f"{tmp}/t", MONTHLY.schema).collect())) == [(1, dt.date(2024, 5, 1), None)]
     assert load.orphans.count() == 0
     with pytest.raises(Exception, match="integer key"):
