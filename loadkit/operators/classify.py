@@ -35,6 +35,9 @@ def first_reason(rules: list[tuple[str, Column]]) -> Column:
     return reason
 
 
+# The names of the reasons in `line_rules`, `id_rules` and `fact_rules`, and their order.
+
+
 def line_rules(line: Column | str, valid: Column) -> list[tuple[str, Column]]:
     return [("blank_line", blank(line)), ("invalid_json", ~F.coalesce(valid, F.lit(False)))]
 
@@ -69,6 +72,7 @@ def fact_rules(
     no_country = F.lit(True)
     for c in countries:
         no_country = no_country & blank(c)
+    # Names and order of the reasons.
     rules = [
         ("missing_aid", blank(key)),
         ("missing_date", blank(date_text)),
