@@ -7,6 +7,8 @@ each cast is guarded by an explicit pattern.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -89,6 +91,11 @@ def _space_trimmed(c: Column) -> Column:
     return F.regexp_replace(c, rf"^{_SPACE}+|{_SPACE}+\z", "")
 
 
+def once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """`then` of a value that is worked out once. Spark interprets it, so what only few rows need does not swell the code of the rest."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def to_bool_loose(c: Column | str) -> Column:
     """T5."""
     word = F.lower(F.trim(col(c)))
@@ -100,6 +107,12 @@ def _integer(c: Column, spark_type: str) -> Column:
     plain = F.regexp_replace(c, r"(?<=[0-9])_(?=[0-9])", "")
     decimal = F.regexp_extract(plain, rf"\A{_SPACE}*[+-]?[0-9]+{_SPACE}*\z", 0).try_cast(spark_type)
     word = F.regexp_extract(F.lower(c), rf"\A{_SPACE}*({BASED_INT}){_SPACE}*\z", 1)
+    based = once(word, lambda w: _based(w).try_cast(spark_type))
+    return F.coalesce(decimal, F.when(F.rlike(c, F.lit("0[xXoObB]")), based))
+
+
+def _based(word: Column) -> Column:
+    """Digits to base 10 of a lower-case number with a base."""
     letter = F.regexp_extract(word, "[xob]", 0)
     bits = F.when(letter == "x", 4).when(letter == "o", 3).when(letter == "b", 1)
     digits = F.regexp_replace(word, r"^[+-]?0[xob]_*0*|_", "")
@@ -109,8 +122,7 @@ def _integer(c: Column, spark_type: str) -> Column:
         (F.length(digits) * bits <= 64) | ((letter == "o") & F.rlike(digits, F.lit(OCTAL_64))),
         F.call_function("conv", F.concat(F.lit("0"), digits), F.call_function("shiftleft", F.lit(1), bits), F.lit(10)),
     )
-    based = F.concat(F.regexp_extract(word, "^-", 0), number).try_cast(spark_type)
-    return F.coalesce(decimal, F.when(F.rlike(c, F.lit("0[xXoObB]")), based))
+    return F.concat(F.regexp_extract(word, "^-", 0), number)
 
 
 def to_int_loose(c: Column | str) -> Column:
@@ -141,7 +153,10 @@ def to_numeric_loose(c: Column | str) -> Column:
 
 def _iso(c: Column) -> Column:
     """Known spellings of a date, perhaps with a time, towards ISO; other text stays as it is."""
-    plain = F.lower(_space_trimmed(c))
+    return once(F.lower(_space_trimmed(c)), _plain_iso)
+
+
+def _plain_iso(plain: Column) -> Column:
     named = plain
     for pattern, form in NAME_REWRITES:
         named = F.regexp_replace(named, pattern, form)
@@ -157,28 +172,34 @@ def _clock(c: Column) -> Column:
     """A date or time towards ISO on the 24-hour clock, with its offset but without the name of a region."""
     offset = F.try_element_at(F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair]), F.lower(F.regexp_extract(c, ENDING, 1)))
     ends = F.rlike(c, F.lit(ENDS))
-    offset = F.when(ends, offset)
     cut = F.when(offset.isNotNull(), F.regexp_replace(c, ENDING, "")).otherwise(F.regexp_replace(c, REGION, ""))
-    iso = _iso(F.when(ends, cut).otherwise(c))
-    half = iso
-    for pattern, form in HALF_DAYS + ZONE_REWRITES:
-        half = F.regexp_replace(half, pattern, form)
-    return F.concat(F.when(F.rlike(c, F.lit(MARKED)), half).otherwise(iso), F.coalesce(offset, F.lit("")))
+
+    def full(iso: Column) -> Column:
+        half = iso
+        for pattern, form in HALF_DAYS + ZONE_REWRITES:
+            half = F.regexp_replace(half, pattern, form)
+        return F.when(F.rlike(c, F.lit(MARKED)), half).otherwise(iso)
+
+    return F.concat(once(_iso(F.when(ends, cut).otherwise(c)), full), F.when(ends, F.coalesce(offset, F.lit(""))).otherwise(""))
 
 
 def to_date_loose(c: Column | str) -> Column:
     """T11. A time and zone after the date are checked and dropped."""
     c = col(c)
-    slow = F.regexp_extract(_clock(c), STAMP, 1).try_cast("date")
+    slow = once(c, lambda t: F.regexp_extract(_clock(t), STAMP, 1).try_cast("date"))
     return F.when(F.rlike(c, F.lit(USUAL_DATE)), c.try_cast("date")).otherwise(slow)
 
 
 def to_timestamptz_loose(c: Column | str) -> Column:
     """T12. Text without a zone is UTC; a bare date is midnight."""
     c = col(c)
-    region = F.regexp_replace(F.regexp_extract(c, REGION, 1), "^(?=.)", " ")
-    slow = F.concat(F.regexp_extract(_clock(c), STAMP, 0), region).try_cast("timestamp")
-    slow = slow + F.when(F.rlike(c, F.lit(MIDNIGHT)), F.expr("INTERVAL 24 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
+
+    def read(text: Column) -> Column:
+        region = F.regexp_replace(F.regexp_extract(text, REGION, 1), "^(?=.)", " ")
+        stamp = F.concat(F.regexp_extract(_clock(text), STAMP, 0), region).try_cast("timestamp")
+        return stamp + F.when(F.rlike(text, F.lit(MIDNIGHT)), F.expr("INTERVAL 24 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
+
+    slow = once(c, read)
     return F.when(F.rlike(c, F.lit(USUAL_STAMP)), c.try_cast("timestamp")).otherwise(slow)
 
 

@@ -6,6 +6,11 @@ from pyspark.sql import SparkSession
 
 from loadkit.functions import casts
 
+
+def _once(value: str, name: str, then: str) -> str:
+    return f"get(transform(array({value}), {name} -> {then}), 0)"
+
+
 def _words(words: list[str]) -> str:
     return ", ".join(f"'{w}'" for w in words)
 
@@ -18,13 +23,14 @@ def _integer(kind: str) -> str:
     space = casts._SPACE
     plain = "regexp_replace(txt, r'(?<=[0-9])_(?=[0-9])', '')"
     word = rf"regexp_extract(lower(txt), r'\A{space}*({casts.BASED_INT}){space}*\z', 1)"
-    letter = f"regexp_extract({word}, '[xob]', 0)"
+    letter = "regexp_extract(word, '[xob]', 0)"
     bits = f"CASE {letter} WHEN 'x' THEN 4 WHEN 'o' THEN 3 WHEN 'b' THEN 1 END"
-    digits = f"regexp_replace({word}, r'^[+-]?0[xob]_*0*|_', '')"
+    digits = "regexp_replace(word, r'^[+-]?0[xob]_*0*|_', '')"
     wide = f"({letter} = 'o' AND rlike({digits}, r'{casts.OCTAL_64}'))"
     number = f"CASE WHEN length({digits}) * {bits} <= 64 OR {wide} THEN conv(concat('0', {digits}), shiftleft(1, {bits}), 10) END"
+    based = _once(word, "word", f"try_cast(concat(regexp_extract(word, '^-', 0), {number}) AS {kind})")
     return rf"""coalesce(try_cast(regexp_extract({plain}, r'\A{space}*[+-]?[0-9]+{space}*\z', 0) AS {kind}),
-        CASE WHEN rlike(txt, '0[xXoObB]') THEN try_cast(concat(regexp_extract({word}, '^-', 0), {number}) AS {kind}) END)"""
+        CASE WHEN rlike(txt, '0[xXoObB]') THEN {based} END)"""
 
 
 def _double() -> str:
@@ -48,31 +54,32 @@ def _offset() -> str:
 def _iso() -> str:
     cut = f"CASE WHEN {_offset()} IS NOT NULL THEN regexp_replace(txt, r'{casts.ENDING}', '') ELSE regexp_replace(txt, r'{casts.REGION}', '') END"
     body = f"CASE WHEN rlike(txt, r'{casts.ENDS}') THEN {cut} ELSE txt END"
-    plain = "lower(" + _trimmed().replace("(txt,", f"({body},", 1) + ")"
-    named = plain
+    trimmed = "lower(" + _trimmed().replace("(txt,", f"({body},", 1) + ")"
+    named = "plain"
     for pattern, form in casts.NAME_REWRITES:
         named = f"regexp_replace({named}, r'{pattern}', '{form}')"
     for number, name in enumerate(casts.MONTHS, 1):
         named = f"replace({named}, '-{name}-', '-{number}-')"
-    iso = f"CASE WHEN rlike({plain}, r'{casts.NAMED}') THEN {named} ELSE {plain} END"
+    iso = f"CASE WHEN rlike(plain, r'{casts.NAMED}') THEN {named} ELSE plain END"
     for pattern, form in casts.DATE_REWRITES:
         iso = f"regexp_replace({iso}, r'{pattern}', '{form}')"
-    half = iso
+    half = "iso"
     for pattern, form in casts.HALF_DAYS + casts.ZONE_REWRITES:
         half = f"regexp_replace({half}, r'{pattern}', '{form}')"
-    return f"concat(CASE WHEN rlike(txt, r'{casts.MARKED}') THEN {half} ELSE {iso} END, coalesce({_offset()}, ''))"
+    full = f"CASE WHEN rlike(txt, r'{casts.MARKED}') THEN {half} ELSE iso END"
+    return f"concat({_once(_once(trimmed, 'plain', iso), 'iso', full)}, coalesce({_offset()}, ''))"
 
 
 def _timestamp() -> str:
     region = f"regexp_replace(regexp_extract(txt, r'{casts.REGION}', 1), '^(?=.)', ' ')"
     slow = f"try_cast(concat(regexp_extract({_iso()}, r'{casts.STAMP}', 0), {region}) AS timestamp)"
     slow = f"{slow} + CASE WHEN rlike(txt, r'{casts.MIDNIGHT}') THEN INTERVAL 24 HOURS ELSE INTERVAL 0 HOURS END"
-    return f"CASE WHEN rlike(txt, r'{casts.USUAL_STAMP}') THEN try_cast(txt AS timestamp) ELSE {slow} END"
+    return f"CASE WHEN rlike(txt, r'{casts.USUAL_STAMP}') THEN try_cast(txt AS timestamp) ELSE {_once('txt', 'txt', slow)} END"
 
 
 def _date() -> str:
     slow = f"try_cast(regexp_extract({_iso()}, r'{casts.STAMP}', 1) AS date)"
-    return f"CASE WHEN rlike(txt, r'{casts.USUAL_DATE}') THEN try_cast(txt AS date) ELSE {slow} END"
+    return f"CASE WHEN rlike(txt, r'{casts.USUAL_DATE}') THEN try_cast(txt AS date) ELSE {_once('txt', 'txt', slow)} END"
 
 
 def _jsonb() -> str:

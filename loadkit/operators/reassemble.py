@@ -13,7 +13,7 @@ backslash, or inside brackets. The file is still read in parallel, in two passes
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from loadkit.functions.json import is_valid_json, one_line
 from loadkit.functions.text import strip_space
+from loadkit.schemas import POSITION
 from loadkit.session import BROADCAST_ROWS, broadcast_checked, stage
-from loadkit.sources.lines import POSITION
 
 OUTSIDE, INSIDE, ESCAPED = 0, 1, 2
 _STATES = (OUTSIDE, INSIDE, ESCAPED)
@@ -124,6 +124,9 @@ def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tup
 
 _EFFECTS = [f"{n}{s}" for s in _STATES for n in ("end", "net", "floor", "ends")]
 _BATCH_CHARS = 4_000_000
+_SUMMARIES = 1000
+# Bytes of a record that crosses splits. It becomes one row, so one quote that is never closed must not gather a whole file.
+LONGEST_RECORD = 1 << 28
 _SUMMARY = "file string, block bigint, " + ", ".join(f"{c} bigint" for c in _EFFECTS)
 _START = "file string, block bigint, state bigint, depth bigint, opened bigint"
 _PIECES = "file string, block bigint, seq bigint, idx bigint, text string, newlines bigint, returns bigint, partial boolean"
@@ -146,7 +149,7 @@ def _opened(line: str, block: int, opener: str) -> str:
     return line.lstrip()[len(opener) :]
 
 
-def _summarise(opener: str):
+def _summarise(opener: str, effect_of: Callable[[str], tuple[Effect, ...]] = line_effect):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done, current, effect = [], None, _NOTHING
         for key, lines in _runs(batches, ["file", "block"]):
@@ -156,12 +159,17 @@ def _summarise(opener: str):
                 current, effect = key, _NOTHING
                 lines = [_opened(lines[0], key[1], opener), *lines[1:]]
             for line in lines:
-                effect = chain(effect, line_effect(line))
+                effect = chain(effect, effect_of(line))
+            if len(done) == _SUMMARIES:
+                yield told(done)
+                done = []
         if current:
             done.append((current, effect))
-        rows = [(*key, *(v for e in effect for v in e)) for key, effect in done]
-        if rows:
-            yield _batch(rows, _SUMMARY)
+        if done:
+            yield told(done)
+
+    def told(done: list[tuple[tuple, tuple[Effect, ...]]]) -> pa.RecordBatch:
+        return _batch([(*key, *(v for e in effect for v in e)) for key, effect in done], _SUMMARY)
 
     return run
 
@@ -187,7 +195,7 @@ def _start_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield _batch(rows, _START)
 
 
-def _cut(inside: str, nested: str, keep_returns: bool, opener: str):
+def _cut(inside: str, nested: str, keep_returns: bool, opener: str, step: Callable[[str, int], tuple[int, int, int]] = walk):
     def clean(text: str, state: int) -> tuple[str, int]:
         """Carriage returns to their escape inside strings, to a space outside."""
         if keep_returns or "\r" not in text:
@@ -236,7 +244,7 @@ def _cut(inside: str, nested: str, keep_returns: bool, opener: str):
                 text, count = clean(line, state)
                 buf.append(text)
                 returns += count
-                state, net, floor = walk(line.replace("\r", "") if "\r" in line else line, state)
+                state, net, floor = step(line.replace("\r", "") if "\r" in line else line, state)
                 depth = max(depth + net, floor)
                 index += 1
                 if (state, depth) == (OUTSIDE, 0):
@@ -259,16 +267,22 @@ def reassemble(
     keep_returns: bool = False,
     opener: str = "",
     keep_blank: bool = False,
+    trim: bool = True,
+    effect_of: Callable[[str], tuple[Effect, ...]] = line_effect,
+    step: Callable[[str, int], tuple[int, int, int]] = walk,
+    longest: int = LONGEST_RECORD,
 ) -> DataFrame:
     """One row per record: `file`, `block`, `idx` (its order), `record`, `newlines`, `returns`.
 
     `lines` has POSITION and `line` columns, not NULL, as from `scan_lines(keep_cr=True)`; the rows
     of one (file, block) must follow each other within a partition, and both passes must see the
     same blocks. A line break inside a string becomes `inside`, one inside brackets `nested`.
-    A file whose brackets or quotes never balance again is one record from there on.
+    A file whose brackets or quotes never balance again is one record from there on; beyond `longest`
+    bytes it fails, and the error names the file and the split where the record begins. `effect_of` and `step` say
+    what a line does to the state; `trim` takes the white space around records away.
     """
     rows = lines.select(*POSITION, "line")
-    summary = stage(rows.select("file", "block", "line").mapInArrow(_summarise(opener), _SUMMARY), "summary")
+    summary = stage(rows.select("file", "block", "line").mapInArrow(_summarise(opener, effect_of), _SUMMARY), "summary")
     in_order = summary.repartition("file").sortWithinPartitions("file", "block")
     starts = stage(in_order.mapInArrow(_start_states, _START), "starts")
     if starts.count() <= BROADCAST_ROWS:
@@ -276,9 +290,15 @@ def reassemble(
     else:
         known = rows.join(starts, ["file", "block"]).repartition("file", "block").sortWithinPartitions(*POSITION)
     known = known.select("file", "block", "state", "depth", "opened", "line")
-    pieces = stage(known.mapInArrow(_cut(inside, nested, keep_returns, opener), _PIECES), "pieces", ["partial"])
+    pieces = stage(known.mapInArrow(_cut(inside, nested, keep_returns, opener, step), _PIECES), "pieces", ["partial"])
+    partial = pieces.filter("partial")
+    sizes = partial.groupBy("file", "block").agg(F.sum(F.octet_length("text")).alias("bytes"))
+    over = sizes.filter(F.col("bytes") > longest).orderBy("file", "block").limit(5).collect()
+    if over:
+        found = ", ".join(f"{r.file} from the split at byte {r.block} ({r.bytes} bytes)" for r in over)
+        raise ValueError(f"records of more than {longest} bytes, perhaps a quote or bracket that is never closed: {found}")
     joined = (
-        pieces.filter("partial")
+        partial
         .groupBy("file", "block")
         .agg(
             F.max("idx").alias("idx"),
@@ -291,7 +311,7 @@ def reassemble(
     )
     columns = ["file", "block", "idx", "text", "newlines", "returns"]
     records = pieces.filter("not partial").select(*columns).unionByName(joined.select(*columns))
-    records = records.withColumn("record", strip_space("text")).drop("text")
+    records = records.withColumn("record", strip_space("text") if trim else F.col("text")).drop("text")
     return records if keep_blank else records.filter("record <> ''")
 
 

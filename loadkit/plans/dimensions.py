@@ -17,7 +17,7 @@ from loadkit.schemas import APP, APP_CSV, APP_CSV_SHORT, GAME, PC_GAME, Table
 from loadkit.session import stage
 from loadkit.sinks import append_new, conform, read_table, refresh
 from loadkit.sources.csv import scan_csv
-from loadkit.sources.lines import POSITION, line_offsets, number_lines, scan_lines
+from loadkit.sources.lines import POSITION, scan_lines
 
 MISSING_GAME = "unified_app_id_not_in_dim_game_info"
 
@@ -82,14 +82,8 @@ def _finish(judged: DataFrame, table: Table, root: str, dependants: dict, mode:
         path = root
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    offsets = line_offsets(parts["all"])
-    rejects = number_lines(parts[REJECTED], offsets).select("line_no", "line", "reason")
-    orphans = parts[ORPHAN]
-    if table.parent_key:
-        orphans = number_lines(orphans, offsets).select(
-            "line_no", "line", *table.key, table.parent_key, F.lit(MISSING_GAME).alias("reason")
-        )
-    return Load(parts["all"], parts[ACCEPTED], rejects, orphans, path)
+    shown = ["line", *table.key, table.parent_key, F.lit(MISSING_GAME).alias("reason")] if table.parent_key else None
+    return Load(parts["all"], parts[ACCEPTED], parts[REJECTED], parts[ORPHAN], path, ["line", "reason"], shown)
 
 
 def load_games(

@@ -15,7 +15,7 @@ from loadkit.operators.upsert import one_per_key, split_outcomes, upsert_table
 from loadkit.plans.common import ACCEPTED, ORPHAN, REJECTED, Load, judge
 from loadkit.schemas import DAILY, MONTHLY, Table
 from loadkit.sinks import conform, publish
-from loadkit.sources.lines import POSITION, line_offsets, number_lines, scan_lines
+from loadkit.sources.lines import POSITION, scan_lines
 
 
 @dataclass(frozen=True)
@@ -123,8 +123,6 @@ def load_fact(
     else:
         upsert_table(root, accepted, fact.table.schema, keys, policy, on_dup=on_dup, order_by=POSITION, partition_by=partition_by)
         path = root
-    offsets = line_offsets(parts["all"])
-    rejects = number_lines(parts[REJECTED], offsets).select("line_no", "line", "reason")
     diverted = parts[ORPHAN] if orphans != "drop" else parts[ORPHAN].limit(0)
-    diverted = number_lines(diverted, offsets).select("line_no", *fact.table.columns, F.col("line").alias("raw_line"))
-    return Load(parts["all"], accepted, rejects, diverted, path)
+    shown = [*fact.table.columns, F.col("line").alias("raw_line")]
+    return Load(parts["all"], accepted, parts[REJECTED], diverted, path, ["line", "reason"], shown)

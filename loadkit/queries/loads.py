@@ -9,17 +9,23 @@ from loadkit.schemas import APP, APP_CSV, APP_CSV_SHORT, DAILY, GAME, MONTHLY, P
 from loadkit.sources import scan_lines
 from loadkit.streaming import incremental
 from loadkit.queries import query
+from loadkit.session import stages
 from loadkit.queries.tables import LINE_ORDER, folder
 
 
-def write_sorted(rows, order, path, parts=None):
-    """`line` as text files whose names sort as the rows do, as many as the cluster has cores unless the number matters."""
-    ranged = rows.repartitionByRange(parts or rows.sparkSession.sparkContext.defaultParallelism, *order)
+def write_sorted(rows, order, path):
+    """`line` as text files whose names sort as the rows do, as many as the cluster has cores."""
+    ranged = rows.repartitionByRange(rows.sparkSession.sparkContext.defaultParallelism, *order)
     sorted_rows = ranged.sortWithinPartitions(*order)
     sorted_rows.select(F.col("line").alias("value")).write.text(path)
     return path
 
 
+def half(spark):
+    """Files of a batch when the files of `write_sorted` make two."""
+    return max(1, spark.sparkContext.defaultParallelism // 2)
+
+
 # Games from customers.
 
 GAME_KEY = "'g' || (c_custkey - c_custkey % 3)"
@@ -46,6 +52,38 @@ def _(t, spark):
                         "game_class", F.col("game_release_date_ww").cast("string").alias("released"))
 
 
+def others(schema, shown):
+    """Number of values in the columns that are not compared one by one."""
+    values = [F.col(f"`{c}`").isNotNull().cast("bigint") for c in schema.names if c not in shown]
+    return sum(values[1:], values[0]).alias("others")
+
+
+GAMES_KEPT = "SELECT * FROM customer WHERE c_custkey % 11 > 2 QUALIFY row_number() OVER (PARTITION BY c_custkey - c_custkey % 3 ORDER BY c_custkey) = 1"
+
+
+@query("game_dimension_table", f"SELECT {GAME_KEY} AS unified_app_id, c_name AS name, CAST(4 AS BIGINT) AS others FROM ({GAMES_KEPT})")
+def _(t, spark):
+    with stages(spark):
+        path = game_load(t, spark).path.rsplit("/", 1)[0]
+    # The stages of the load are gone; the table is not.
+    table = sinks.read_table(spark, path, GAME.schema)
+    return table.select("unified_app_id", "name", others(GAME.schema, ("unified_app_id", "name")))
+
+
+@query("game_dimension_preview", f"SELECT {GAME_KEY} AS unified_app_id, c_name AS name FROM ({GAMES_KEPT}) ORDER BY 1 LIMIT 5")
+def _(t, spark):
+    return dimensions.preview_dimension(spark, game_load(t, spark).path.rsplit("/", 1)[0], GAME, ["unified_app_id", "name"])
+
+
+@query("game_dimension_counts", f"""
+    SELECT 'lines' AS name, count(*) AS cnt FROM customer UNION ALL SELECT 'rejects', count(*) FROM customer WHERE c_custkey % 11 <= 2
+    UNION ALL SELECT 'orphans', 0 UNION ALL SELECT 'accepted', count(*) FROM customer WHERE c_custkey % 11 > 2
+    UNION ALL SELECT 'table', count(*) FROM ({GAMES_KEPT})""")
+def _(t, spark):
+    load = game_load(t, spark)
+    return load.counts(sinks.read_table(spark, load.path.rsplit("/", 1)[0], GAME.schema))
+
+
 @query("game_dimension_rejects", """
     SELECT line_no, CASE c_custkey % 11 WHEN 0 THEN NULL WHEN 1 THEN '{bad' || c_custkey ELSE '{"unified_app_id": " "}' END AS line,
            CASE c_custkey % 11 WHEN 0 THEN 'blank_line' WHEN 1 THEN 'invalid_json' ELSE 'blank_unified_app_id' END AS reason
@@ -246,9 +284,9 @@ def _(t, spark):
     root = folder(spark, "stream")
     line = ("'{\"aid\": ' || user_id || ', \"cc\": \"E' || event_id || '\", \"iu\": ' || event_id || ', \"d\": \"' || "
             "date_format(ts, 'yyyy-MM-dd') || 'T' || date_format(ts, 'HH:mm:ss') || 'Z\"}'")
-    write_sorted(t("events").select("event_id", F.expr(line).alias("line")), ["event_id"], f"{root}-in", parts=4)
+    write_sorted(t("events").select("event_id", F.expr(line).alias("line")), ["event_id"], f"{root}-in")
     apps = t("events").select(F.col("user_id").cast("string").alias("app_id")).distinct()
-    incremental.stream_fact(spark, f"{root}-in", facts.DAILY_FACT, root, apps, f"{root}-work", files_per_batch=2)
+    incremental.stream_fact(spark, f"{root}-in", facts.DAILY_FACT, root, apps, f"{root}-work", files_per_batch=half(spark))
     return sinks.read_table(spark, root, DAILY.schema).select(
         "app_id", "country_android", F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("ts"), "downloads_iphone")
 
@@ -258,7 +296,7 @@ def _(t, spark):
 def _(t, spark):
     root = folder(spark, "progress")
     line = "'{\"app_id\": ' || user_id || ', \"month\": \"' || date_format(ts, 'yyyy-MM') || '\", \"peak_ccu\": ' || event_id || '}'"
-    write_sorted(t("events").select("event_id", F.expr(line).alias("line")), ["event_id"], f"{root}-in", parts=4)
+    write_sorted(t("events").select("event_id", F.expr(line).alias("line")), ["event_id"], f"{root}-in")
     games = t("events").select(F.col("user_id").cast("int").alias("app_id")).distinct()
     return incremental.stream_fact(spark, f"{root}-in", facts.MONTHLY_FACT, root, games, f"{root}-work", mode="upsert",
                                    partition_by="month").select("processed_lines", "inserted_rows")

@@ -193,6 +193,15 @@ def _(t, spark):
     return scan_csv(spark, path, ["doc_id", "text", "lang"]).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
+@query("csv_quoted_breaks", """
+    SELECT doc_id, text, CASE doc_id % 3 WHEN 0 THEN NULL WHEN 1 THEN chr(10) || '"x", y' ELSE lang END AS lang FROM documents""")
+def _(t, spark):
+    path = folder(spark, "csv-breaks")
+    rows = t("documents").select(F.col("doc_id").cast("string"), "text", F.expr(pick("doc_id", "NULL", "chr(10) || '\"x\", y'", "lang")).alias("lang"))
+    sinks.write_csv(rows, path)
+    return scan_csv(spark, path, ["doc_id", "text", "lang"], whole_file=0).withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 @query("csv_rejects", "SELECT c_custkey, c_name FROM customer WHERE c_custkey % 4 IN (1, 2)")
 def _(t, spark):
     from loadkit.operators.classify import CSV_ID_LENGTH, NUMERIC_PATTERN, id_ok
@@ -215,8 +224,9 @@ def plain_text(rows, path):
     return path
 
 
-def framed(lines, path, head, tail=None, parts=4):
+def framed(lines, path, head, tail=None):
     """Text files that each start with a head line, and end with a tail line if there is one."""
+    parts = lines.sparkSession.sparkContext.defaultParallelism
     cut = lines.repartition(parts).select(F.spark_partition_id().alias("p"), F.lit(1).alias("place"), "line")
     for place, text in [(0, head), (2, tail)]:
         if text is not None:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,18 +49,34 @@ def scratch_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-_STAGED: list[str] = []
+# Folders `stage` wrote: those of the scope at hand, or of the process outside any.
+_STAGED: ContextVar[list[str]] = ContextVar("staged", default=[])
 
 
 def drop_stages(spark: SparkSession) -> int:
-    """Delete what `stage` wrote in this process; frames of earlier loads must no longer be read."""
-    dropped = len(_STAGED)
-    while _STAGED:
-        where = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+    """Delete what `stage` wrote in the scope at hand; frames of loads in it must no longer be read."""
+    staged = _STAGED.get()
+    dropped = len(staged)
+    while staged:
+        where = spark._jvm.org.apache.hadoop.fs.Path(staged.pop())
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
     return dropped
 
 
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """Scope of a load: what is staged inside is deleted at its end, and nothing of other loads.
+
+    Write what the load gives before the scope ends.
+    """
+    before = _STAGED.set([])
+    try:
+        yield
+    finally:
+        drop_stages(spark)
+        _STAGED.reset(before)
+
+
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back.
 
@@ -66,7 +85,7 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/stage-{label}-{uuid.uuid4().hex}"
-    _STAGED.append(path)
+    _STAGED.get().append(path)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -12,9 +12,13 @@ or after the load, never a mixture that a failed load left. Loads of one table r
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,19 +41,19 @@ def write_lines(df: DataFrame, path: str, column: str = "line") -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Minimal quoting, quotes doubled, CRLF row ends."""
-    (
-        df.write.mode("errorifexists")
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("lineSep", "\r\n")
-        .option("emptyValue", "")
-        .option("nullValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    """Minimal quoting, quotes doubled, CRLF row ends, a header in each file (A6). Line breaks within fields stay as they are."""
+    options = {"quote": '"', "escape": '"', "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    names = io.StringIO()
+    csv.writer(names, lineterminator="").writerow(df.columns)
+    head = pa.RecordBatch.from_pydict({"value": [names.getvalue()]})
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield head
+        yield from batches
+
+    # Spark's CSV writer would turn line breaks within fields into row ends, so finished rows are written as text.
+    rows = df.select(F.to_csv(F.struct(*[F.col(f"`{c}`") for c in df.columns]), options).alias("value"))
+    rows.mapInArrow(headed, "value string").write.mode("errorifexists").text(path, lineSep="\r\n")
 
 
 def write_split(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

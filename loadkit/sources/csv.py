@@ -2,44 +2,86 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadkit.operators.reassemble import INSIDE, OUTSIDE, Effect, reassemble
 from loadkit.schemas import text_schema
+from loadkit.session import broadcast_checked, stage
+from loadkit.sources.lines import scan_lines
+
+# Bytes of a file that one task reads whole where quoted line breaks are allowed; the records of larger ones are found by split.
+WHOLE_FILE = 1 << 27
+_REST_OF_QUOTED = re.compile(r'[^"]*+(?:""[^"]*+)*+"(?!")')
+
+
+def csv_step(line: str, state: int) -> tuple[int, int, int]:
+    """State after a line of CSV; a quote opens only where a field begins. There is no depth."""
+    at = 0
+    while True:
+        if state == OUTSIDE and line.startswith('"', at):
+            at, state = at + 1, INSIDE
+        if state != OUTSIDE:
+            closed = _REST_OF_QUOTED.match(line, at)
+            if closed is None:
+                return INSIDE, 0, 0
+            at, state = closed.end(), OUTSIDE
+        at = line.find(",", at) + 1
+        if not at:
+            return OUTSIDE, 0, 0
+
+
+def csv_effect(line: str) -> tuple[Effect, ...]:
+    """Effect of a line for each start state; it ends a record where it ends outside quotes."""
+    line = line.replace("\r", "")
+    ends = [csv_step(line, start)[0] for start in (OUTSIDE, INSIDE)]
+    outside, inside = [(end, 0, 0, 0 if end == OUTSIDE else -1) for end in ends]
+    return outside, inside, inside
+
+
+def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """POSITION and `record`, without headers and blank records; files are read by split."""
+    lines = scan_lines(spark, path, keep_cr=True)
+    found = reassemble(lines, inside="\n", keep_returns=True, keep_blank=True, trim=False, effect_of=csv_effect, step=csv_step)
+    found = found.select("file", "block", F.col("idx").alias("pos"), F.regexp_replace("record", r"\r\z", "").alias("record")).filter("record <> ''")
+    heads = stage(found.filter("block = 0").groupBy("file").agg(F.min("pos").alias("pos")), "csv-heads")
+    heads = heads.select("file", F.lit(0).cast("bigint").alias("block"), "pos", F.lit(True).alias("head"))
+    return found.join(broadcast_checked(heads), ["file", "block", "pos"], "left").filter("head IS NULL").drop("head")
+
+
+def _largest(spark: SparkSession, path: str | list[str]) -> int:
+    sizes = spark.read.format("binaryFile").load(path).select("length")
+    return sizes.agg(F.max("length")).first()[0] or 0
 
 
 def scan_csv(
-    spark: SparkSession, path: str | list[str], columns: list[str], multi_line: bool = True, ragged: str = "fail", position: bool = False
+    spark: SparkSession, path: str | list[str], columns: list[str], multi_line: bool = True, ragged: str = "fail", position: bool = False,
+    whole_file: int = WHOLE_FILE,
 ) -> DataFrame:
     """Header skipped, columns bound by position, unquoted empty = NULL, quoted empty = ''.
 
     A row with another number of fields fails the job; `ragged="pad"` fills short rows with NULL and fails for
-    long ones. `position` adds POSITION, which sorts rows in file order. `multi_line`
-    is needed for quoted line breaks and makes a file one task: turn it off for large files known
-    to hold one record per line, which then split.
+    long ones. `position` adds POSITION, which sorts rows in file order. `multi_line` allows quoted line
+    breaks: files up to `whole_file` bytes are a task each, and if one is larger, all are read by split and records
+    that cross lines are put together first. Without it every line is a record.
     """
     surplus = "__surplus"
     schema = text_schema([*columns, surplus] if ragged == "pad" else columns)
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("nullValue", "\x01")
-        .option("emptyValue", "")
-        .option("columnPruning", False)
-        .option("maxCharsPerColumn", -1)
-        .option("maxColumns", max(20480, len(columns)))
-        .option("mode", "FAILFAST" if ragged == "fail" else "PERMISSIVE")
-        .csv(path)
-    )
+    options = {
+        "quote": '"', "escape": '"', "nullValue": "\x01", "emptyValue": "", "maxCharsPerColumn": "-1", "maxColumns": str(max(20480, len(columns))),
+        "mode": "FAILFAST" if ragged == "fail" else "PERMISSIVE",
+    }
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos")]
+    if multi_line and _largest(spark, path) > whole_file:
+        rows = _records(spark, path).withColumn("row", F.from_csv("record", ", ".join(f"`{c}` string" for c in schema.names), options))
+        rows, place = rows.select("row.*", "file", "block", "pos"), ["file", "block", "pos"]
+    else:
+        reader = spark.read.schema(schema).options(header=True, enforceSchema=True, multiLine=multi_line, columnPruning=False, **options)
+        rows = reader.csv(path)
     picked = [F.col(f"`{c}`") for c in columns]
     if ragged == "pad":
         message = F.concat(F.lit("more fields than columns: "), F.col(surplus))
         picked[0] = F.when(F.col(surplus).isNull(), picked[0]).otherwise(F.raise_error(message)).alias(columns[0])
-    if position:
-        where = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
-        picked += [*where, F.monotonically_increasing_id().alias("pos")]
-    return rows.select(*picked)
+    return rows.select(*picked, *(place if position else []))

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loadkit.schemas import POSITION
 from loadkit.session import broadcast_checked, stage
 
-# Sorts lines in file order: file, start of the input split, row counter within the task.
-POSITION = ["file", "block", "pos"]
 _BLOCK = ["file", "block"]
 _RANGES = 64
 
