@@ -299,3 +299,67 @@ def test_repairs(spark, tmp):
     for parallel in (False, True):
         assert repairs.json_list_to_ndjson(spark, path, f"{tmp}/l{parallel}", parallel).first().rows == 2
         assert out_lines(f"{tmp}/l{parallel}") == ['{"a":null}', "2"]
+
+
+def csv_cases():
+    return [
+        'id,text,note\r\n', '1,plain,x\r\n', '\r\n', '2,"two\nlines",\r\n', '3,"a ""quoted""\n\n""word""",""\r\n', '4,5" disk,"x,y"\r\n', '5,"ends with break\n",  padded \r\n',
+        *[f'{n},"row\n{n}, ""with"" break","{"z" * (n % 7)}"\r\n' for n in range(6, 60)],
+    ]
+
+
+def test_large_csv_is_read_by_split(spark, tmp):
+    import csv
+    import io
+
+    from loadkit.sources import POSITION, scan_csv
+
+    text = "".join(csv_cases())
+    path = put(f"{tmp}/in/b.csv", text)
+    put(f"{tmp}/in/a.csv", "id,text,note\n0,first,\n")
+    names = ["id", "text", "note"]
+    whole = sorted(tuple(r) for r in scan_csv(spark, f"{tmp}/in", names).collect())
+    by_hand = [r for r in csv.reader(io.StringIO(text, newline="")) if r][1:]
+    assert [r[0] for r in sorted(whole, key=lambda r: int(r[0]))] == ["0", *[r[0] for r in by_hand]]
+    assert {r[0]: r[1] for r in whole if r[0] != "0"} == {r[0]: r[1] for r in by_hand}
+    for size in ("200", "700", "100000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            split = scan_csv(spark, f"{tmp}/in", names, position=True, whole_file=0)
+            rows = split.orderBy(*POSITION).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert [r.id for r in rows] == ["0", *[r[0] for r in by_hand]]
+        assert sorted((r.id, r.text, r.note) for r in rows) == whole
+    put(f"{tmp}/bad.csv", "id,text\n1,2,3\n")
+    with pytest.raises(Exception, match="MALFORMED|alformed"):
+        scan_csv(spark, f"{tmp}/bad.csv", ["id", "text"], whole_file=0).collect()
+    assert scan_csv(spark, path, names, whole_file=0).limit(0).columns == names
+
+
+def test_written_csv_keeps_line_breaks(spark, tmp):
+    import csv
+    import io
+    import pathlib
+
+    rows = [("1", "a\nb\r\nc", None), ("2", 'say "x", y', ""), ("3", "", "é")]
+    sinks.write_csv(spark.createDataFrame(rows, '`id` string, `the "text"` string, note string').coalesce(1), f"{tmp}/out")
+    text = next(pathlib.Path(f"{tmp}/out").glob("part-*")).read_bytes().decode()
+    got = list(csv.reader(io.StringIO(text, newline="")))
+    assert got == [["id", 'the "text"', "note"], *[[v or "" for v in r] for r in rows]]
+    assert text.endswith("\r\n")
+
+
+def test_stages_end_with_their_load(spark, tmp):
+    from loadkit import session
+
+    outside = session.stage(spark.range(3), "outer")
+    with session.stages(spark):
+        inside = session.stage(spark.range(5), "inner")
+        assert inside.count() == 5
+        path = inside.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+    assert not os.path.exists(path) and outside.count() == 3
+    with pytest.raises(RuntimeError), session.stages(spark):
+        path = session.stage(spark.range(5), "inner").inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+        raise RuntimeError
+    assert not os.path.exists(path)

@@ -112,3 +112,29 @@ def test_json_list(spark, tmp, read):
                 read(spark, f"{tmp}/bad{i}").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_quote_that_is_never_closed_fails_with_its_place(spark, tmp, monkeypatch):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        with open(f"{tmp}/open.ndjson", "w") as out:
+            out.write('{"a":1}\n{"b":"never\n' + "some more text\n" * 200)
+        lines = scan_lines(spark, f"{tmp}/open.ndjson", keep_cr=True)
+        with pytest.raises(ValueError, match=r"open\.ndjson from the split at byte 0"):
+            reassemble(lines, longest=1000)
+        # Within the bound every byte is there.
+        records = [r.record for r in reassemble(lines).orderBy("block", "idx").collect()]
+        assert records[0] == '{"a":1}' and records[1].startswith('{"b":"never\\n') and records[1].count("some more text\\n") == 200
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_summaries_are_told_as_they_come():
+    import pyarrow as pa
+
+    from loadkit.operators import reassemble as module
+
+    n = 2 * module._SUMMARIES + 5
+    batch = pa.RecordBatch.from_pydict({"file": ["f"] * n, "block": list(range(n)), "line": ["{}"] * n})
+    told = list(module._summarise("")(iter([batch])))
+    assert len(told) == 3 and sum(b.num_rows for b in told) == n

@@ -122,3 +122,21 @@ def test_scratch_follows_the_session(spark, tmp):
     frame = session.stage(spark.range(3), "here")
     assert frame.inputFiles()[0].startswith("file:") and saved in frame.inputFiles()[0]
     assert session.drop_stages(spark) >= 1
+
+
+def test_rejects_are_numbered_when_asked_for(spark, tmp, monkeypatch):
+    from loadkit.plans import common
+
+    asked = []
+    counted = common.line_offsets
+    monkeypatch.setattr(common, "line_offsets", lambda df: asked.append(1) or counted(df))
+    load = dimensions.load_games(spark, lines_at(spark, tmp), f"{tmp}/t")
+    assert {r.name: r.cnt for r in load.counts().collect()}["lines"] == 50 and not asked
+    assert load.rejects.count() + load.accepted.count() == 50 and load.rejects.columns == ["line_no", "line", "reason"] and len(asked) == 1
+
+
+def test_slow_casts_stay_out_of_generated_code(spark):
+    from loadkit.functions import casts
+
+    texts = spark.range(5).selectExpr("string(id) t").select(*[casts.to_timestamptz_loose("t").alias(f"c{i}") for i in range(20)])
+    assert physical(texts).count("lambdafunction") >= 20
