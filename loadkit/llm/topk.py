@@ -80,31 +80,56 @@ def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return places[np.lexsort((ids[places], -scores[places]))[:k]]
 
 
+_NO_LIST = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _postings(size: int, member: np.ndarray, term: np.ndarray, value: np.ndarray) -> dict[int, tuple[np.ndarray | None, np.ndarray]]:
+    """Members and weights of each term. A list of more than half the members holds a weight for all of them and
+    has None for the members: it is added as it is, without a scatter."""
+    order = np.argsort(term, kind="stable")
+    member, term, value = member[order], term[order], value[order]
+    names, starts = np.unique(term, return_index=True)
+    lists = {}
+    for name, a, b in zip(names.tolist(), starts, [*starts[1:], len(term)]):
+        if 2 * (b - a) > size:
+            weights = np.zeros(size, dtype=value.dtype)
+            weights[member[a:b]] = value[a:b]
+            lists[name] = (None, weights)
+        else:
+            lists[name] = (member[a:b], value[a:b])
+    return lists
+
+
 def _score(k: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 ids = np.frombuffer(row["ids"], np.int64)
                 member, term, value = _coordinates(row["lengths"], row["flat"])
-                order = np.argsort(term, kind="stable")
-                member, term, value = member[order], term[order], value[order]
                 asked = np.frombuffer(row["q_ids"], np.int64)
                 q_member, q_term, q_value = _coordinates(row["q_lengths"], row["q_flat"])
                 safe = max(np.abs(value).max(initial=0), np.abs(q_value).max(initial=0)) < _SAFE
                 kind = np.int64 if safe else object
                 value, q_value = value.astype(kind), q_value.astype(kind)
                 starts = np.searchsorted(q_member, np.arange(len(asked) + 1))
-                low = np.searchsorted(term, q_term, "left")
-                high = np.searchsorted(term, q_term, "right")
+                lists = _postings(len(ids), member, term, value)
+                q_terms, q_weights, known = q_term.tolist(), q_value.tolist(), set(ids.tolist())
+                added = np.zeros(len(ids), dtype=kind)
                 out_q, out_v, out_s = [], [], []
                 for q, key in enumerate(asked):
                     scores = np.zeros(len(ids), dtype=kind)
                     for t in range(starts[q], starts[q + 1]):
-                        a, b = low[t], high[t]
-                        # A member has a term once, so the places of one posting list are distinct.
-                        scores[member[a:b]] += value[a:b] * q_value[t]
-                    others = np.flatnonzero(ids != key)
-                    places = others[best_of(scores[others], ids[others], k)] if safe else _best_objects(scores, ids, others, k)
+                        members, weights = lists.get(q_terms[t], _NO_LIST)
+                        if members is None:
+                            scores += np.multiply(weights, q_weights[t], out=added)
+                        elif len(members):
+                            # A member has a term once, so the places of one posting list are distinct.
+                            scores[members] += weights * q_weights[t]
+                    if safe and int(key) not in known:
+                        places = best_of(scores, ids, k)
+                    else:
+                        others = np.flatnonzero(ids != key)
+                        places = others[best_of(scores[others], ids[others], k)] if safe else _best_objects(scores, ids, others, k)
                     out_q.append(np.full(len(places), key))
                     out_v.append(ids[places])
                     out_s.append(np.array([int(s) for s in scores[places]], dtype=np.int64))
