@@ -1,9 +1,9 @@
 """Find licence notices with a positional index of rare licence words. DataFrame functions only.
 
 Every template is indexed by word and position. Of a file's words, those of the index are kept with
-their positions and weighted by inverse document frequency over all files. The file's rarest word of a template
-proposes alignments (position in the file less position in the template); the postings of the other words are intersected at
-the same relative position. A template is named if enough of its weight stands there and all its key phrases occur.
+their positions and weighted by inverse document frequency over all files. Every word of a template
+proposes alignments (position in the file less position in the template); the weights of the words at the same relative
+position are added up, and the largest share counts. A template is named if enough of its weight stands there and all its key phrases occur.
 """
 
 from __future__ import annotations
@@ -108,9 +108,9 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", templates: tu
     index = spark.createDataFrame([(w, label, i, weight[w] / total[label] if total[label] else 0.0) for w, label, i in postings], "word string, label string, at bigint, part double")
 
     votes = some.select("row", F.explode("places").alias("x")).select("row", "x.word", "x.pos").join(F.broadcast(index), "word")
-    aligned = votes.groupBy("row", "label", (F.col("pos") - F.col("at")).alias("offset")).agg(F.sum("part").alias("share"), F.max("part").alias("rarest"))
-    # Only alignments that the file's rarest word of the template proposes count.
-    best = aligned.groupBy("row", "label").agg(F.max(F.struct("rarest", "share")).alias("top")).select("row", "label", F.least(F.col("top.share"), F.lit(1.0)).alias("share"))
+    aligned = votes.groupBy("row", "label", (F.col("pos") - F.col("at")).alias("offset")).agg(F.sum("part").alias("share"))
+    # Every word proposes: a notice may lack its rarest word, which may stand elsewhere in the file.
+    best = aligned.groupBy("row", "label").agg(F.least(F.max("share"), F.lit(1.0)).alias("share"))
     phrases = F.create_map(*[x for t in templates for x in (F.lit(t.label), _all([F.size(_starts(F.col("places"), p)) > 0 for p in t.phrases]))])
     verified = some.select("row", phrases.alias("verified"))
     kept = best.filter(F.col("share") >= share).join(verified, "row").filter(F.col("verified")[F.col("label")])

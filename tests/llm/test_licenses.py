@@ -39,6 +39,13 @@ def test_base_and_labels(docs):
     assert rows[15].labels == rows[16].labels == rows[0].labels == ""
 
 
+def test_notice_without_its_rarest_word(docs):
+    rest = "and use in source and binary forms with or without modification are permitted provided that the following conditions are met"
+    texts = [f"redistributing {rest} see redistribution below", f"using {rest}", f"using {rest}"] + ["plain words"] * 50
+    rows = {r.doc_id: r for r in licenses.scan(docs(texts)).collect()}
+    assert rows[0].labels == rows[1].labels == "bsd" and 0.7 <= rows[0].score < 1
+
+
 def test_odd_rows(spark):
     rows = [(None, "MIT License", 1, "z"), (1, "mit license", 2, None), (1, "mit license", 2, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, row int, places string")
