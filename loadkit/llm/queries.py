@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.llm import bpe, chunks, licenses, mixing, neighbours, pii, quality, simhash, topk, url_filter
-from loadkit.llm.common import prepare, table
-from loadkit.session import stage
+from loadkit.llm import bpe, chunks, ledger, licenses, merkle, mixing, neighbours, pii, quality, resample, simhash, statements, topk, url_filter
+from loadkit.llm.common import ascii_lower, prepare, table
+from loadkit.session import scratch_dir, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -167,3 +168,29 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return neighbours.search(neighbours.build(given), given.filter(F.col("vec_id") % 20 == 0), 20)
+
+
+@query("op11_secrets", statements.secrets())
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ledger.scan(table(spark, sf_dir, "documents"), f"{scratch_dir(spark)}/ledger-{uuid.uuid4().hex}")
+    kinds = [r.kind for r in ledger.BASE]
+    base = F.filter("found", lambda s: s["kind"].isin(kinds))
+    counts = [F.size(F.filter("found", _is_kind(kind))).cast("bigint").alias(f"n_{kind}") for kind in kinds]
+    return found.select("doc_id", *counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined("found").alias("spans"))
+
+
+@query("op12_resample", statements.resampled())
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_manifest", statements.manifest())
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    given = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = merkle.digest_of([*given, F.col("text")])
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    probe = F.when(tampered, merkle.digest_of([*given, ascii_lower(F.col("text"))])).otherwise(leaf)
+    found = merkle.manifest(docs.select("doc_id", "source", leaf.alias("leaf"), probe.alias("probe")), "source", ["doc_id"], ["doc_id", "probe"])
+    folded = found.withColumn("proof_sha256", F.sha2(merkle.siblings("proof"), 256)).withColumn("folded_root", merkle.fold(F.col("probe"), "proof"))
+    return folded.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
