@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,15 +35,24 @@ Effect = tuple[int, int, int, int]
 _NOTHING: tuple[Effect, ...] = tuple((s, 0, 0, -1) for s in _STATES)
 
 
-@lru_cache(maxsize=8192)
+# A plain dict travels with the functions of a task; the wrapper of a cached function would be looked up by its module's name.
+_KNOWN: dict[str, tuple[int, int]] = {}
+
+
 def nesting(brackets: str) -> tuple[int, int]:
     """Net and floor of a run of brackets; lines of one file mostly share a few of them."""
+    known = _KNOWN.get(brackets)
+    if known is not None:
+        return known
     net = floor = 0
     for bracket in brackets:
         if bracket in "{[":
             net, floor = net + 1, floor + 1
         else:
             net, floor = net - 1, max(floor - 1, 0)
+    if len(_KNOWN) >= 8192:
+        _KNOWN.clear()
+    _KNOWN[brackets] = net, floor
     return net, floor
 
 
@@ -129,6 +137,7 @@ _SUMMARIES = 1000
 LONGEST_RECORD = 1 << 28
 _SUMMARY = "file string, block bigint, " + ", ".join(f"{c} bigint" for c in _EFFECTS)
 _START = "file string, block bigint, state bigint, depth bigint, opened bigint"
+
 _PIECES = "file string, block bigint, seq bigint, idx bigint, text string, newlines bigint, returns bigint, partial boolean"
 
 
@@ -226,12 +235,20 @@ def _cut(inside: str, nested: str, keep_returns: bool, opener: str, step: Callab
             held = 0
             return batch
 
-        for key, lines in _runs(batches, ["file", "block", "state", "depth", "opened"]):
+        def left_open() -> None:
+            """What is still open at the end of a split; the last line break of the file belongs to it."""
+            nonlocal newlines
+            if ended:
+                buf.append(nested if state == OUTSIDE else inside)
+                newlines += state != OUTSIDE
+            emit(True)
+
+        for key, lines in _runs(batches, ["file", "block", "state", "depth", "opened", "ended"]):
             if key != current:
                 if current and buf:
-                    emit(True)
+                    left_open()
                 current = key
-                file, block, state, depth, opened = key
+                file, block, state, depth, opened, ended = key
                 carried = (state, depth) != (OUTSIDE, 0)
                 buf, index, first, newlines, returns = [], 0, 0, 0, 0
                 lines = [_opened(lines[0], block, opener), *lines[1:]]
@@ -253,13 +270,22 @@ def _cut(inside: str, nested: str, keep_returns: bool, opener: str, step: Callab
                 if held > _BATCH_CHARS:
                     yield flush()
         if current and buf:
-            emit(True)
+            left_open()
         if out:
             yield flush()
 
     return run
 
 
+def _last_splits(lines: DataFrame) -> DataFrame:
+    """(file, block, ended) of the last split of each file whose last line is ended too; no rows if `lines` has no `bytes` and `size`."""
+    if "size" not in lines.columns:
+        return lines.sparkSession.createDataFrame([], "file string, block bigint, ended boolean")
+    files = lines.groupBy("file", "block").agg(F.sum("bytes").alias("bytes"), F.max("size").alias("size"))
+    files = files.groupBy("file").agg(F.max("block").alias("block"), F.sum("bytes").alias("bytes"), F.max("size").alias("size"))
+    return files.filter("bytes = size").select("file", "block", F.lit(True).alias("ended"))
+
+
 def reassemble(
     lines: DataFrame,
     inside: str = "\\n",
@@ -278,18 +304,20 @@ def reassemble(
     of one (file, block) must follow each other within a partition, and both passes must see the
     same blocks. A line break inside a string becomes `inside`, one inside brackets `nested`.
     A file whose brackets or quotes never balance again is one record from there on; beyond `longest`
-    bytes it fails, and the error names the file and the split where the record begins. `effect_of` and `step` say
+    bytes it fails, and the error names the file and the split where the record begins. The last line break of a file
+    belongs to a record left open there; it is known from `bytes` and `size`, if `lines` has them. `effect_of` and `step` say
     what a line does to the state; `trim` takes the white space around records away.
     """
     rows = lines.select(*POSITION, "line")
     summary = stage(rows.select("file", "block", "line").mapInArrow(_summarise(opener, effect_of), _SUMMARY), "summary")
     in_order = summary.repartition("file").sortWithinPartitions("file", "block")
-    starts = stage(in_order.mapInArrow(_start_states, _START), "starts")
+    starts = in_order.mapInArrow(_start_states, _START)
+    starts = stage(starts.join(_last_splits(lines), ["file", "block"], "left").withColumn("ended", F.coalesce("ended", F.lit(False))), "starts")
     if starts.count() <= BROADCAST_ROWS:
         known = rows.join(F.broadcast(starts), ["file", "block"])
     else:
         known = rows.join(starts, ["file", "block"]).repartition("file", "block").sortWithinPartitions(*POSITION)
-    known = known.select("file", "block", "state", "depth", "opened", "line")
+    known = known.select("file", "block", "state", "depth", "opened", "ended", "line")
     pieces = stage(known.mapInArrow(_cut(inside, nested, keep_returns, opener, step), _PIECES), "pieces", ["partial"])
     partial = pieces.filter("partial")
     sizes = partial.groupBy("file", "block").agg(F.sum(F.octet_length("text")).alias("bytes"))

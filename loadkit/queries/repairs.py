@@ -1,6 +1,8 @@
 """File scans and repairs."""
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadkit import sinks
@@ -88,6 +90,23 @@ def document_parts(t, delimiter, text):
     return rows.select("file", F.lit(0).cast("long").alias("block"), F.posexplode(F.split("whole", delimiter)).alias("pos", "line"))
 
 
+@query("record_reassembly_by_split", """
+    SELECT d.doc_id, text || chr(10) AS text, CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS BIGINT) AS newlines FROM documents d""")
+def _(t, spark):
+    """One large file or few, cut at many splits: most documents cross one, and the last record's break is the file's last byte but two."""
+    path = folder(spark, "broken")
+    line = F.expr("'{\"doc_id\": ' || doc_id || ',' || chr(10) || '\"text\": ' || " + as_json("text || chr(10)", "chr(10)") + " || '}'")
+    t("documents").select(line.alias("value")).coalesce(1).write.text(path)
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        records = reassemble.reassemble(scan_lines(spark, path, keep_cr=True))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    parsed = parse_records(records, ["doc_id", "text"], line="record")
+    return parsed.select(F.col("rec.doc_id").cast("long").alias("doc_id"), "rec.text", "newlines")
+
+
 BROKEN = "'{\"doc_id\": ' || doc_id || ',' || chr(10) || '\"text\": ' || " + as_json("text", "chr(10)") + " || '}' || chr(10) || '{\"doc_id\": 0}'"
 
 
@@ -202,6 +221,26 @@ def _(t, spark):
     return scan_csv(spark, path, ["doc_id", "text", "lang"], whole_file=0).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
+ROW_ENDS = {"lf": "\n", "crlf": "\r\n", "cr": "\r"}
+
+
+@query("csv_row_ends", """
+    SELECT row_end, by_split, doc_id, text || chr(13) || chr(10) || '"' || chr(13) AS text, nullif(lang, 'en') AS lang FROM documents,
+        (VALUES ('lf'), ('crlf'), ('cr')) e(row_end), (VALUES (true), (false)) s(by_split)""")
+def _(t, spark):
+    """Files with each row end, read whole and by split; line breaks of all kinds stand in quotes."""
+    path = folder(spark, "csv-ends")
+    noisy = F.concat("text", F.lit('\r\n"\r'))
+    row = F.concat(F.col("doc_id").cast("string"), F.lit(',"'), F.replace(noisy, F.lit('"'), F.lit('""')), F.lit('",'), F.coalesce(F.nullif("lang", F.lit("en")), F.lit("")))
+    parts = []
+    for name, end in ROW_ENDS.items():
+        framed(t("documents").select(row.alias("line")), f"{path}-{name}", 'doc_id,"text\r\n",lang', line_sep=end)
+        for by_split in (True, False):
+            read = scan_csv(spark, f"{path}-{name}", ["doc_id", "text", "lang"], whole_file=0 if by_split else 1 << 30)
+            parts.append(read.select(F.lit(name).alias("row_end"), F.lit(by_split).alias("by_split"), F.col("doc_id").cast("long").alias("doc_id"), "text", "lang"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("csv_rejects", "SELECT c_custkey, c_name FROM customer WHERE c_custkey % 4 IN (1, 2)")
 def _(t, spark):
     from loadkit.operators.classify import CSV_ID_LENGTH, NUMERIC_PATTERN, id_ok
@@ -224,7 +263,7 @@ def plain_text(rows, path):
     return path
 
 
-def framed(lines, path, head, tail=None):
+def framed(lines, path, head, tail=None, line_sep="\n"):
     """Text files that each start with a head line, and end with a tail line if there is one."""
     parts = lines.sparkSession.sparkContext.defaultParallelism
     cut = lines.repartition(parts).select(F.spark_partition_id().alias("p"), F.lit(1).alias("place"), "line")
@@ -233,7 +272,7 @@ def framed(lines, path, head, tail=None):
             ends = lines.sparkSession.range(parts)
             cut = cut.unionByName(ends.select(F.col("id").cast("int").alias("p"), F.lit(place).alias("place"), F.lit(text).alias("line")))
     together = cut.repartition(parts, "p").sortWithinPartitions("p", "place")
-    together.select("p", F.col("line").alias("value")).write.partitionBy("p").text(path)
+    together.select("p", F.col("line").alias("value")).write.partitionBy("p").text(path, lineSep=line_sep)
     return path
 
 

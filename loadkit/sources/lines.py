@@ -21,17 +21,24 @@ def line_text(value: Column, keep_cr: bool = False, bad_utf8: str = "replace") -
     return F.nullif(value, F.lit(""))
 
 
-def scan_lines(spark: SparkSession, path: str | list[str], keep_cr: bool = False, bad_utf8: str = "replace") -> DataFrame:
+def scan_lines(
+    spark: SparkSession, path: str | list[str], keep_cr: bool = False, bad_utf8: str = "replace", sep: str = "\n", among: Column | None = None,
+) -> DataFrame:
     """One row per physical line; only LF ends a line, an empty line is NULL (A1).
 
-    `keep_cr` leaves carriage returns and empty lines alone for the repair jobs. Invalid UTF-8 is
-    replaced, or stops the job with `bad_utf8="fail"`.
+    `keep_cr` leaves carriage returns and empty lines alone for the repair jobs, and adds `bytes`, the line's with
+    its end, and `size`, the file's: their sum over a file is `size` if the last line is ended too. Invalid UTF-8 is
+    replaced, or stops the job with `bad_utf8="fail"`. `sep` is another line end, `among` a condition on the files' `_metadata`.
     """
-    return spark.read.option("lineSep", "\n").text(path).select(
+    text = spark.read.option("lineSep", sep).text(path)
+    text = text if among is None else text.filter(among)
+    whole = [(F.octet_length("value") + len(sep)).cast("bigint").alias("bytes"), F.col("_metadata.file_size").alias("size")]
+    return text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
         line_text(F.col("value"), keep_cr, bad_utf8).alias("line"),
+        *(whole if keep_cr else []),
     )
 
 
