@@ -224,20 +224,27 @@ class Encoder:
         return out
 
 
+def _vocabulary(held: dict) -> Vocabulary:
+    """The vocabulary of its fields. Plain fields are broadcast: an object would be looked up by its module's name on workers, which need no copy of it."""
+    out = Vocabulary.__new__(Vocabulary)
+    vars(out).update(held)
+    return out
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, ids): ids as little-endian unsigned 32-bit integers in a binary column, without added special tokens.
 
     Null and empty texts give no ids. Special tokens written in a text become their id, as in the library.
     Repeated rows are encoded each; null ids stay null; other columns are not read. The vocabulary has a fixed size and is broadcast.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(vocabulary))
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
             if batch.num_rows:
-                encoder = encoder or Encoder(shared.value)
+                encoder = encoder or Encoder(_vocabulary(shared.value))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(encoder.encode(texts_of(batch, text)), pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(key, text).mapInArrow(run, f"doc_id {kind}, ids binary")
@@ -246,7 +253,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
     """Adds column `decoded`: the text of the ids. Special tokens are written out, unknown ids left out, and
     bytes that are not UTF-8 replaced, as in the library. Null ids give an empty text. An existing `decoded` is replaced."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = encoded.sparkSession.sparkContext.broadcast(vars(vocabulary))
     given = encoded.drop("decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +261,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> Data
         for batch in batches:
             if batch.num_rows:
                 if pieces is None:
-                    pieces = [shared.value.pieces.get(i, b"") for i in range(shared.value.wide)]
+                    pieces = [shared.value["pieces"].get(i, b"") for i in range(shared.value["wide"])]
                 texts = [_text(raw or b"", pieces) for raw in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 

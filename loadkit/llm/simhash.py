@@ -1,5 +1,7 @@
 """Near-duplicates by 64-bit SimHash fingerprints, found exactly with pivot distance tables.
 
+Keys of bit parts bring fingerprints together; pivot tables prune the pairs of a key.
+
 Distances to reference fingerprints (pivots) are coordinates: two fingerprints within r bits differ by at most r in
 every coordinate. Two kinds of pivots serve.
 
@@ -22,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadkit.llm.common import map_batches, texts_of
+from loadkit.llm.common import map_batches, texts_of, unused
 from loadkit.session import stage
 
 SHINGLE = 4
@@ -185,6 +187,33 @@ def classes(marked: DataFrame) -> DataFrame:
     return rooted.join(named, "root").select("bits", "root", "component_id")
 
 
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of each component, all columns kept: that with the smallest id, then with the smallest hash of its text.
+
+    Shingles and bits are those of `near_duplicates`. Rows without an id stay only where no row with one is near. Of repeated
+    rows one stays. Texts without words (null too) are near each other, so one of them stays. No rows give no rows.
+    """
+    columns = docs.columns
+    named = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("mark"))
+    marked = stage(fingerprints(named, keep=("mark",)), "simhash-marked")
+    rows = marked.groupBy("doc_id", "mark", "bits").agg(F.count("*").alias("copies"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark", "copies")).alias("best")
+    chosen = stage(rows.join(classes(marked), "bits").groupBy("root").agg(best).select("best.*"), "simhash-chosen")
+
+    mark, wanted_key, wanted_mark = (unused(columns, f"_{n}") for n in ("mark", "wanted_key", "wanted_mark"))
+    keyed = docs.withColumn(mark, F.xxhash64(F.col(text)))
+
+    def held(part: DataFrame) -> DataFrame:
+        wanted = part.select(F.col("doc_id").alias(wanted_key), F.col("mark").alias(wanted_mark))
+        return keyed.join(wanted, F.col(key).eqNullSafe(F.col(wanted_key)) & (F.col(mark) == F.col(wanted_mark)), "left_semi")
+
+    out = held(chosen.filter("copies = 1"))
+    repeated = chosen.filter("copies > 1")
+    if repeated.limit(1).count():
+        out = out.unionByName(held(repeated).dropDuplicates([key, mark]))
+    return out.select(*columns)
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row.
 
