@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.llm import bpe, copies, mixing, pii, quality
+from loadkit.llm import bpe, mixing, pii, quality, simhash
 from loadkit.llm.common import prepare, table, unused
 from loadkit.session import stage
 
@@ -15,7 +15,10 @@ ORACLE_SQL = None
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts.
+
+    It learns from the labelled rows of `docs`. Null and empty texts are scored like others; repeated rows stand or fall together; no rows give no rows.
+    """
     prepare(spark)
     model = quality.fit(docs, quality.learnable(table(spark, sf_dir, "labels")))
     out = unused(docs.columns, "_score")
@@ -23,13 +26,19 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, Jaccard similarity of 0.8 or more."""
+    """One document of each group of near-duplicates, by the shingle length and bit distance of `simhash`.
+
+    The smallest id stays. Rows without an id stay only where no row with one is near; one of repeated rows stays, and one of all texts without words. No rows give no rows.
+    """
     prepare(spark)
-    return copies.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced by marks, and their length counted anew."""
+    """Documents with personal data replaced by marks, and their length counted anew.
+
+    Every row stays; null texts stay null, empty ones empty; repeated rows are redacted alike; no rows give no rows.
+    """
     prepare(spark)
     clean = pii.redact(docs, pii.fit(docs))
     if "n_chars" in docs.columns:
@@ -38,13 +47,19 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them.
+
+    Null texts and texts without words are never taken; a null source is a source; repeated rows share their copies; no rows give no rows.
+    """
     prepare(spark)
     return mixing.take(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids (little-endian unsigned 32-bit integers) and digests of them and of the text they decode to."""
+    """Token ids (little-endian unsigned 32-bit integers) and digests of them and of the text they decode to.
+
+    Null and empty texts have no tokens; repeated rows and null ids stay; no rows give no rows.
+    """
     prepare(spark)
     vocabulary = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     decoded = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
