@@ -1,9 +1,11 @@
 """Find licence notices with a positional index of rare licence words. DataFrame functions only.
 
 Every template is indexed by word and position. Of a file's words, those of the index are kept with
-their positions and weighted by inverse document frequency over all files. Every word of a template
-proposes alignments (position in the file less position in the template); the weights of the words at the same relative
-position are added up, and the largest share counts. A template is named if enough of its weight stands there and all its key phrases occur.
+their positions and weighted by inverse document frequency over all files. The highest-IDF words of each template are looked up
+first: so many that an alignment (position in the file less position in the template) without any of them cannot reach the share that is
+asked for. Only alignments that one of them proposes are looked at further: the postings of all the template's words are intersected with the file's
+by relative position, the weights found there are added up, and the largest share counts. A template is named if enough
+of its weight stands there and all its key phrases occur.
 """
 
 from __future__ import annotations
@@ -55,6 +57,21 @@ def _index(templates: tuple[Template, ...]) -> tuple[list[tuple[str, str, int]],
     return postings, sorted({w for w, _, _ in postings} | {w for p in phrases for w in p.split()})
 
 
+def weighted(postings: list[tuple[str, str, int]], weight: dict[str, float], share: float) -> list[tuple[str, str, int, float, bool]]:
+    """(word, label, position, share of the template's weight, rare) of every posting.
+
+    The rarest postings of a template are marked until they hold more than `1 - share` of its weight: what lacks all of them falls short of `share`.
+    """
+    out = []
+    for label in sorted({label for _, label, _ in postings}):
+        own = sorted(((weight[w], w, at) for w, other, at in postings if other == label), reverse=True)
+        total, held = sum(x for x, _, _ in own), 0.0
+        for x, word, at in own:
+            out.append((word, label, at, x / total if total else 0.0, held <= 1 - share + 1e-9))
+            held += x / total if total else 0.0
+    return out
+
+
 def _starts(places: Column, phrase: str) -> Column:
     """Positions where the words of the phrase stand one after the other. All its words are in `places`, in order."""
     words = phrase.split()
@@ -102,14 +119,16 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", templates: tu
     held = some.select(F.explode(F.array_distinct(F.transform("places", lambda x: x["word"]))).alias("word")).groupBy("word").count().collect()
     seen = {r["word"]: r["count"] for r in held}
     weight = {w: math.log((files + 1) / (seen.get(w, 0) + 0.5)) for w in words}
-    total: dict[str, float] = {}
-    for word, label, _ in postings:
-        total[label] = total.get(label, 0.0) + weight[word]
-    index = spark.createDataFrame([(w, label, i, weight[w] / total[label] if total[label] else 0.0) for w, label, i in postings], "word string, label string, at bigint, part double")
-
-    votes = some.select("row", F.explode("places").alias("x")).select("row", "x.word", "x.pos").join(F.broadcast(index), "word")
-    aligned = votes.groupBy("row", "label", (F.col("pos") - F.col("at")).alias("offset")).agg(F.sum("part").alias("share"))
-    # Every word proposes: a notice may lack its rarest word, which may stand elsewhere in the file.
+    index = spark.createDataFrame(weighted(postings, weight, share), "word string, label string, at bigint, part double, rare boolean")
+
+    # Files without a rare word are not looked at again; of the others only alignments that a rare word proposes.
+    def placed_words(rows: DataFrame, part: DataFrame) -> DataFrame:
+        found = rows.select("row", F.explode("places").alias("x")).select("row", "x.word", "x.pos").join(F.broadcast(part), "word")
+        return found.withColumn("offset", F.col("pos") - F.col("at"))
+
+    proposed = stage(placed_words(some, index.filter("rare")).select("row", "label", "offset").distinct(), "licence-proposed")
+    aligned = placed_words(some.join(proposed.select("row").distinct(), "row", "left_semi"), index).join(proposed, ["row", "label", "offset"], "left_semi")
+    aligned = aligned.groupBy("row", "label", "offset").agg(F.sum("part").alias("share"))
     best = aligned.groupBy("row", "label").agg(F.least(F.max("share"), F.lit(1.0)).alias("share"))
     phrases = F.create_map(*[x for t in templates for x in (F.lit(t.label), _all([F.size(_starts(F.col("places"), p)) > 0 for p in t.phrases]))])
     verified = some.select("row", phrases.alias("verified"))

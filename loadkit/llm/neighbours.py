@@ -38,7 +38,6 @@ class Settings:
     still: float = 0.02
     beam: int = 60
     entries: int = 16
-    steps: int = 12
 
 
 @dataclass(frozen=True)
@@ -192,6 +191,7 @@ def build(vectors: DataFrame, settings: Settings = Settings(), key: str = "vec_i
     dealt = coded.join(sizes, "code").select(F.xxhash64("code", F.pmod(F.xxhash64("node"), parts)).alias("bucket"), "node", "half")
     first = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_by_group(_first(settings.degree), ["u", "w", "sim"]), _LINK)
     graph = stage(_nearest(first.withColumn("fresh", F.lit(True)), settings.degree), "nn-graph")
+    graph = _tie_in(graph, nodes, settings)
 
     for _ in range(settings.rounds):
         pulled = _round(graph, nodes, settings)
@@ -205,6 +205,23 @@ def build(vectors: DataFrame, settings: Settings = Settings(), key: str = "vec_i
     return Index(nodes, members, links, settings, longest)
 
 
+def _entries(nodes: DataFrame, settings: Settings) -> list[int]:
+    """Entry nodes: a fixed number of them, whatever the size of the index."""
+    return [r["node"] for r in nodes.select("node").orderBy(F.xxhash64("node")).limit(settings.entries).collect()]
+
+
+def _tie_in(graph: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
+    """Nodes alone in all their buckets get links to the entry nodes, so that the rounds can reach them."""
+    alone = nodes.join(graph.select(F.col("u").alias("node")).distinct(), "node", "left_anti")
+    entries = _entries(nodes, settings)
+    if len(entries) < 2 or not alone.limit(1).count():
+        return graph
+    dealt = alone.select(F.col("node").alias("query_id"), "half", F.explode(F.array(*[F.lit(e) for e in entries]).cast("array<bigint>")).alias("w"))
+    pairs = dealt.join(nodes.select(F.col("node").alias("w"), F.col("half").alias("q_half")), "w").filter("query_id <> w").select("query_id", "w", "half", "q_half")
+    links = map_batches(pairs, _near, "query_id bigint, w bigint, sim float").toDF("u", "w", "sim")
+    return stage(_nearest(graph.select("u", "w", "sim", "fresh").unionByName(links.withColumn("fresh", F.lit(True))), settings.degree), "nn-graph")
+
+
 def _round(graph: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
     """One round of NN-descent: links (u, w, sim, fresh) found among neighbours of the same node."""
     order = Window.partitionBy("u").orderBy(F.desc("fresh"), F.xxhash64("u", "w"))
@@ -245,14 +262,14 @@ def search(index: Index, queries: DataFrame, k: int = 20, key: str = "vec_id", v
         told = pairs.join(index.nodes.toDF("w", "half"), "w").join(halves, "query_id").select("query_id", "w", "half", "q_half")
         return map_batches(told, _near, "query_id bigint, w bigint, sim float").withColumn("open", F.lit(True))
 
-    # A fixed number of rows, whatever the size of the index.
-    entries = [r["node"] for r in index.nodes.select("node").orderBy(F.xxhash64("node")).limit(settings.entries).collect()]
+    entries = _entries(index.nodes, settings)
     owned = asked.join(index.members.groupBy("vector").agg(F.min("node").alias("w")), "vector").select("query_id", "w")
     dealt = F.explode(F.array(*[F.lit(e) for e in entries]).cast("array<bigint>")).alias("w")
     starts = asked.select("query_id", dealt).unionByName(owned).distinct()
     order = Window.partitionBy("query_id").orderBy(F.desc("sim"), "w")
     beam = stage(near(starts).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= settings.beam), "nn-beam")
-    for _ in range(settings.steps):
+    # A node that has left the list is farther than all of it and never comes back, so each is expanded once and the search ends.
+    while True:
         ahead = beam.filter("open").select("query_id", F.col("w").alias("u"))
         if not ahead.limit(1).count():
             break

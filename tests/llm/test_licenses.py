@@ -1,3 +1,5 @@
+import math
+import random
 import re
 
 from loadkit.llm import licenses
@@ -39,6 +41,55 @@ def test_base_and_labels(docs):
     assert rows[15].labels == rows[16].labels == rows[0].labels == ""
 
 
+def plain_labels(texts, templates=licenses.TEMPLATES, share=0.7):
+    """Labels and scores straight from the definition: every alignment of every template, every file."""
+    files = [WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")) for t in texts]
+    weight = lambda w: math.log((len(files) + 1) / (sum(w in f for f in files) + 0.5))
+    indexed = {t.label: [(i, w, weight(w)) for i, w in enumerate(t.text.split()) if w not in licenses.COMMON] for t in templates}
+    out = []
+    for words in files:
+        spoken, named = f" {' '.join(words)} ", {}
+        for t in templates:
+            total = sum(x for *_, x in indexed[t.label])
+            shares = [sum(x for i, w, x in indexed[t.label] if 0 <= at + i < len(words) and words[at + i] == w) / total for at in range(-len(t.text.split()), len(words))] if total else []
+            if max(shares, default=0) >= share - 1e-12 and all(f" {p} " in spoken for p in t.phrases):
+                named[t.label] = max(shares)
+        out.append((set(named), max(named.values(), default=0.0)))
+    return out
+
+
+def test_labels_and_scores_against_brute_force(docs):
+    """Notices with words changed, dropped, repeated and set apart, so that shares lie on both sides of the bound."""
+    source = random.Random(9)
+    texts = ["", None, "plain words stand here"]
+    for _ in range(120):
+        words = []
+        for t in source.choices(licenses.TEMPLATES, k=source.randint(1, 3)):
+            given = t.text.split()
+            changed = [source.choice([w.upper(), "other", f"{w} {w}", ""]) if source.random() < source.choice([0.0, 0.1, 0.25, 0.4]) else w for w in given]
+            words += source.choices(["some", "plain", *given, *t.phrases], k=source.randint(0, 6)) + changed
+        texts.append(" ".join(words))
+    rows = {r.doc_id: r for r in licenses.scan(docs(texts)).collect()}
+    some = 0
+    for i, (labels, score) in enumerate(plain_labels(texts)):
+        r = rows[i]
+        assert set(filter(None, r.labels.split(","))) - set(r.base_labels.split(",")) == labels - set(r.base_labels.split(",")), texts[i]
+        assert abs(r.score - score) < 1e-9, texts[i]
+        some += 0.7 <= score < 0.999
+    assert some > 20
+
+
+def test_rare_words_cover_every_share():
+    """What holds none of a template's rare postings cannot reach the share."""
+    postings, words = licenses._index(licenses.TEMPLATES)
+    source = random.Random(3)
+    for share in (0.5, 0.7, 0.9):
+        index = licenses.weighted(postings, {w: source.random() for w in words}, share)
+        for label in {x[1] for x in index}:
+            own = [x for x in index if x[1] == label]
+            assert sum(x[3] for x in own if not x[4]) < share and abs(sum(x[3] for x in own) - 1) < 1e-9
+
+
 def test_notice_without_its_rarest_word(docs):
     rest = "and use in source and binary forms with or without modification are permitted provided that the following conditions are met"
     texts = [f"redistributing {rest} see redistribution below", f"using {rest}", f"using {rest}"] + ["plain words"] * 50
