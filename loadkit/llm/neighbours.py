@@ -211,14 +211,16 @@ def _entries(nodes: DataFrame, settings: Settings) -> list[int]:
 
 
 def _tie_in(graph: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
-    """Nodes alone in all their buckets get links to the entry nodes, so that the rounds can reach them."""
-    alone = nodes.join(graph.select(F.col("u").alias("node")).distinct(), "node", "left_anti")
-    entries = _entries(nodes, settings)
-    if len(entries) < 2 or not alone.limit(1).count():
+    """Nodes that found few others in their buckets meet each other and the entry nodes in buckets at random, so that the rounds can reach them."""
+    linked = graph.groupBy(F.col("u").alias("node")).agg(F.count("*").alias("held")).filter(F.col("held") >= settings.degree // 2)
+    alone = nodes.join(linked, "node", "left_anti")
+    n = alone.count()
+    if not n:
         return graph
-    dealt = alone.select(F.col("node").alias("query_id"), "half", F.explode(F.array(*[F.lit(e) for e in entries]).cast("array<bigint>")).alias("w"))
-    pairs = dealt.join(nodes.select(F.col("node").alias("w"), F.col("half").alias("q_half")), "w").filter("query_id <> w").select("query_id", "w", "half", "q_half")
-    links = map_batches(pairs, _near, "query_id bigint, w bigint, sim float").toDF("u", "w", "sim")
+    parts = -(-n // max(settings.bucket, 4 * settings.entries))
+    entries = nodes.filter(F.col("node").isin(_entries(nodes, settings))).withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))))
+    dealt = alone.withColumn("bucket", F.pmod(F.xxhash64("node"), F.lit(parts))).unionByName(entries).select("bucket", "node", "half").distinct()
+    links = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_by_group(_first(settings.degree), ["u", "w", "sim"]), _LINK)
     return stage(_nearest(graph.select("u", "w", "sim", "fresh").unionByName(links.withColumn("fresh", F.lit(True))), settings.degree), "nn-graph")
 
 
