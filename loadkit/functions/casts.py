@@ -8,6 +8,7 @@ each cast is guarded by an explicit pattern.
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import Formatter
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,63 +26,68 @@ METRIC = r"-?[0-9]+"
 YEAR_MONTH = r"[0-9]{4}-[0-9]{2}"
 
 # Month names by their first three letters, in calendar order.
-MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
-_NAME = (
-    r"(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
-    r"(?:(?<=jan)uary|(?<=feb)ruary|(?<=mar)ch|(?<=apr)il|(?<=jun)e|(?<=jul)y|(?<=aug)ust|(?<=sep)t(?:ember)?|(?<=oct)ober"
-    r"|(?<=nov)ember|(?<=dec)ember)?"
-)
-_END = r"(?=\z|[t ])"
-# Rewrites of trimmed, lower-case text towards yyyy-M-d, one space before the time, none before the
-# zone, and seconds. Month names are replaced after the first two.
-NAME_REWRITES = [
-    (r"^(?:mon(?:day)?|tue(?:s(?:day)?)?|wed(?:nesday)?|thu(?:r(?:s(?:day)?)?)?|fri(?:day)?|sat(?:urday)?|sun(?:day)?)(?:, *| +)", ""),
-    (rf"^{_NAME}-([0-9]{{1,2}})-([0-9]{{4}}){_END}", "$3-$1-$2"),
-    (rf"^{_NAME} +([0-9]{{1,2}})(?:, *| +)([0-9]{{4}}){_END}", "$3-$1-$2"),
-    (rf"^([0-9]{{1,2}})[ -]{_NAME}[ -]([0-9]{{4}}){_END}", "$3-$2-$1"),
-]
-DATE_REWRITES = [
-    (r"^([0-9]{4})([0-9]{2})([0-9]{2})[t ]([0-9]{2})([0-9]{2})(?:([0-9]{2})|(?![0-9]))", "$1-$2-$3 $4:$5:$6"),
-    (r"^([0-9-]+ [0-9]{2}:[0-9]{2}):(?![0-9])", "$1"),
-    (rf"^([0-9]{{4}})([0-9]{{2}})([0-9]{{2}}){_END}", "$1-$2-$3"),
-    (rf"^([0-9]{{1,2}})([/-])([0-9]{{1,2}})\2([0-9]{{4}}){_END}", "$4-$1-$3"),
-    (r"^([0-9]{4})/([0-9]{1,2})/", "$1-$2-"),
-    (r"^([0-9-]+)(?:t\s*|\s+)(?=[0-9])", "$1 "),
-    (r"(?<=[0-9])\s*(?:z|utc|gmt)\z", "Z"),
-    (r"(?<=:[0-9]{2})\s+(?=[+-])", ""),
-    (r"^([0-9-]+ [0-9]{1,2}:[0-9]{2})(?=\z|[Z+ -])", "$1:00"),
-]
-# Once more at the end, as what stood before the zone or the minutes may be gone.
-ZONE_REWRITES = DATE_REWRITES[-3:]
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 # Zone abbreviations and their offsets from UTC.
 ZONES = {
     "est": "-05:00", "edt": "-04:00", "cst": "-06:00", "cdt": "-05:00", "mst": "-07:00", "mdt": "-06:00", "pst": "-08:00", "pdt": "-07:00",
     "akst": "-09:00", "akdt": "-08:00", "hst": "-10:00", "wet": "+00:00", "west": "+01:00", "bst": "+01:00", "cet": "+01:00", "cest": "+02:00",
     "eet": "+02:00", "eest": "+03:00", "msk": "+03:00", "jst": "+09:00", "kst": "+09:00",
 }
-# Zones at the end of the text as given: an abbreviation of the list, or the name of a region.
-ENDING = r"(?i)(?<=[0-9]|[ap]m|[ap]\.m\.) ?([a-z]{3,4})\s*\z"
-REGION = r"(?<=[0-9]|[aApP][mM]|[aApP]\.[mM]\.) ?([A-Za-z]+(?:/[A-Za-z_+-]+)+)\s*\z"
-_REST = r"(:[0-5][0-9](?::[0-5][0-9](?:\.[0-9]+)?)?) ?"
-# The 12-hour clock, hour by hour; then 24:00, which is the midnight that follows.
-HALF_DAYS = [
-    *[(rf"^([0-9-]+ )0?{h}{_REST}p\.?m\b\.?", f"$1{h + 12}$2") for h in range(1, 12)],
-    (rf"^([0-9-]+ )12{_REST}a\.?m\b\.?", "$100$2"),
-    (rf"^([0-9-]+ 12){_REST}p\.?m\b\.?", "$1$2"),
-    (rf"^([0-9-]+ (?:0?[1-9]|1[01])){_REST}a\.?m\b\.?", "$1$2"),
-    (r"^([0-9-]+ )24:00(?::00(?:\.0+)?)?(?=\z|[Z+ -])", "$100:00:00"),
-]
-# What a text must have for the longer ways to be worth a try: a name, a word at its end, a half day.
-NAMED = r"[a-z]{3}"
-ENDS = r"[A-Za-z]{3}\s*\z"
-MARKED = r"(?i)[0-9] ?[ap]\.?m\b|24:00"
-MIDNIGHT = r"(?<![0-9:.])24:00"
-STAMP = (
-    r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})(?: (?:[01]?[0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](?:\.[0-9]+)?"
-    r"(?:Z|[+-](?:0?[0-9]|1[0-5])(?::?[0-5][0-9])?)?)?\z"
+_NAME = (
+    r"(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 )
+_WEEKDAY = r"(?:mon(?:day)?|tue(?:s(?:day)?)?|wed(?:nesday)?|thu(?:r(?:s(?:day)?)?)?|fri(?:day)?|sat(?:urday)?|sun(?:day)?)(?:, *| +)"
+# What a date or time consists of. Each shape below names its fields; a field may stand in many shapes.
+PARTS = {
+    "y4": ("year", "[0-9]{4}"), "y2": ("year", "[0-9]{2}"), "y": ("year", "[0-9]{4}|[0-9]{2}"), "m": ("month", "[0-9]{1,2}"), "mm": ("month", "[0-9]{2}"), "name": ("month", _NAME),
+    "d": ("day", "[0-9]{1,2}"), "dd": ("day", "[0-9]{2}"), "doy": ("doy", "[0-9]{3}"), "julian": ("julian", "[0-9]{1,7}"), "epoch": ("word", "epoch"),
+    "h": ("hour", "[01]?[0-9]|2[0-3]"), "h12": ("hour", "0?[1-9]|1[0-2]"), "h24": ("hour", "24"), "hh": ("hour", "[01][0-9]|2[0-3]"), "mi": ("minute", "[0-5][0-9]"), "zero": ("minute", "00"),
+    "s": ("second", r"[0-5][0-9](?:\.[0-9]+)?"), "ss": ("second", "[0-5][0-9]"), "half": ("half", "[ap]"), "sign": ("sign", "[+-]"), "oh": ("oh", "0?[0-9]|1[0-5]"), "om": ("om", "[0-5][0-9]"),
+    "zone": ("zone", "|".join(ZONES)), "region": ("region", "[a-z]+(?:/[a-z_+-]+)+"),
+}
+DATES = [
+    "{y4}-{m}-{d}", "{y4}/{m}/{d}", "{m}/{d}/{y}", "{m}-{d}-{y}", "{y4}{mm}{dd}", "{y2}{mm}{dd}", r"{y4}\.?{doy}", "{name} +{d}(?:, *| +){y}", "{name}-{d}-{y}", "{d}[ -]{name}[ -]{y}",
+    "{y4}[ -]{name}[ -]{d}", "j{julian}", "{epoch}",
+]
+# After a date; the last only after eight digits.
+CLOCKS = [
+    r"(?:t\s*|\s+)(?:{h12}:{mi}(?::{s})? ?{half}\.?m\b\.?|{h24}:{zero}(?::00(?:\.0+)?)?|{h}:{mi}(?::{s})?)", r"(?<=^[0-9]{{8}})[t ]{hh}{mi}(?:{ss})?",
+]
+OFFSETS = [r"\s*(?:z|utc|gmt)", r"\s*{sign}{oh}(?::?{om})?", " ?{zone}", " ?{region}"]
+FIELDS = ["year", "month", "day", "hour", "minute", "second", "half", "sign", "oh", "om", "zone", "region", "julian", "doy", "word"]
+# Marks of a text that was read, and between its fields; no spelling has them.
+_READ, _CUT = "\x02", "\x01"
+
+
+def _grammar() -> tuple[str, str]:
+    """One pattern of all shapes, and the form that sets its fields side by side.
+
+    A group that took no part leaves nothing, so all groups of a field stand next to each other in the form.
+    """
+    groups: dict[str, list[int]] = {f: [] for f in FIELDS}
+    seen = 0
+
+    def filled(shape: str) -> str:
+        nonlocal seen
+        out = []
+        for literal, part, _, _ in Formatter().parse(shape):
+            out.append(literal)
+            if part:
+                seen += 1
+                groups[PARTS[part][0]].append(seen)
+                out.append(f"({PARTS[part][1]})")
+        return "".join(out)
+
+    either = lambda shapes: "(?:" + "|".join(filled(x) for x in shapes) + ")"
+    pattern = rf"(?i)^(?:{_WEEKDAY})?{either(DATES)}(?:{either(CLOCKS)}{either(OFFSETS)}?)?\z"
+    return pattern, _READ + _CUT + _CUT.join("".join(f"${g}" for g in groups[f]) for f in FIELDS)
+
+
+SHAPES, FORM = _grammar()
 USUAL_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
-USUAL_STAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:T[0-9]{2}:[0-9]{2}:[0-9]{2}Z)?\z"
+USUAL_STAMP = (
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[T ](?:[01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](?:\.[0-9]{1,6})?(?:Z|[+-](?:0[0-9]|1[0-5]):[0-5][0-9])?)?\z"
+)
 
 
 _SPACE = r"[ \t\n\x0B\f\r]"
@@ -151,56 +157,56 @@ def to_numeric_loose(c: Column | str) -> Column:
     return F.when(full_match(plain, FLOAT), plain.try_cast("decimal(38,18)"))
 
 
-def _iso(c: Column) -> Column:
-    """Known spellings of a date, perhaps with a time, towards ISO; other text stays as it is."""
-    return once(F.lower(_space_trimmed(c)), _plain_iso)
+def _read(c: Column, then: Callable[[dict[str, Column]], Column]) -> Column:
+    """`then` of the fields of a text in any of the shapes, each empty where the shape lacks it; NULL for other text."""
+    plain = _space_trimmed(c)
 
+    def told(cut: Column) -> Column:
+        field = {name: F.get(cut, F.lit(i)) for i, name in enumerate(FIELDS, 1)}
+        return F.when(F.get(cut, F.lit(0)) == _READ, then(field))
 
-def _plain_iso(plain: Column) -> Column:
-    named = plain
-    for pattern, form in NAME_REWRITES:
-        named = F.regexp_replace(named, pattern, form)
-    for number, name in enumerate(MONTHS, 1):
-        named = F.replace(named, F.lit(f"-{name}-"), F.lit(f"-{number}-"))
-    iso = F.when(F.rlike(plain, F.lit(NAMED)), named).otherwise(plain)
-    for pattern, form in DATE_REWRITES:
-        iso = F.regexp_replace(iso, pattern, form)
-    return iso
+    return F.when(~F.contains(c, F.lit(_READ)), once(F.split(F.regexp_replace(plain, SHAPES, FORM), _CUT), told))
 
 
-def _clock(c: Column) -> Column:
-    """A date or time towards ISO on the 24-hour clock, with its offset but without the name of a region."""
-    offset = F.try_element_at(F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair]), F.lower(F.regexp_extract(c, ENDING, 1)))
-    ends = F.rlike(c, F.lit(ENDS))
-    cut = F.when(offset.isNotNull(), F.regexp_replace(c, ENDING, "")).otherwise(F.regexp_replace(c, REGION, ""))
+def _day(field: dict[str, Column]) -> Column:
+    """The date as text."""
+    year = F.when(F.length(field["year"]) == 2, F.concat(F.when(field["year"] < "70", "20").otherwise("19"), field["year"])).otherwise(field["year"])
+    month = F.when(field["month"] >= "A", ((F.instr(F.lit(MONTHS), F.lower(F.substring(field["month"], 1, 3))) + 2) / 3).cast("int").cast("string")).otherwise(field["month"])
+    origin = F.lit("1970-01-01").cast("date")
+    julian = F.date_add(origin, field["julian"].try_cast("int") - 2440588)
+    nth = F.date_add(F.concat(year, F.lit("-01-01")).try_cast("date"), field["doy"].try_cast("int") - 1)
+    nth = F.when((field["doy"] > "000") & (F.year(nth) == year.try_cast("int")), nth)
+    return (
+        F.when(field["day"] != "", F.concat(year, F.lit("-"), month, F.lit("-"), field["day"]))
+        .when(field["julian"] != "", julian.cast("string")).when(field["doy"] != "", nth.cast("string")).otherwise(origin.cast("string"))
+    )
 
-    def full(iso: Column) -> Column:
-        half = iso
-        for pattern, form in HALF_DAYS + ZONE_REWRITES:
-            half = F.regexp_replace(half, pattern, form)
-        return F.when(F.rlike(c, F.lit(MARKED)), half).otherwise(iso)
 
-    return F.concat(once(_iso(F.when(ends, cut).otherwise(c)), full), F.when(ends, F.coalesce(offset, F.lit(""))).otherwise(""))
+def _stamp(field: dict[str, Column]) -> Column:
+    half, hour = field["half"], field["hour"]
+    on_24 = (hour.try_cast("int") % 12 + F.when(F.lower(half) == "p", 12).otherwise(0)).cast("string")
+    hour = F.when(half != "", on_24).when(hour == "24", F.lit("00")).otherwise(hour)
+    or_zeros = lambda c: F.when(c == "", "00").otherwise(c)
+    zones = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
+    zone = (
+        F.when(field["sign"] != "", F.concat(field["sign"], F.lpad(field["oh"], 2, "0"), F.lit(":"), or_zeros(field["om"])))
+        .when(field["zone"] != "", F.try_element_at(zones, F.lower(field["zone"]))).when(field["region"] != "", F.concat(F.lit(" "), field["region"])).otherwise("")
+    )
+    clock = F.concat(F.lit(" "), hour, F.lit(":"), field["minute"], F.lit(":"), or_zeros(field["second"]), zone)
+    found = F.concat(_day(field), F.when(hour == "", "").otherwise(clock)).try_cast("timestamp")
+    return F.when(field["hour"] == "24", found + F.expr("INTERVAL 24 HOURS")).otherwise(found)
 
 
 def to_date_loose(c: Column | str) -> Column:
-    """T11. A time and zone after the date are checked and dropped."""
+    """T11. A time and zone after the date are checked and dropped; the name of a region is not looked up."""
     c = col(c)
-    slow = once(c, lambda t: F.regexp_extract(_clock(t), STAMP, 1).try_cast("date"))
-    return F.when(F.rlike(c, F.lit(USUAL_DATE)), c.try_cast("date")).otherwise(slow)
+    return F.when(F.rlike(c, F.lit(USUAL_DATE)), c.try_cast("date")).otherwise(_read(c, lambda field: _day(field).try_cast("date")))
 
 
 def to_timestamptz_loose(c: Column | str) -> Column:
     """T12. Text without a zone is UTC; a bare date is midnight."""
     c = col(c)
-
-    def read(text: Column) -> Column:
-        region = F.regexp_replace(F.regexp_extract(text, REGION, 1), "^(?=.)", " ")
-        stamp = F.concat(F.regexp_extract(_clock(text), STAMP, 0), region).try_cast("timestamp")
-        return stamp + F.when(F.rlike(text, F.lit(MIDNIGHT)), F.expr("INTERVAL 24 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
-
-    slow = once(c, read)
-    return F.when(F.rlike(c, F.lit(USUAL_STAMP)), c.try_cast("timestamp")).otherwise(slow)
+    return F.when(F.rlike(c, F.lit(USUAL_STAMP)), c.try_cast("timestamp")).otherwise(_read(c, _stamp))
 
 
 LOOSE = {

@@ -46,40 +46,47 @@ def _numeric() -> str:
     return rf"CASE WHEN rlike({plain}, r'\A(?:{casts.FLOAT})\z') THEN try_cast({plain} AS decimal(38,18)) END"
 
 
-def _offset() -> str:
-    zones = ", ".join(f"'{k}', '{v}'" for k, v in casts.ZONES.items())
-    return f"CASE WHEN rlike(txt, r'{casts.ENDS}') THEN try_element_at(map({zones}), lower(regexp_extract(txt, r'{casts.ENDING}', 1))) END"
-
-
-def _iso() -> str:
-    cut = f"CASE WHEN {_offset()} IS NOT NULL THEN regexp_replace(txt, r'{casts.ENDING}', '') ELSE regexp_replace(txt, r'{casts.REGION}', '') END"
-    body = f"CASE WHEN rlike(txt, r'{casts.ENDS}') THEN {cut} ELSE txt END"
-    trimmed = "lower(" + _trimmed().replace("(txt,", f"({body},", 1) + ")"
-    named = "plain"
-    for pattern, form in casts.NAME_REWRITES:
-        named = f"regexp_replace({named}, r'{pattern}', '{form}')"
-    for number, name in enumerate(casts.MONTHS, 1):
-        named = f"replace({named}, '-{name}-', '-{number}-')"
-    iso = f"CASE WHEN rlike(plain, r'{casts.NAMED}') THEN {named} ELSE plain END"
-    for pattern, form in casts.DATE_REWRITES:
-        iso = f"regexp_replace({iso}, r'{pattern}', '{form}')"
-    half = "iso"
-    for pattern, form in casts.HALF_DAYS + casts.ZONE_REWRITES:
-        half = f"regexp_replace({half}, r'{pattern}', '{form}')"
-    full = f"CASE WHEN rlike(txt, r'{casts.MARKED}') THEN {half} ELSE iso END"
-    return f"concat({_once(_once(trimmed, 'plain', iso), 'iso', full)}, coalesce({_offset()}, ''))"
+def _field(name: str) -> str:
+    return f"get(cut, {casts.FIELDS.index(name) + 1})"
+
+
+def _read(then: str) -> str:
+    """`then` over the fields of a text in one of the shapes of `casts`."""
+    cut = f"split(regexp_replace({_trimmed()}, r'{casts.SHAPES}', '{casts.FORM}'), '{casts._CUT}')"
+    told = _once(cut, "cut", f"CASE WHEN get(cut, 0) = '{casts._READ}' THEN {then} END")
+    return f"CASE WHEN NOT contains(txt, '{casts._READ}') THEN {told} END"
+
+
+def _day() -> str:
+    year = f"CASE WHEN length({_field('year')}) = 2 THEN concat(CASE WHEN {_field('year')} < '70' THEN '20' ELSE '19' END, {_field('year')}) ELSE {_field('year')} END"
+    number = f"cast(cast((instr('{casts.MONTHS}', lower(substring({_field('month')}, 1, 3))) + 2) / 3 AS int) AS string)"
+    month = f"CASE WHEN {_field('month')} >= 'A' THEN {number} ELSE {_field('month')} END"
+    julian = f"date_add(DATE'1970-01-01', try_cast({_field('julian')} AS int) - 2440588)"
+    nth = f"date_add(try_cast(concat({year}, '-01-01') AS date), try_cast({_field('doy')} AS int) - 1)"
+    nth = f"CASE WHEN {_field('doy')} > '000' AND year({nth}) = try_cast({year} AS int) THEN {nth} END"
+    return (
+        f"CASE WHEN {_field('day')} <> '' THEN concat({year}, '-', {month}, '-', {_field('day')}) WHEN {_field('julian')} <> '' THEN cast({julian} AS string) "
+        f"WHEN {_field('doy')} <> '' THEN cast({nth} AS string) ELSE '1970-01-01' END"
+    )
 
 
 def _timestamp() -> str:
-    region = f"regexp_replace(regexp_extract(txt, r'{casts.REGION}', 1), '^(?=.)', ' ')"
-    slow = f"try_cast(concat(regexp_extract({_iso()}, r'{casts.STAMP}', 0), {region}) AS timestamp)"
-    slow = f"{slow} + CASE WHEN rlike(txt, r'{casts.MIDNIGHT}') THEN INTERVAL 24 HOURS ELSE INTERVAL 0 HOURS END"
-    return f"CASE WHEN rlike(txt, r'{casts.USUAL_STAMP}') THEN try_cast(txt AS timestamp) ELSE {_once('txt', 'txt', slow)} END"
+    half, hour = _field("half"), _field("hour")
+    zones = ", ".join(f"'{k}', '{v}'" for k, v in casts.ZONES.items())
+    or_zeros = lambda c: f"CASE WHEN {c} = '' THEN '00' ELSE {c} END"
+    on_24 = f"cast(try_cast({hour} AS int) % 12 + CASE WHEN lower({half}) = 'p' THEN 12 ELSE 0 END AS string)"
+    read = f"CASE WHEN {half} <> '' THEN {on_24} WHEN {hour} = '24' THEN '00' ELSE {hour} END"
+    zone = (
+        f"CASE WHEN {_field('sign')} <> '' THEN concat({_field('sign')}, lpad({_field('oh')}, 2, '0'), ':', {or_zeros(_field('om'))}) "
+        f"WHEN {_field('zone')} <> '' THEN try_element_at(map({zones}), lower({_field('zone')})) WHEN {_field('region')} <> '' THEN concat(' ', {_field('region')}) ELSE '' END"
+    )
+    clock = f"CASE WHEN {hour} = '' THEN '' ELSE concat(' ', {read}, ':', {_field('minute')}, ':', {or_zeros(_field('second'))}, {zone}) END"
+    found = f"try_cast(concat({_day()}, {clock}) AS timestamp) + CASE WHEN {hour} = '24' THEN INTERVAL 24 HOURS ELSE INTERVAL 0 HOURS END"
+    return f"CASE WHEN rlike(txt, r'{casts.USUAL_STAMP}') THEN try_cast(txt AS timestamp) ELSE {_read(found)} END"
 
 
 def _date() -> str:
-    slow = f"try_cast(regexp_extract({_iso()}, r'{casts.STAMP}', 1) AS date)"
-    return f"CASE WHEN rlike(txt, r'{casts.USUAL_DATE}') THEN try_cast(txt AS date) ELSE {_once('txt', 'txt', slow)} END"
+    return f"CASE WHEN rlike(txt, r'{casts.USUAL_DATE}') THEN try_cast(txt AS date) ELSE {_read(f'try_cast({_day()} AS date)')} END"
 
 
 def _jsonb() -> str:

@@ -153,16 +153,18 @@ cast_query(
     "loose_date", "orders", "o_orderkey", casts.to_date_loose,
     [_DF("yyyy-MM-dd"), _DF("yyyyMMdd"), _DF("MMM d yyyy"), _DF("MMMM d, yyyy"), _DF("M/d/yyyy"), _DF("yyyy"), _DF("HH:mm"), "o_orderpriority",
      _DF("yyyy-MM-dd") + " || 'T23:59:59Z'", _DF("d MMM yyyy"), "''", _DF("MMM-dd-yyyy"), _DF("E, dd MMM yyyy"), _DF("yyyyMMdd") + " || 'T030405Z'",
-     _DF("yyyy-MM-dd") + " || ' 3:04 PM'", _DF("yyyy-MM-dd") + " || ' 24:00:00'"],
-    pick("o_orderkey", *[_DAY_TEXT] * 5, "NULL", "NULL", "NULL", _DAY_TEXT, _DAY_TEXT, "NULL", *[_DAY_TEXT] * 5), "to_date_loose", lambda c: c.cast("string"))
+     _DF("yyyy-MM-dd") + " || ' 3:04 PM'", _DF("yyyy-MM-dd") + " || ' 24:00:00'", _DF("MM/dd/yy"), _DF("dd-MMM-yy"), _DF("yyMMdd"), _DF("yyyyDDD"),
+     f"'J' || (datediff({_D}, DATE'1970-01-01') + 2440588)", "'epoch'", _DF("yyyy-MMM-dd")],
+    pick("o_orderkey", *[_DAY_TEXT] * 5, "NULL", "NULL", "NULL", _DAY_TEXT, _DAY_TEXT, "NULL", *[_DAY_TEXT] * 10, "'1970-01-01'", _DAY_TEXT), "to_date_loose", lambda c: c.cast("string"))
 _TS = lambda hours: f"strftime({_D} + INTERVAL {hours} HOUR, '%Y-%m-%d %H:%M:%S')"
 cast_query(
     "loose_timestamp", "orders", "o_orderkey", casts.to_timestamptz_loose,
     [_DF("yyyy-MM-dd"), _DF("yyyy-MM-dd") + " || 'T05:00:00Z'", _DF("yyyy-MM-dd") + " || ' 05:00+02'", _DF("yyyy-MM-dd") + " || 'T05:00:00.000-0100'",
      _DF("HH:mm"), "o_orderpriority", _DF("MMM d yyyy") + " || ' 7:00'", "''", _DF("yyyy-MM-dd") + " || ' 03:00 PM'", _DF("yyyy-MM-dd") + " || ' 12:00:00 am'",
      _DF("yyyy-MM-dd") + " || ' 03:00 PST'", _DF("yyyyMMdd") + " || 'T050000Z'", _DF("yyyy-MM-dd") + " || ' 24:00'", _DF("E, d MMM yyyy") + " || ' 05:00:00 GMT'",
-     _DF("yyyy-MM-dd") + " || ' 12:00 Asia/Tokyo'"],
-    pick("o_orderkey", _TS(0), _TS(5), _TS(3), _TS(6), "NULL", "NULL", _TS(7), "NULL", _TS(15), _TS(0), _TS(11), _TS(5), _TS(24), _TS(5), _TS(3)), "to_timestamptz_loose",
+     _DF("yyyy-MM-dd") + " || ' 12:00 Asia/Tokyo'", _DF("MM/dd/yy") + " || ' 5:00'", _DF("dd-MMM-yy") + " || ' 3:00 PM EST'", _DF("yyMMdd") + " || ' 05:00'", _DF("yyyyDDD") + " || ' 05:00Z'",
+     f"'J' || (datediff({_D}, DATE'1970-01-01') + 2440588) || ' 24:00'"],
+    pick("o_orderkey", _TS(0), _TS(5), _TS(3), _TS(6), "NULL", "NULL", _TS(7), "NULL", _TS(15), _TS(0), _TS(11), _TS(5), _TS(24), _TS(5), _TS(3), _TS(5), _TS(20), _TS(5), _TS(5), _TS(24)), "to_timestamptz_loose",
     lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss"))
 _Q = "chr(39)"
 cast_query(

@@ -4,7 +4,7 @@ from loadkit.functions import casts, registry
 from loadkit.functions.json import to_jsonb_loose
 
 ROWS = ["true", " N ", "maybe", "12", " 0x1F ", "-0b11", "1_000", "2147483648", "1.5", "1.5d", "1e400", "inf", "NaN", "", "  ", None,
-        "2020-01-02", "20200102", "January 2, 2020", "2020-01-02T10:11:12.25+0130", "12:00", "2020", "['a', None]", "['Cherry\\'s']",
+        "2020-01-02", "20200102", "January 2, 2020", "2020-01-02T10:11:12.25+0130", "12:00", "2020", "1/8/99", "8 Jan 1999 3:04 pm PST", "J2451187", "1999008 24:00", "epoch", "990108", "2010-06-28 12:00 Asia/Tokyo", "\x02\x01", "['a', None]", "['Cherry\\'s']",
         "rock 'n' roll", '["a\\q"]', '["\\ud800"]']
 
 
