@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadkit.functions.casts import once
 from loadkit.functions.json import is_valid_json
 from loadkit.functions.text import col, strip_space
 from loadkit.session import stage
 
-_QUOTE_OR_ESCAPE = re.compile(r'\\.|"', re.DOTALL)
-_CLOSES = re.compile(r"\s*[,}]")
+# White space of any script, as around the marks of a record.
+_SPACES = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The string up to its closing quote, that is the first one before a comma or brace; and a quote with the text before it.
+_STRING = rf'(?s)^(?:[^"\\]++|\\.|"(?!{_SPACES}*+[,}}]))*+"'
+_BARE = r'(?s)\G((?:[^"\\]++|\\.)*+)"'
 
 
 def sanitize(c: Column | str) -> Column:
@@ -24,43 +27,31 @@ def sanitize(c: Column | str) -> Column:
     return F.regexp_replace(t, r'\\([^"\\/bfnrtu])', r"\\\\$1")
 
 
-def escape_bare_quotes(line: str, name: str) -> str:
+def repair_quotes(c: Column | str, name: str = "description") -> Column:
     """B9. Escape quotes inside the named field's string that no comma or brace follows.
 
-    The line comes back unchanged when the field is absent, no string, or never closes.
+    The line comes back unchanged when the field is absent, no string, or never closes; NULL stays NULL.
     """
-    at = line.find(f'"{name}"')
-    opening = re.compile(r':\s*"').match(line, line.find(":", at)) if at >= 0 and line.find(":", at) >= 0 else None
-    if opening is None:
-        return line
-    out, done = [line[: opening.end()]], opening.end()
-    for mark in _QUOTE_OR_ESCAPE.finditer(line, opening.end()):
-        if mark.group() != '"':
-            continue
-        out.append(line[done : mark.start()])
-        done = mark.start()
-        if _CLOSES.match(line, mark.end()):
-            return "".join(out) + line[done:]
-        out.append('\\"')
-        done = mark.end()
-    return line
-
+    c = col(c)
+    # The first place of the name is kept even if no string follows there. The loops give nothing back, so long lines need no stack.
+    quoted_name = rf'(?s)^(?>.*?(?="{re.escape(name)}"))[^:]*+:{_SPACES}*+"'
 
-def repair_quotes(c: Column | str, name: str = "description") -> Column:
-    """B9 as a column; NULL stays NULL and costs nothing."""
+    def from_opening(head: Column) -> Column:
+        return once(F.substring(c, F.length(head) + 1, F.length(c)), lambda rest: once(F.regexp_extract(rest, _STRING, 0), lambda whole: mended(head, rest, whole)))
 
-    @F.pandas_udf("string")
-    def escape(lines: pd.Series) -> pd.Series:
-        return lines.map(lambda line: escape_bare_quotes(line, name), na_action="ignore")
+    def mended(head: Column, rest: Column, whole: Column) -> Column:
+        body = F.substring(whole, F.lit(1), F.length(whole) - 1)
+        fixed = F.concat(head, F.regexp_replace(body, _BARE, r'$1\\"'), F.substring(rest, F.length(whole), F.length(rest)))
+        return F.when((head != "") & (whole != ""), fixed).otherwise(c)
 
-    return escape(col(c))
+    return F.when(c.isNotNull(), once(F.regexp_extract(c, quoted_name, 0), from_opening))
 
 
 def repair_records(df: DataFrame, name: str = "description", line: str = "line") -> DataFrame:
     """B10. Add `record` (JSON text, NULL when beyond repair) and `repaired`.
 
     The record is the text itself after the repair: numbers, key order and spaces stay as they were given. Blank lines give NULL too and are told apart by the caller. A line that is valid after B8 is
-    left as it is; only the others go through Python.
+    left as it is; only the others go through B9.
     """
     df = df.withColumn("__clean", sanitize(line))
     # The row counters keep filters on the outcome above these projections, so each runs once.

@@ -87,8 +87,50 @@ def test_sanitize(column):
     assert column(damage.sanitize, ["a\x00b\tc\x7f", "\\xe9", "\\d\\n\\\"", "\\'", None]) == ["abc", "xe9", '\\\\d\\n\\"', "\\\\'", None]
 
 
+_QUOTE_OR_ESCAPE = re.compile(r'\\.|"', re.DOTALL)
+_CLOSES = re.compile(r"\s*[,}]")
+
+
+def escape_bare_quotes(line: str, name: str) -> str:
+    """B9, mark by mark. Escape quotes inside the named field's string that no comma or brace follows.
+
+    The line comes back unchanged when the field is absent, no string, or never closes.
+    """
+    at = line.find(f'"{name}"')
+    opening = re.compile(r':\s*"').match(line, line.find(":", at)) if at >= 0 and line.find(":", at) >= 0 else None
+    if opening is None:
+        return line
+    out, done = [line[: opening.end()]], opening.end()
+    for mark in _QUOTE_OR_ESCAPE.finditer(line, opening.end()):
+        if mark.group() != '"':
+            continue
+        out.append(line[done : mark.start()])
+        done = mark.start()
+        if _CLOSES.match(line, mark.end()):
+            return "".join(out) + line[done:]
+        out.append('\\"')
+        done = mark.end()
+    return line
+
+
+def test_bare_quotes_as_column(spark, column):
+    rng = random.Random(12)
+    pieces = ['"', '"', "\\", '\\"', ",", "}", " ", "\u00a0", "\x1c", "\n", "a", "é😀", ":", '"description"', '"description":"', '"description" : "', '{"n":1,', '{"description":5,']
+    lines = ["".join(rng.choices(pieces, k=rng.randint(0, 14))) for _ in range(3000)]
+    lines += ['{"description":"' + "".join(rng.choices(pieces, k=rng.randint(0, 9))) + '","n":1}' for _ in range(1000)]
+    lines += ['{"description":"' + 'say "hi" ' * 60_000 + '"}', '{"description":"' + "x" * 500_000 + '" y"}', '{"description":"' + "\\\\" * 200_000, None, ""]
+    want = [x if x is None else escape_bare_quotes(x, "description") for x in lines]
+    assert sum(w != x for w, x in zip(want, lines)) > 300
+    assert column(damage.repair_quotes, lines) == want
+    for name in ("a:b", "a.b", 'x"y'):
+        given = [x and x.replace("description", name) for x in lines[:4000:10]]
+        assert column(lambda c: damage.repair_quotes(c, name), given) == [x and escape_bare_quotes(x, name) for x in given]
+    plan = spark.createDataFrame([("x",)], "x string").select(damage.repair_quotes("x"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_bare_quotes():
-    fix = lambda s: damage.escape_bare_quotes(s, "description")
+    fix = lambda s: escape_bare_quotes(s, "description")
     assert fix('{"description":"say "hi" now","n":1}') == '{"description":"say \\"hi\\" now","n":1}'
     assert fix('{"description": "a\\"b" c"}') == '{"description": "a\\"b\\" c"}'
     for same in ['{"n":1}', '{"description"', '{"description":5}', '{"description":"never', '{"description":"fine","n":1}', '{"description":"a "b']:
