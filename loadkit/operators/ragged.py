@@ -4,19 +4,33 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from loadkit.functions.casts import once
 from loadkit.functions.text import col, full_match, strip_space
 from loadkit.session import broadcast_checked, stage
 
 _MARKS = re.compile(r'\\.|["\[\]{},]', re.DOTALL)
+# A quoted run, closed or not; all but unquoted commas and brackets. The loops give nothing back, so long lines need no stack.
+_QUOTED = r'"(?:[^"\\]++|\\.|\\\z)*+(?:"|\z)'
+_NO_MARK = rf'[^"\\\[\]{{}},]++|\\.|\\\z|{_QUOTED}'
+# The text after a comma up to the next one outside quotes.
+_PIECE = rf'(?s),((?:{_NO_MARK}|[\[\]{{}}])*+)'
+
+
+def _nested(depth: int) -> str:
+    """Text in closed brackets, one within the other up to a depth."""
+    inner = rf"{_NO_MARK}|,|{_nested(depth - 1)}" if depth > 1 else f"{_NO_MARK}|,"
+    return rf"\[(?:{inner})*+\]|\{{(?:{inner})*+\}}"
+
+
+# The text after a comma up to the next one outside quotes and brackets, or up to a bracket that is not closed or lies deeper.
+_FIELD = rf"(?s),((?:{_NO_MARK}|{_nested(3)})*+)"
 
 
 def cut_fields(line: str) -> list[str]:
-    """Cut at commas outside double quotes, brackets and braces; a backslash hides the next character."""
+    """B1 for one line, such as a header: cut at commas outside double quotes, brackets and braces; a backslash hides the next character."""
     fields, start, quoted = [], 0, False
     depth = {"[": 0, "{": 0}
     for mark in _MARKS.finditer(line):
@@ -37,17 +51,71 @@ def cut_fields(line: str) -> list[str]:
     return [*fields, line[start:]]
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _cut_fields(lines: pd.Series) -> pd.Series:
-    return lines.map(cut_fields, na_action="ignore")
-
-
 def split_fields(line: Column | str) -> Column:
-    """B1. Lines with nothing to nest or quote are split by Spark; only the others reach Python."""
+    """B1 over a column, by Spark's own expressions; NULL stays NULL.
+
+    Lines without quotes, backslashes and brackets are plainly split, those with closed brackets up to three deep by one
+    pattern. In the others the depths of the brackets say which commas stand between fields.
+    """
     line = col(line)
-    nested = F.rlike(line, F.lit(r'["\\\[\]{}]'))
-    hard = _cut_fields(F.when(nested, line))
-    return F.when(nested, hard).otherwise(F.split(line, ",", -1))
+    marked = F.rlike(line, F.lit(r'["\\\[\]{}]'))
+
+    def found(pattern: str) -> Column:
+        return F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(pattern), F.lit(1))
+
+    def whole(fields: Column) -> Column:
+        # Where the pattern stopped at a bracket, the fields lack it.
+        walked = once(found(_PIECE), lambda pieces: _joined(pieces, line))
+        return F.when(F.array_join(fields, ",") == line, fields).otherwise(walked)
+
+    return F.when(marked, once(found(_FIELD), whole)).otherwise(F.split(line, ",", -1))
+
+
+def _joined(pieces: Column, line: Column) -> Column:
+    """Pieces put together again wherever the comma between them stands in brackets."""
+    skeleton = F.regexp_replace(line, f"(?s){_NO_MARK}", "")
+
+    def fields(last: Column) -> Column:
+        """`last` holds the index of each field's last piece."""
+        def field(end: Column, place: Column) -> Column:
+            first = F.when(place == 0, F.lit(0)).otherwise(F.get(last, place - 1) + 1)
+            return F.array_join(F.slice(pieces, first + 1, end - first + 1), ",")
+
+        return F.transform(last, field)
+
+    return once(F.concat(_separators(skeleton), F.array(F.size(pieces) - 1)), fields)
+
+
+def _separators(skeleton: Column) -> Column:
+    """Which commas, counted from 0, stand outside all brackets in a text of commas and brackets.
+
+    The text is walked in blocks: adding to an array copies it, so a block's finds are added up first, and the work
+    grows with the text and not with its square.
+    """
+    nothing = F.array().cast("array<int>")
+
+    def state(square: Column, curly: Column, commas: Column, found: Column) -> Column:
+        return F.struct(square.alias("square"), curly.alias("curly"), commas.alias("commas"), found.alias("found"))
+
+    def depth(now: Column, mark: Column, opener: str, closer: str) -> Column:
+        return F.when(mark == opener, now + 1).when(mark == closer, F.greatest(now - 1, F.lit(0))).otherwise(now)
+
+    def step(now: Column, mark: Column) -> Column:
+        comma = mark == ","
+        outside = comma & (now["square"] == 0) & (now["curly"] == 0)
+        return state(
+            depth(now["square"], mark, "[", "]"), depth(now["curly"], mark, "{", "}"), now["commas"] + comma.cast("int"),
+            F.when(outside, F.concat(now["found"], F.array(now["commas"]))).otherwise(now["found"]),
+        )
+
+    def block(now: Column, marks: Column) -> Column:
+        start = state(now["square"], now["curly"], now["commas"], nothing)
+        done = F.aggregate(F.regexp_extract_all(marks, F.lit("."), F.lit(0)), start, step)
+        return once(done, lambda end: state(end["square"], end["curly"], end["commas"], F.concat(now["found"], F.array(end["found"]))))
+
+    blocks = F.regexp_extract_all(skeleton, F.lit(".{1,256}"), F.lit(0))
+    start = state(F.lit(0), F.lit(0), F.lit(0), F.array().cast("array<array<int>>"))
+    return F.flatten(F.aggregate(blocks, start, block, lambda end: end["found"]))
 
 
 def fit_fields(fields: Column | str, width: int, sink: int) -> Column:
