@@ -33,6 +33,15 @@ def test_split_fields(column):
     assert column(ragged.split_fields, [None]) == [None]
 
 
+def test_split_of_long_lines(spark, column):
+    rng = random.Random(6)
+    lines = ["".join(rng.choice('a,,,"[]{}\\') for _ in range(rng.choice([255, 256, 257, 600, 3000]))) for _ in range(40)]
+    lines += ["[" + "a," * 50_000 + "]", '"' + "x," * 50_000 + '",b[', "a," * 50_000 + "[]", "\\," * 50_000 + "{}", "x" * 500_000 + ",[,]"]
+    assert column(ragged.split_fields, lines) == [ragged.cut_fields(x) for x in lines]
+    plan = spark.createDataFrame([("x",)], "x string").select(ragged.split_fields("x"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 @pytest.mark.parametrize("sink, line, want", [
     ("description", "1,[a,b],x", ["1", "[a,b]", "x"]), ("description", "1,t,x,y,z", ["1", "t", "x,y,z"]),
     ("description", "1,t", ["1", "t", ""]), ("description", '1,"a,b",c', ["1", '"a,b"', "c"]),
@@ -83,6 +92,30 @@ def test_jsonish(texts):
     assert [(c[0], r.x, r.jsonish_bad) for c, r in zip(cases, rows)] == cases
 
 
+def test_plain_literals_like_python(spark, column):
+    rng = random.Random(21)
+    pieces = ["'a'", "'it\\'s'", '"say \\"x\\""', "'say \"x\"'", "'\\\\'", "'\\n'", '"\\\\\'"', "'é😀'", "'\\x41'", "'\\u0041'", "'/'", "'k': 1", "'k': 'v'", "'l': [1, 2.5]", "1", "-7", "0", "-0", "01", "1.0",
+              "1.50", "0.00001", "0.25", "1e3", "1_0", "123456789012345678901", "None", "True", "False", "None ", " ", ",", ",", ", ", "[", "]", "{", "}", "(1, 2)", "b'x'", "x", "\t", "\n", "'a' 'b'", "{1, 2}"]
+    boxes = [("[", "]"), ("{", "}")]
+
+    def made(depth):
+        opener, closer = rng.choice(boxes)
+        given = [rng.choice(pieces) if depth == 0 or rng.random() < 0.7 else made(depth - 1) for _ in range(rng.randint(0, 4))]
+        if opener == "{":
+            given = [x if ":" in x[:5] else f"'{rng.choice('abc')}': {x}" for x in given]
+        return opener + rng.choice([", ", ", ", ",", " , "]).join(given) + closer
+
+    lines = [made(rng.randint(0, 3)) for _ in range(3000)]
+    lines += [rng.choice("[{") + "".join(rng.choices(pieces, k=rng.randint(0, 6))) + rng.choice("]}") for _ in range(2000)]
+    lines += ["[" * 300 + "'a'" + "]" * 300, "[" + "'a', " * 20_000 + "1]", "['" + "x" * 500_000 + "']", "['" + "\\'" * 100_000 + "']", "{'a': 1, 'a': 2}", "[1 2]"]
+    got = column(jsonish.plain_literal, lines)
+    assert sum(g is not None for g in got) > 1000
+    assert [(x, g) for x, g in zip(lines, got) if g is not None and (g, False) != jsonish.literal_to_json(x)] == []
+    plain = ["['a', None, True]", "{'k': 'it\\'s', 'n': [1, -2.5, {}]}", "[ 'say \"x\"' ,\n0 ]"]
+    assert column(jsonish.plain_literal, plain) == ['["a", null, true]', '{"k": "it\'s", "n": [1, -2.5, {}]}', '["say \\"x\\"", 0]']
+    assert column(jsonish.plain_literal, [None, "{1,2}", "[broken", "{'a': 1, 'a': 2}", "[1 2]", "[,]", "(1)"]) == [None] * 7
+
+
 def test_sanitize(column):
     assert column(damage.sanitize, ["a\x00b\tc\x7f", "\\xe9", "\\d\\n\\\"", "\\'", None]) == ["abc", "xe9", '\\\\d\\n\\"', "\\\\'", None]
 
