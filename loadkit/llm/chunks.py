@@ -1,7 +1,8 @@
 """Passages that repeat across documents, by content-defined chunking.
 
-A gear hash rolls over the bytes of each whole text; where it falls below a threshold, a chunk ends. The hash sees
-the last 16 bytes only, so equal passages are cut at equal places wherever they stand, and an insertion moves no cut behind
+A gear hash rolls over the bytes of each whole text; where it falls below a threshold, a chunk ends. Where it stays above for
+long, as in text of few different words, it ends where the hash is lowest among its neighbours. Both see nearby bytes
+only, so equal passages are cut alike, but for their first and last few dozen bytes, wherever they stand, and an insertion moves no cut behind
 it. Chunks are compared by digest. Repeated chunks that follow each other make a passage.
 """
 
@@ -19,10 +20,13 @@ from loadkit.llm.common import map_batches, unused
 from loadkit.session import stage
 
 WINDOW = 16
-# Mean distance of cuts, in bytes. A cut that follows another within LEAST bytes does not count; longer chunks are cut at MOST.
-MEAN, LEAST, MOST = 24, 8, 512
-# Bytes of repeated chunks in a row that make a passage.
-PASSAGE = 96
+# Mean distance of cuts, in bytes. A cut that follows another within LEAST bytes does not count.
+MEAN, LEAST = 24, 8
+# Where no cut is this near, the lowest hashes within this distance cut.
+NEAR = 24
+# Words of repeated chunks in a row that make a passage: one of 50 words keeps so many besides the chunks at its edges.
+# In text with fewer spaces than that so many bytes do.
+WORDS, BYTES = 28, 512
 GEAR = np.random.default_rng(9).integers(0, 1 << 32, 256, dtype=np.uint32)
 _BELOW = np.uint32((1 << 32) // MEAN)
 _PIECE = 1 << 22
@@ -53,16 +57,31 @@ def cuts(raw: np.ndarray) -> np.ndarray:
     ends = ends[ends >= WINDOW]
     ends = ends[np.diff(ends, prepend=-LEAST) >= LEAST]
     ends = ends[ends < len(raw)]
-    ends = np.append(ends, len(raw)) if len(raw) else ends
-    sizes = np.diff(ends, prepend=0)
-    if sizes.max(initial=0) > MOST:
-        more = [np.arange(e - s + MOST, e, MOST) for e, s in zip(ends[sizes > MOST], sizes[sizes > MOST])]
-        ends = np.sort(np.concatenate([ends, *more]))
-    return ends
+    edges = np.concatenate(([WINDOW - 1], ends, [len(raw)]))
+    gaps = np.flatnonzero(np.diff(edges) > 2 * NEAR + 1)
+    if len(gaps):
+        ends = np.sort(np.concatenate([ends, *[_lowest(raw, edges[g], edges[g + 1]) for g in gaps]]))
+    return np.append(ends, len(raw)) if len(raw) else ends
+
+
+def _lowest(raw: np.ndarray, start: int, stop: int) -> np.ndarray:
+    """Ends of chunks between two cuts: places whose hash no other one within NEAR places goes below, all of equal ones."""
+    found = [np.zeros(0, np.int64)]
+    for at in range(start, stop - 1, _PIECE):
+        upto = min(stop - 1, at + _PIECE + 2 * NEAR)
+        hashes = gear(raw[at - WINDOW + 1 : upto])[WINDOW - 1 :]
+        if len(hashes) > 2 * NEAR:
+            least, width = hashes, 1
+            while width < 2 * NEAR + 1:
+                step = min(width, 2 * NEAR + 1 - width)
+                least = np.minimum(least[:-step], least[step:])
+                width += step
+            found.append(np.flatnonzero(hashes[NEAR : len(hashes) - NEAR] == least) + at + NEAR + 1)
+    return np.concatenate(found)
 
 
 def _chunk(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    out: dict[str, list] = {n: [] for n in ("doc_id", "mark", "start", "stop", "size", "digest")}
+    out: dict[str, list] = {n: [] for n in ("doc_id", "mark", "start", "stop", "size", "words", "high", "low")}
     held = 0
 
     def flush() -> pa.RecordBatch:
@@ -74,7 +93,7 @@ def _chunk(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         held = 0
         return made
 
-    digest = xxhash.xxh3_64_intdigest
+    digest = xxhash.xxh3_128_digest
     for key, mark, text in zip(*(c.to_pylist() for c in batch.columns)):
         raw = (text or "").encode()
         bytes_of = np.frombuffer(raw, np.uint8)
@@ -84,10 +103,16 @@ def _chunk(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         starts = np.concatenate(([0], ends[:-1]))
         # Places in code points: count the bytes that begin one.
         point = np.concatenate(([0], np.cumsum((bytes_of & 0xC0) != 0x80, dtype=np.int32))) if len(raw) != len(text) else None
-        digests = np.array([digest(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist())], dtype=np.uint64).view(np.int64)
+        digests = np.frombuffer(b"".join([digest(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]), np.int64).reshape(-1, 2)
+        # Equal chunks in a row, as in text that repeats itself, share a row from the first to the last.
+        first = np.flatnonzero(np.concatenate(([True], (digests[1:] != digests[:-1]).any(axis=1))))
+        starts, ends, digests = starts[first], ends[np.append(first[1:], len(ends)) - 1], digests[first]
+        space = (bytes_of == 32) | ((bytes_of >= 9) & (bytes_of <= 13))
+        begun = np.concatenate(([0], np.cumsum(~space & np.concatenate(([True], space[:-1])), dtype=np.int32)))
         # A cut may fall inside a character, which then counts with the chunk where it begins.
         places = (starts, ends) if point is None else (point[starts], point[ends])
-        for name, values in zip(out, (np.full(len(ends), key), np.full(len(ends), mark), *[p.astype(np.int32) for p in places], (ends - starts).astype(np.int32), digests)):
+        given = [np.full(len(ends), key), np.full(len(ends), mark), *[p.astype(np.int32) for p in (*places, ends - starts, begun[ends] - begun[starts])], digests[:, 0], digests[:, 1]]
+        for name, values in zip(out, given):
             out[name].append(values)
         held += len(ends)
         if held > 100_000:
@@ -105,28 +130,33 @@ NO_ID = (1 << 63) - 1
 
 
 def chunked(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, mark, start, stop, size, digest) of every chunk; the mark tells documents apart, repeated rows share it."""
+    """(doc_id, mark, start, stop, size, words, high, low) of every chunk; the mark tells documents apart, repeated rows share it.
+
+    A word counts where it begins; high and low are the halves of a digest of 128 bits. Equal chunks in a row are one row.
+    """
     number = F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID))
     given = docs.select(number.alias("doc_id"), F.xxhash64(F.col(key), F.col(text)).alias("mark"), F.col(text).alias("text"))
-    return given.mapInArrow(_chunks, "doc_id bigint, mark bigint, start int, stop int, size int, digest bigint")
+    return given.mapInArrow(_chunks, "doc_id bigint, mark bigint, start int, stop int, size int, words int, high bigint, low bigint")
 
 
-def passages(docs: DataFrame, text: str = "text", key: str = "doc_id", least: int = PASSAGE) -> DataFrame:
+def passages(docs: DataFrame, text: str = "text", key: str = "doc_id", least_words: int = WORDS, least_bytes: int = BYTES) -> DataFrame:
     """(doc_id, mark, start, stop, n_bytes, first_doc_id, removable): places of repeated passages, in code points.
 
     A chunk repeats if two different documents hold it; one that repeats within a document alone does not.
-    Repeated chunks in a row of `least` bytes or more are a passage, split where `removable` changes: a chunk is removable in
+    Repeated chunks in a row of `least_words` words or `least_bytes` bytes are a passage, split where `removable` changes: a chunk is removable in
     all documents but the one with the smallest id that holds it. Documents without such a passage have no row; null and empty texts
     have none. Repeated rows are one document, as are its places. Ids are integers; null ids stay null and come last. Other
     columns are not read; no rows give no rows.
     """
-    seen = chunked(docs, text, key).groupBy("digest", "size").agg(F.min("mark").alias("low"), F.max("mark").alias("high"), F.min("doc_id").alias("first"))
-    repeated = stage(seen.filter("low <> high").select("digest", "size", "first"), "chunk-repeated")
-    places = chunked(docs, text, key).join(repeated, ["digest", "size"]).select("doc_id", "mark", "start", "stop", "size", "first").distinct()
+    seen = chunked(docs, text, key).groupBy("high", "low").agg(F.min("mark").alias("first_mark"), F.max("mark").alias("last_mark"), F.min("doc_id").alias("first"))
+    repeated = stage(seen.filter("first_mark <> last_mark").select("high", "low", "first"), "chunk-repeated")
+    places = chunked(docs, text, key).join(repeated, ["high", "low"]).select("doc_id", "mark", "start", "stop", "size", "words", "first").distinct()
     by_mark = Window.partitionBy("mark", "doc_id").orderBy("start", "stop")
     runs = places.withColumn("fresh", F.coalesce((F.lag("stop").over(by_mark) != F.col("start")).cast("int"), F.lit(1)))
     runs = runs.withColumn("run", F.sum("fresh").over(by_mark.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = runs.withColumn("total", F.sum("size").over(Window.partitionBy("mark", "doc_id", "run"))).filter(F.col("total") >= least)
+    whole = Window.partitionBy("mark", "doc_id", "run")
+    runs = runs.withColumns({"n_words": F.sum("words").over(whole), "n_bytes": F.sum("size").over(whole)})
+    runs = runs.filter((F.col("n_words") >= least_words) | (F.col("n_bytes") >= least_bytes))
     runs = runs.withColumn("removable", F.col("doc_id") != F.col("first"))
     by_run = Window.partitionBy("mark", "doc_id", "run").orderBy("start", "stop")
     runs = runs.withColumn("turn", F.coalesce((F.lag("removable").over(by_run) != F.col("removable")).cast("int"), F.lit(0)))

@@ -31,7 +31,39 @@ def test_cuts_cover_the_text(text):
     found = pieces(text)
     size = len(text.encode())
     assert [a for a, _ in found] == [0] * bool(found) + [b for _, b in found[:-1]] and (found[-1][1] if found else 0) == size
-    assert all(a < b and b - a <= chunks.MOST for a, b in found)
+    assert all(a < b for a, b in found)
+
+
+def test_cuts_by_their_rule():
+    """Cuts against a plain reading of the rule, place by place."""
+    few = [" ".join(source.choice(["ha", "ho"][: k % 2 + 1]) for _ in range(300)) for k in range(4)]
+    for text in [words(400), words(100) + "a" * 700 + words(50), *few, "word " * 300, "é" * 300, words(30) + " go on" * 200]:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        hashes = {i: plain_hash(raw, i) for i in range(chunks.WINDOW - 1, len(raw))}
+        low = [i for i, h in hashes.items() if h < 2**32 // chunks.MEAN]
+        cut = {i for i, before in zip(low, [-chunks.LEAST - 1, *low]) if i - before >= chunks.LEAST and i + 1 < len(raw)}
+        near = lambda i: range(i - chunks.NEAR, i + chunks.NEAR + 1)
+        more = {i for i in hashes if all(j in hashes and j not in cut and j + 1 < len(raw) and hashes[j] >= hashes[i] for j in near(i))}
+        assert [b for _, b in pieces(text)] == sorted(i + 1 for i in cut | more) + [len(raw)]
+
+
+def test_most_passages_keep_their_chunks():
+    """Recall of passages of 51 words in foreign text, of many different words and of few."""
+    def run(chunked, other):
+        best = now = 0
+        for chunk in chunked:
+            now = now + len(chunk.split()) if chunk in other else 0
+            best = max(best, now)
+        return best
+
+    caught = {False: 0, True: 0}
+    for few in caught:
+        for _ in range(200):
+            passage = words(51) if not few else " ".join(source.choice(names) for names in [words(3).split()] for _ in range(51))
+            texts = [f"{words(30)} {passage} {words(30)}" for _ in range(2)]
+            one, two = ([t.encode()[a:b] for a, b in pieces(t)] for t in texts)
+            caught[few] += run(one, set(two)) >= chunks.WORDS
+    assert caught[False] >= 195 and caught[True] >= 185
 
 
 def test_long_texts_are_cut_as_a_whole(monkeypatch):
@@ -73,7 +105,7 @@ def test_planted_passages_are_found_and_clean_texts_left_alone(docs):
 def test_like_counting_chunks(spark, docs):
     """Passages against a plain count of every chunk's documents."""
     texts = [words(60) for _ in range(30)]
-    texts += [texts[0], texts[1] + " " + texts[2], texts[3][100:], "x" + texts[4], texts[5] + texts[5], "go on " * 200]
+    texts += [texts[0], texts[1] + " " + texts[2], texts[3][100:], "x" + texts[4], texts[5] + texts[5], "go on " * 200, "so go on " * 300, "x" * 2000, "y" + "x" * 900]
     holders = {}
     for i, t in enumerate(texts):
         raw = t.encode()
@@ -88,7 +120,8 @@ def test_like_counting_chunks(spark, docs):
                     runs[-1][1] = b
                 else:
                     runs.append([a, b])
-        want |= {(i, a, b) for a, b in runs if b - a >= chunks.PASSAGE}
+        begins = [k for k in range(len(raw)) if not raw[k : k + 1].isspace() and (k == 0 or raw[k - 1 : k].isspace())]
+        want |= {(i, a, b) for a, b in runs if sum(a <= k < b for k in begins) >= chunks.WORDS or b - a >= chunks.BYTES}
     got = {}
     for r in sorted(chunks.passages(docs(texts)).collect(), key=lambda r: (r.doc_id, r.start)):
         runs = got.setdefault(r.doc_id, [])
