@@ -45,39 +45,33 @@ def gear(raw: np.ndarray) -> np.ndarray:
 
 def cuts(raw: np.ndarray) -> np.ndarray:
     """Ends of the chunks of a text, the last one at its end."""
-    found, at = [], 0
-    while at < len(raw):
+    found, lows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at in range(0, len(raw), _PIECE):
         # The pieces overlap by a window, so long texts are cut as a whole would be.
-        start = max(0, at - WINDOW + 1)
-        hashes = gear(raw[start : at + _PIECE])[at - start :]
-        found.append(np.flatnonzero(hashes < _BELOW) + at + 1)
-        at += _PIECE
-    ends = np.concatenate(found) if found else np.zeros(0, np.int64)
+        start, stop = max(0, at - NEAR - WINDOW + 1), min(len(raw), at + _PIECE + NEAR)
+        hashes = gear(raw[start:stop])
+        found.append(np.flatnonzero(hashes[at - start : at - start + _PIECE] < _BELOW) + at + 1)
+        if len(hashes) > 2 * NEAR:
+            low = np.flatnonzero(hashes[NEAR : len(hashes) - NEAR] == _least(hashes)) + start + NEAR + 1
+            lows.append(low[(low > at) & (low <= at + _PIECE)])
+    ends, low = np.concatenate(found), np.concatenate(lows)
     # The hash is of full windows only from here on.
     ends = ends[ends >= WINDOW]
     ends = ends[np.diff(ends, prepend=-LEAST) >= LEAST]
     ends = ends[ends < len(raw)]
-    edges = np.concatenate(([WINDOW - 1], ends, [len(raw)]))
-    gaps = np.flatnonzero(np.diff(edges) > 2 * NEAR + 1)
-    if len(gaps):
-        ends = np.sort(np.concatenate([ends, *[_lowest(raw, edges[g], edges[g + 1]) for g in gaps]]))
-    return np.append(ends, len(raw)) if len(raw) else ends
-
-
-def _lowest(raw: np.ndarray, start: int, stop: int) -> np.ndarray:
-    """Ends of chunks between two cuts: places whose hash no other one within NEAR places goes below, all of equal ones."""
-    found = [np.zeros(0, np.int64)]
-    for at in range(start, stop - 1, _PIECE):
-        upto = min(stop - 1, at + _PIECE + 2 * NEAR)
-        hashes = gear(raw[at - WINDOW + 1 : upto])[WINDOW - 1 :]
-        if len(hashes) > 2 * NEAR:
-            least, width = hashes, 1
-            while width < 2 * NEAR + 1:
-                step = min(width, 2 * NEAR + 1 - width)
-                least = np.minimum(least[:-step], least[step:])
-                width += step
-            found.append(np.flatnonzero(hashes[NEAR : len(hashes) - NEAR] == least) + at + NEAR + 1)
-    return np.concatenate(found)
+    low = low[(low >= WINDOW + NEAR) & (low + NEAR < len(raw))]
+    low = low[np.searchsorted(ends, low - NEAR) == np.searchsorted(ends, low + NEAR, side="right")]
+    return np.append(np.sort(np.concatenate([ends, low])), len(raw)) if len(raw) else ends
+
+
+def _least(hashes: np.ndarray) -> np.ndarray:
+    """The least of each hash and its NEAR neighbours on either side, where it has as many: built up by doubling."""
+    least, width = hashes, 1
+    while width < 2 * NEAR + 1:
+        step = min(width, 2 * NEAR + 1 - width)
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    return least
 
 
 def _chunk(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
