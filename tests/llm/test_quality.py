@@ -17,14 +17,38 @@ def test_isotonic_like_all_splits():
         assert np.allclose(sorted(set(np.round(want, 9))), sorted(set(np.round(y, 9))))
 
 
-def test_equations_like_one_solve(spark):
-    """Fitting over many tasks gives the scores of a single dense solve."""
+def test_expanded_rows():
     z = quality.expand(np.random.default_rng(2).normal(size=(50, quality.N_STATISTICS)))
     assert z.shape == (50, quality.FEATURES + 1)
     near, far = quality.expand(np.zeros((1, quality.N_STATISTICS)))[0], quality.expand(np.full((1, quality.N_STATISTICS), 3.0))[0]
     assert abs(near[:-1] @ near[:-1] - 1) < 0.15 and abs(near[:-1] @ far[:-1]) < 0.25
 
 
+def test_equations_like_one_solve(spark):
+    """Fitting over many tasks gives the scores of a single dense solve over the same rows, calibrated in the same bins."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    taught = quality.learnable(labels)
+    model = quality.fit(docs.repartition(5), taught)
+    rows = [(quality.statistics(r.text or ""), r.y, r.fold) for r in docs.join(taught, "doc_id").select("text", "y", "fold").collect()]
+    x, y, fold = (np.array(c) for c in zip(*rows))
+    first = fold != 3
+    mean, scale = x[first].mean(axis=0), x[first].std(axis=0)
+    z = quality.expand((x - mean) / np.where(scale > 1e-9, scale, 1.0))
+    # Ridge as least squares with a row for each weight but the constant, whose own penalty is next to nothing.
+    n, f = int(first.sum()), quality.FEATURES
+    penalty = np.sqrt(quality.RIDGE * n * np.append(np.full(f, 1 / f + 1e-9), 1e-9))
+    weights = np.linalg.lstsq(np.vstack([z[first], np.diag(penalty)]), np.append(y[first], np.zeros(f + 1)), rcond=None)[0]
+    assert np.allclose(z @ weights, model.raw(x), atol=1e-4)
+    at = np.clip((z[~first] @ weights - quality.LOW) / (quality.HIGH - quality.LOW) * quality.BINS, 0, quality.BINS - 1).astype(int)
+    bins = np.unique(at)
+    centre = quality.LOW + (bins + 0.5) * (quality.HIGH - quality.LOW) / quality.BINS
+    knots, values = quality.isotonic(centre, np.array([(at == b).sum() for b in bins], float), np.array([y[~first][at == b].sum() for b in bins]))
+    want = np.clip(np.interp(z @ weights, knots, values), 0, 1)
+    # A raw score next to the edge of a bin may fall to either side of it.
+    assert np.mean(np.abs(want - model.score(x)) < 0.01) > 0.99
+
+
 def test_statistics():
     assert quality.statistics("") == quality.statistics(" \n\t") == [0.0] * quality.N_STATISTICS
     for text in ("a", "Ab é. ###\nx x x", "w " * 200_000, "|" * 100_000):
