@@ -137,7 +137,13 @@ def _move_in(spark: SparkSession, staged: str, path: str) -> None:
     for status in fs.listStatus(where):
         name = status.getPath().getName()
         if not name.startswith(("_", ".")):
-            fs.rename(status.getPath(), name_of(f"{path}/{name}"))
+            _rename(fs, status.getPath(), name_of(f"{path}/{name}"))
+
+
+def _rename(fs, source, target) -> None:
+    """Rename a file; a refusal that leaves it unmoved is an error, for what is staged is deleted afterwards."""
+    if not fs.rename(source, target) and (fs.exists(source) or not fs.exists(target)):
+        raise OSError(f"cannot rename {source.toString()} to {target.toString()}")
 
 
 def _put(spark: SparkSession, path: str, text: str) -> None:
@@ -147,7 +153,7 @@ def _put(spark: SparkSession, path: str, text: str) -> None:
     out = fs.create(half, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.rename(half, where)
+    _rename(fs, half, where)
 
 
 def _get(spark: SparkSession, path: str) -> str:

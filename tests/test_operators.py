@@ -182,3 +182,32 @@ def test_broken_changes_leave_the_old_or_the_new_table(spark, tmp, monkeypatch,
         new = [("a", "1", 2), ("b", "2", 1), ("c", "3", 1), ("d", "2", 2)] if kind == "upsert" else old + [("d", "2", 2), ("e", "3", 2)]
         for _ in range(2):
             assert read(root) == sorted(old if when == "before the marker" else new)
+
+
+def test_a_refused_rename_loses_no_rows(spark, tmp, monkeypatch):
+    from loadkit import sinks
+
+    root, given = f"{tmp}/t", lambda k: spark.createDataFrame([(k, "x")], "k int, v string")
+    schema = given(1).schema
+    sinks.append_new(given(1), root, schema, ["k"])
+    plain = sinks._fs
+
+    class Refusing:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, source, target):
+            return not source.getName().endswith(".parquet") and self.fs.rename(source, target)
+
+    def refusing(spark, path):
+        fs, where = plain(spark, path)
+        return Refusing(fs), where
+
+    monkeypatch.setattr(sinks, "_fs", refusing)
+    with pytest.raises(OSError, match="cannot rename"):
+        sinks.append_new(given(2), root, schema, ["k"])
+    monkeypatch.undo()
+    assert sorted(r.k for r in sinks.read_table(spark, root, schema).collect()) == [1, 2]
