@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 
 from loadkit.functions.json import is_valid_json, one_line
 from loadkit.functions.text import strip_space
+from loadkit.operators import blocks
+from loadkit.operators.blocks import ESCAPED, INSIDE, OUTSIDE
 from loadkit.schemas import POSITION
 from loadkit.session import BROADCAST_ROWS, broadcast_checked, stage
 
-OUTSIDE, INSIDE, ESCAPED = 0, 1, 2
 _STATES = (OUTSIDE, INSIDE, ESCAPED)
 _REST_OF_STRING = re.compile(r'[^"\\]*+(?:\\.[^"\\]*+)*+', re.DOTALL)
 _BRACKETS = re.compile(r"[{}\[\]]")
@@ -183,6 +184,35 @@ def _summarise(opener: str, effect_of: Callable[[str], tuple[Effect, ...]] = lin
     return run
 
 
+def _summarise_json(opener: str):
+    """As `_summarise`, for the states of JSON text, all lines of a batch at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, effect = None, _NOTHING
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column("file"), batch.column("block")]
+            first = blocks.firsts(columns)
+            keys = list(zip(*(c.take(pa.array(first)).to_pylist() for c in columns)))
+            fresh = [i for i, key in enumerate(keys) if key[1] == 0 and key != current]
+            found = blocks.effects(blocks.opened(batch.column("line"), first[fresh], opener), first)
+            done = []
+            for key, more in zip(keys, found):
+                if key == current:
+                    effect = chain(effect, more)
+                    continue
+                if current:
+                    done.append((*current, *(v for e in effect for v in e)))
+                current, effect = key, more
+            if done:
+                yield _batch(done, _SUMMARY)
+        if current:
+            yield _batch([(*current, *(v for e in effect for v in e))], _SUMMARY)
+
+    return run
+
+
 def _start_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chain the splits of each file; rows come sorted by file and split, files are not divided.
 
@@ -294,8 +324,8 @@ def reassemble(
     opener: str = "",
     keep_blank: bool = False,
     trim: bool = True,
-    effect_of: Callable[[str], tuple[Effect, ...]] = line_effect,
-    step: Callable[[str, int], tuple[int, int, int]] = walk,
+    effect_of: Callable[[str], tuple[Effect, ...]] | None = None,
+    step: Callable[[str, int], tuple[int, int, int]] | None = None,
     longest: int = LONGEST_RECORD,
 ) -> DataFrame:
     """One row per record: `file`, `block`, `idx` (its order), `record`, `newlines`, `returns`.
@@ -306,10 +336,11 @@ def reassemble(
     A file whose brackets or quotes never balance again is one record from there on; beyond `longest`
     bytes it fails, and the error names the file and the split where the record begins. The last line break of a file
     belongs to a record left open there; it is known from `bytes` and `size`, if `lines` has them. `effect_of` and `step` say
-    what a line does to the state; `trim` takes the white space around records away.
+    what a line does to the state where that is not what JSON does; `trim` takes the white space around records away.
     """
     rows = lines.select(*POSITION, "line")
-    summary = stage(rows.select("file", "block", "line").mapInArrow(_summarise(opener, effect_of), _SUMMARY), "summary")
+    summarise = _summarise(opener, effect_of) if effect_of else _summarise_json(opener)
+    summary = stage(rows.select("file", "block", "line").mapInArrow(summarise, _SUMMARY), "summary")
     in_order = summary.repartition("file").sortWithinPartitions("file", "block")
     starts = in_order.mapInArrow(_start_states, _START)
     starts = stage(starts.join(_last_splits(lines), ["file", "block"], "left").withColumn("ended", F.coalesce("ended", F.lit(False))), "starts")
@@ -318,7 +349,9 @@ def reassemble(
     else:
         known = rows.join(starts, ["file", "block"]).repartition("file", "block").sortWithinPartitions(*POSITION)
     known = known.select("file", "block", "state", "depth", "opened", "ended", "line")
-    pieces = stage(known.mapInArrow(_cut(inside, nested, keep_returns, opener, step), _PIECES), "pieces", ["partial"])
+    names = [field.split()[0] for field in _PIECES.split(", ")]
+    cut = _cut(inside, nested, keep_returns, opener, step) if step else blocks.cut(inside, nested, keep_returns, opener, names)
+    pieces = stage(known.mapInArrow(cut, _PIECES), "pieces", ["partial"])
     partial = pieces.filter("partial")
     sizes = partial.groupBy("file", "block").agg(F.sum(F.octet_length("text")).alias("bytes"))
     over = sizes.filter(F.col("bytes") > longest).orderBy("file", "block").limit(5).collect()
