@@ -25,6 +25,15 @@ _LOW = r"\\u[dD][c-fC-F][0-9a-fA-F]{2}"
 BAD_ESCAPE = rf"{_ODD}(?:\\u0000|{_HIGH}(?!{_LOW}))|(?<!{_HIGH}){_ODD}{_LOW}"
 
 
+# Numbers with a fraction or an exponent, which the reader would round to doubles: what stands before one, and the number.
+_NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?"
+_LOSSY = r"[:\[,{]\s*-?[0-9]+[.eE]"
+_NEXT_LOSSY = rf'\G((?:"(?:[^"\\]++|\\.)*+"|[^"0-9-]++|-?[0-9]++(?![0-9.eE]))*+)({_NUMBER})(?=\s*(?:[,\]}}]|\z))'
+_PARTS = r"^(-?)([0-9]+)(?:\.([0-9]+))?(?:[eE]([+-]?[0-9]+))?\z"
+# Larger exponents stay as written.
+_MOST_ZEROS = 16383
+
+
 def bad_escape(c: Column | str) -> Column:
     c = col(c)
     return F.contains(c, F.lit("\\u")) & F.rlike(c, F.lit(BAD_ESCAPE))
@@ -79,7 +88,7 @@ def json_text(c: Column | str) -> Column:
 def field_text(variant: Column | str, key: str) -> Column:
     """Field as text: strings unquoted, nested values as JSON, null and missing as NULL.
 
-    A variant drops trailing zeros of numbers (`5.0` reads `5`); `parse_records` keeps `5.0`.
+    A variant drops trailing zeros of numbers (`5.0` reads `5`); `parse_records` keeps them.
     """
     return F.try_variant_get(col(variant), f"$.{key}", "string")
 
@@ -132,6 +141,41 @@ def to_jsonb_loose(c: Column | str, strict_first: bool = False) -> Column:
     return F.coalesce(*choices)
 
 
+def plain_number(token: Column | str) -> Column:
+    """A JSON number with its digits as written and its exponent applied: `1.50`, `1e3` as 1000, `-2.0E-3` as -0.0020.
+
+    Zero has no sign. An exponent beyond 16383 either way stays as written.
+    """
+    token = col(token)
+    sign, whole, part, exponent = [F.regexp_extract(token, _PARTS, i) for i in range(1, 5)]
+    digits = F.concat(whole, part)
+    shift = F.coalesce(exponent.try_cast("int"), F.lit(0))
+    point = F.length(whole) + shift
+    size = F.length(digits)
+    moved = (
+        F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+        .when(point >= size, F.concat(digits, F.repeat(F.lit("0"), point - size)))
+        .otherwise(F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, size)))
+    )
+    moved = F.regexp_replace(moved, "^0+(?=[0-9])", "")
+    small = F.when(exponent == "", True).otherwise(F.abs(exponent.try_cast("bigint")) <= _MOST_ZEROS)
+    return F.when(F.coalesce(small, F.lit(False)), F.concat(F.when(F.rlike(digits, F.lit("[1-9]")), sign).otherwise(""), moved)).otherwise(token)
+
+
+def _numbers_as_text(line: Column, mark: Column) -> Column:
+    """The line with each number that has a fraction or an exponent as a string between two marks; the rest is as given."""
+    marked = F.regexp_replace(line, F.lit(_NEXT_LOSSY), F.concat(F.lit('$1"'), mark, F.lit("$2"), mark, F.lit('"')))
+    # Every second piece between marks is a number.
+    plain = F.transform(F.split(marked, mark), lambda piece, i: F.when(i % 2 == 1, plain_number(piece)).otherwise(piece))
+    return F.when(F.rlike(line, F.lit("[0-9][eE]|-0")), F.call_function("array_join", plain, mark)).otherwise(marked)
+
+
+def _unmarked(c: Column, mark: Column) -> Column:
+    for around in (F.concat(F.lit('"'), mark), F.concat(mark, F.lit('"')), mark):
+        c = F.replace(c, around, F.lit(""))
+    return c
+
+
 def parse_records(
     df: DataFrame,
     text: list[str],
@@ -142,24 +186,32 @@ def parse_records(
     """Parse each line once into a struct of the named fields.
 
     Adds `out` (NULL unless the line is a JSON object) and `<out>_ok` (the line is valid JSON of any
-    kind). `text` fields come out as strings with numbers as written in `5` or `5.0`; `json` fields
-    come out as variants, where JSON null and a missing key differ.
+    kind). `text` fields come out as strings, numbers with their digits as written (see `plain_number`); `json` fields
+    come out as variants, where JSON null and a missing key differ. Lines with a fraction or an exponent are read
+    a second time for their text fields, with such numbers as strings.
     """
     c = F.col(line)
     fields = ", ".join([f"`{f}` STRING" for f in text] + [f"`{f}` VARIANT" for f in json])
     digest = _digest(c)
     wrapped = F.concat(F.lit("["), c, F.lit(',{"__digest":"'), digest, F.lit('"}]'))
     parsed = F.from_json(wrapped, f"ARRAY<STRUCT<{fields}, `__digest` STRING>>", STRICT)
+    exact = F.lit(None)
+    if text:
+        as_text = ", ".join(f"`{f}` STRING" for f in text)
+        exact = F.when(F.rlike(c, F.lit(_LOSSY)), F.from_json(_numbers_as_text(c, digest), f"STRUCT<{as_text}>", STRICT))
     items = F.col("__items")
+    given = F.try_element_at(items, F.lit(1))
+    again = [F.coalesce(_unmarked(F.col("__exact")[f], F.col("__sha")), given[f]).alias(f) for f in text]
+    given = F.when(F.col("__exact").isNull(), given).otherwise(F.struct(*again, *[given[f].alias(f) for f in json], given["__digest"].alias("__digest")))
     whole = (F.size(items) == 2) & (F.try_element_at(items, F.lit(2))["__digest"] == F.col("__sha")) & (F.col("__once") >= 0)
     record = F.when(
         whole & ~F.coalesce(bad_escape(c), F.lit(False)) & F.rlike(c, F.lit(r"^\s*\{")),
-        F.try_element_at(items, F.lit(1)),
+        given,
     )
     return (
         # The row counter is not deterministic, so a filter on a field stays above this projection
         # and does not bring a second parse with it.
-        df.withColumns({"__items": parsed, "__sha": digest, "__once": F.monotonically_increasing_id()})
+        df.withColumns({"__items": parsed, "__exact": exact, "__sha": digest, "__once": F.monotonically_increasing_id()})
         .withColumn(out, record)
         # Arrays and scalars are valid too, but have no fields; only lines that gave no record pay.
         .withColumns({
@@ -167,5 +219,5 @@ def parse_records(
         })
         # The second counter keeps a filter on this flag, too, from bringing the check along.
         .withColumn(f"{out}_ok", F.col("__valid") & (F.col("__twice") >= 0))
-        .drop("__items", "__sha", "__once", "__valid", "__twice")
+        .drop("__items", "__exact", "__sha", "__once", "__valid", "__twice")
     )

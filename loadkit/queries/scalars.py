@@ -22,6 +22,16 @@ def _(t, spark):
     return parsed.select("event_id", F.col("rec.k").alias("k_text"), casts.metric_or_null("rec.k").alias("k"), F.col("rec.nothing").alias("missing"))
 
 
+@query("numbers_as_written", """
+    SELECT event_id, event_id || '.50' AS fraction, CAST(event_id * 1000 AS VARCHAR) AS thousands, event_id * 1000 AS metric,
+           CAST(event_id * 10 + 5 AS VARCHAR) AS moved, '[' || event_id || '.10,"' || event_id || '.10"]' AS list FROM events""")
+def _(t, spark):
+    n = F.col("event_id").cast("string")
+    line = F.format_string('{"fraction": %1$s.50, "thousands": %1$se3, "moved": %1$s.5E+1, "list": [%1$s.10, "%1$s.10"]}', n)
+    parsed = json.parse_records(t("events").select("event_id", line.alias("line")), ["fraction", "thousands", "moved", "list"])
+    return parsed.select("event_id", "rec.fraction", "rec.thousands", casts.metric_or_null("rec.thousands").alias("metric"), "rec.moved", "rec.list")
+
+
 @query("json_null_vs_missing", f"""
     SELECT event_id, {pick('event_id', "'null'", "'missing'", "'value'")} AS kind,
            {pick('event_id', 'true', 'false', 'true')} AS has_key FROM events""")

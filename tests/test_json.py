@@ -74,3 +74,25 @@ def test_validity_sees_text_behind_the_value(texts):
     cases = {'1, "x": 2': False, "1, 2": False, '1], "x": [2': False, '1}, {"value": 2': False, "": False, " ": False, "null": True, '"a"': True, " [1] ": True, "{}": True, "01": False, "[1,]": False}
     frame = texts(list(cases)).select("i", J.is_valid_json("x").alias("ok"))
     assert [r.ok for r in sorted(frame.collect(), key=lambda r: r.i)] == list(cases.values())
+
+
+def test_numbers_as_written(texts):
+    """Fractions keep their digits, exponents are applied, whatever stands around them."""
+    numbers = {
+        "1.50": "1.50", "5.0": "5.0", "-0.0": "0.0", "1e3": "1000", "1.50e1": "15.0", "-2.0E-3": "-0.0020", "0.05e1": "0.5", "0e-3": "0.000",
+        "0e5": "0", "12.345e+1": "123.45", "0.1234567890123456789012345": "0.1234567890123456789012345", "1e25": "1" + "0" * 25, "1e99999": "1e99999",
+        "123456789012345678901234567890.10": "123456789012345678901234567890.10", "7": "7",
+    }
+    lines = [f'{{"b":"1.50 \\" 2.5","a": {n} ,"c":[{n},{{"1.5":"1e3"}}],"v":1.50}}' for n in numbers]
+    rows = J.parse_records(texts(lines, "line"), ["a", "b", "c"], ["v"]).selectExpr("i", "rec_ok", "rec.a a", "rec.b b", "rec.c c", "to_json(rec.v) v").orderBy("i").collect()
+    for row, want in zip(rows, numbers.values()):
+        assert row.rec_ok and (row.a, row.b, row.c, row.v) == (want, '1.50 " 2.5', f'[{want},{{"1.5":"1e3"}}]', "1.5")
+
+
+def test_numbers_beside_damage(texts):
+    """What is no JSON stays none, and many numbers in one line are all read."""
+    bad = ['{"a":01.5}', '{1.5:2}', '{"a":1.}', '{"a":.5}', '{"a":1.5.5}', '{"a":--1.5}', '{"a":1.5e}', '{"a":1.5} x']
+    many = '{"a":1.50,"l":[' + ",".join(["2.50", '"x\\"2.5"'] * 20000) + "]}"
+    rows = J.parse_records(texts([*bad, many, '{"a":1.50,"a":2.50}', '{"a":null,"b":1.50}', "1.50"], "line"), ["a", "l"]).selectExpr("i", "rec_ok", "rec.a a", "length(rec.l) n").orderBy("i").collect()
+    assert [(r.rec_ok, r.a) for r in rows] == [(False, None)] * len(bad) + [(True, "1.50"), (True, "2.50"), (True, None), (True, None)]
+    assert rows[len(bad)].n == len(many) - len('{"a":1.50,"l":}')
