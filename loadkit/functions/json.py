@@ -188,21 +188,24 @@ def parse_records(
     Adds `out` (NULL unless the line is a JSON object) and `<out>_ok` (the line is valid JSON of any
     kind). `text` fields come out as strings, numbers with their digits as written (see `plain_number`); `json` fields
     come out as variants, where JSON null and a missing key differ. Lines with a fraction or an exponent are read
-    a second time for their text fields, with such numbers as strings.
+    with such numbers as strings, in a second parse if there are `json` fields too.
     """
     c = F.col(line)
     fields = ", ".join([f"`{f}` STRING" for f in text] + [f"`{f}` VARIANT" for f in json])
     digest = _digest(c)
-    wrapped = F.concat(F.lit("["), c, F.lit(',{"__digest":"'), digest, F.lit('"}]'))
+    # Swapping such a number for a string makes no line valid or invalid. Variants need the numbers themselves, so they take a read of their own.
+    lossy = F.coalesce(F.rlike(c, F.lit(_LOSSY)), F.lit(False))
+    as_text = F.when(lossy, _numbers_as_text(c, digest))
+    wrapped = F.concat(F.lit("["), c if json else F.coalesce(as_text, c), F.lit(',{"__digest":"'), digest, F.lit('"}]'))
     parsed = F.from_json(wrapped, f"ARRAY<STRUCT<{fields}, `__digest` STRING>>", STRICT)
     exact = F.lit(None)
-    if text:
-        as_text = ", ".join(f"`{f}` STRING" for f in text)
-        exact = F.when(F.rlike(c, F.lit(_LOSSY)), F.from_json(_numbers_as_text(c, digest), f"STRUCT<{as_text}>", STRICT))
+    if json and text:
+        exact = F.from_json(as_text, "STRUCT<" + ", ".join(f"`{f}` STRING" for f in text) + ">", STRICT)
     items = F.col("__items")
     given = F.try_element_at(items, F.lit(1))
-    again = [F.coalesce(_unmarked(F.col("__exact")[f], F.col("__sha")), given[f]).alias(f) for f in text]
-    given = F.when(F.col("__exact").isNull(), given).otherwise(F.struct(*again, *[given[f].alias(f) for f in json], given["__digest"].alias("__digest")))
+    read = F.col("__exact") if json else given
+    again = [F.coalesce(_unmarked(read[f], F.col("__sha")), given[f]).alias(f) for f in text]
+    given = F.when(~F.col("__lossy"), given).otherwise(F.struct(*again, *[given[f].alias(f) for f in json], given["__digest"].alias("__digest")))
     whole = (F.size(items) == 2) & (F.try_element_at(items, F.lit(2))["__digest"] == F.col("__sha")) & (F.col("__once") >= 0)
     record = F.when(
         whole & ~F.coalesce(bad_escape(c), F.lit(False)) & F.rlike(c, F.lit(r"^\s*\{")),
@@ -211,7 +214,7 @@ def parse_records(
     return (
         # The row counter is not deterministic, so a filter on a field stays above this projection
         # and does not bring a second parse with it.
-        df.withColumns({"__items": parsed, "__exact": exact, "__sha": digest, "__once": F.monotonically_increasing_id()})
+        df.withColumns({"__items": parsed, "__exact": exact, "__lossy": lossy, "__sha": digest, "__once": F.monotonically_increasing_id()})
         .withColumn(out, record)
         # Arrays and scalars are valid too, but have no fields; only lines that gave no record pay.
         .withColumns({
@@ -219,5 +222,5 @@ def parse_records(
         })
         # The second counter keeps a filter on this flag, too, from bringing the check along.
         .withColumn(f"{out}_ok", F.col("__valid") & (F.col("__twice") >= 0))
-        .drop("__items", "__exact", "__sha", "__once", "__valid", "__twice")
+        .drop("__items", "__exact", "__lossy", "__sha", "__once", "__valid", "__twice")
     )
