@@ -13,17 +13,22 @@ from loadkit.session import stages
 from loadkit.queries.tables import LINE_ORDER, folder
 
 
+# Rows of a file that `write_sorted` makes, about: what one task sorts does not grow with the input.
+FILE_ROWS = 100_000
+
+
 def write_sorted(rows, order, path):
-    """`line` as text files whose names sort as the rows do, as many as the cluster has cores."""
-    ranged = rows.repartitionByRange(rows.sparkSession.sparkContext.defaultParallelism, *order)
+    """`line` as text files whose names sort as the rows do, as many as the cluster has cores, or more so that none has far over FILE_ROWS."""
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // FILE_ROWS))
+    ranged = rows.repartitionByRange(parts, *order)
     sorted_rows = ranged.sortWithinPartitions(*order)
     sorted_rows.select(F.col("line").alias("value")).write.text(path)
     return path
 
 
-def half(spark):
+def half(spark, path):
     """Files of a batch when the files of `write_sorted` make two."""
-    return max(1, spark.sparkContext.defaultParallelism // 2)
+    return max(1, -(-len(spark.read.text(path).inputFiles()) // 2))
 
 
 # Games from customers.
@@ -286,7 +291,7 @@ def _(t, spark):
             "date_format(ts, 'yyyy-MM-dd') || 'T' || date_format(ts, 'HH:mm:ss') || 'Z\"}'")
     write_sorted(t("events").select("event_id", F.expr(line).alias("line")), ["event_id"], f"{root}-in")
     apps = t("events").select(F.col("user_id").cast("string").alias("app_id")).distinct()
-    incremental.stream_fact(spark, f"{root}-in", facts.DAILY_FACT, root, apps, f"{root}-work", files_per_batch=half(spark))
+    incremental.stream_fact(spark, f"{root}-in", facts.DAILY_FACT, root, apps, f"{root}-work", files_per_batch=half(spark, f"{root}-in"))
     return sinks.read_table(spark, root, DAILY.schema).select(
         "app_id", "country_android", F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("ts"), "downloads_iphone")
 
