@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,9 +24,10 @@ from loadkit.llm.common import map_batches, texts_of
 from loadkit.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
-# Candidates of about this many texts, chosen evenly by a hash, teach, and of those at most FIT_CANDIDATES.
-FIT_TEXTS = 200_000
-FIT_CANDIDATES = 20_000
+# Candidates in a row of the packed table the trees are grown from.
+BLOCK = 8192
+# Places between 0 and 1 where a threshold may lie.
+GRID = 4096
 ROUNDS, DEPTH, RATE, BINS = 60, 3, 0.2, 32
 # Precision the calibrated threshold must have on unseen candidates.
 PRECISION = 0.99
@@ -216,32 +217,41 @@ def _leaf(binned: np.ndarray, tree) -> np.ndarray:
     return node - (2**DEPTH - 1)
 
 
-def _grow(binned: np.ndarray, gradient: np.ndarray, hessian: np.ndarray):
+def _histogram(binned: np.ndarray, y: np.ndarray, model: Trees, tree, level: int) -> np.ndarray:
+    """Sums of gradients and Hessians by node of the level, column and bin. Terms are multiples of 2^-20, so the order of sums does not matter."""
+    total = np.full(len(binned), model.base)
+    for grown in model.trees:
+        total += RATE * grown[2][_leaf(binned, grown)]
+    p = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+    column, cut = tree
+    node = np.zeros(len(binned), np.int64)
+    for _ in range(level):
+        node = 2 * node + 1 + (binned[np.arange(len(binned)), column[node]] > cut[node])
+    node -= 2**level - 1
+    columns = binned.shape[1]
+    place = ((node[:, None] * columns + np.arange(columns)) * (BINS + 1) + binned).ravel()
+    sums = [np.bincount(place, np.repeat(np.round(v * 2.0**20) / 2.0**20, columns), 2**level * columns * (BINS + 1)) for v in (p - y, p * (1 - p))]
+    return np.stack(sums, axis=1).reshape(2**level, columns, BINS + 1, 2)
+
+
+def _grow(histogram: Callable[[tuple[np.ndarray, np.ndarray], int], np.ndarray]):
     """One tree: at each node the cut that lowers the loss most, by histograms of gradients."""
     inner = 2**DEPTH - 1
     column, cut = np.zeros(inner, np.int64), np.full(inner, BINS, np.int64)
-    node = np.zeros(len(binned), np.int64)
+    values = np.zeros(2**DEPTH)
     for level in range(DEPTH):
-        for n in range(2**level - 1, 2 ** (level + 1) - 1):
-            mine = np.flatnonzero(node == n)
-            if not len(mine):
-                continue
-            g, h = gradient[mine], hessian[mine]
-            best = (1e-6, 0, BINS)
-            whole = g.sum() ** 2 / (h.sum() + 1.0)
-            for c in range(binned.shape[1]):
-                b = binned[mine, c]
-                gl = np.cumsum(np.bincount(b, g, BINS + 1))[:-1]
-                hl = np.cumsum(np.bincount(b, h, BINS + 1))[:-1]
-                gain = gl**2 / (hl + 1.0) + (g.sum() - gl) ** 2 / (h.sum() - hl + 1.0) - whole
-                gain[(hl < 0.5) | (h.sum() - hl < 0.5)] = 0
-                at = int(gain.argmax())
-                if gain[at] > best[0]:
-                    best = (gain[at], c, at)
-            column[n], cut[n] = best[1], best[2]
-            node[mine] = 2 * n + 1 + (binned[mine, best[1]] > best[2])
-    leaf = node - inner
-    values = -np.bincount(leaf, gradient, 2**DEPTH) / (np.bincount(leaf, hessian, 2**DEPTH) + 1.0)
+        sums = histogram((column, cut), level).cumsum(axis=2)
+        for i in range(2**level):
+            n, (g, h) = 2**level - 1 + i, sums[i, 0, -1]
+            gl, hl = sums[i, :, :-1, 0], sums[i, :, :-1, 1]
+            gain = gl**2 / (hl + 1.0) + (g - gl) ** 2 / (h - hl + 1.0) - g**2 / (h + 1.0)
+            gain[(hl < 0.5) | (h - hl < 0.5)] = 0
+            if gain.max() > 1e-6:
+                column[n], cut[n] = np.unravel_index(gain.argmax(), gain.shape)
+            if level == DEPTH - 1:
+                left = sums[i, column[n], cut[n]]
+                values[2 * i] = -left[0] / (left[1] + 1.0)
+                values[2 * i + 1] = -(g - left[0]) / (h - left[1] + 1.0)
     return column, cut, values
 
 
@@ -253,12 +263,9 @@ def train(rows: np.ndarray, truth: np.ndarray) -> Trees | None:
     x, y = rows[fit], truth[fit].astype(float)
     edges = [np.unique(np.quantile(x[:, i], np.linspace(0, 1, BINS + 1)[1:-1])) for i in range(x.shape[1])]
     model = Trees(edges, float(np.log(y.mean() / (1 - y.mean()))))
-    binned, total = model.binned(x), np.full(len(x), model.base)
+    binned = model.binned(x)
     for _ in range(ROUNDS):
-        p = 1 / (1 + np.exp(-total))
-        tree = _grow(binned, p - y, p * (1 - p))
-        model.trees.append(tree)
-        total += RATE * tree[2][_leaf(binned, tree)]
+        model.trees.append(_grow(lambda tree, level: _histogram(binned, y, model, tree, level)))
     p = model.probability(rows[held])
     for i, kind in enumerate(KINDS):
         mine = rows[held][:, 0] == i
@@ -276,24 +283,90 @@ def _threshold(p: np.ndarray, truth: np.ndarray) -> float:
     return max(0.5, float(p[order][good[-1]])) if len(good) else 2.0
 
 
+def _pack(edges: list[np.ndarray]):
+    """Blocks (bins, kinds, truth) of candidates (x, y)."""
+    shape = Trees(edges)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([np.concatenate(part).tobytes()], pa.binary()) for part in zip(*held)], names=["bins", "kinds", "truth"])
+
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)
+                held.append((shape.binned(x).astype(np.uint8), x[:, 0].astype(np.uint8), batch.column(1).to_numpy().astype(np.uint8)))
+            if sum(len(h[1]) for h in held) >= BLOCK:
+                yield out()
+                held = []
+        if held:
+            yield out()
+
+    return run
+
+
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    for bins, kinds, truth in zip(*(c.to_pylist() for c in batch.columns)):
+        yield np.frombuffer(bins, np.uint8).reshape(len(kinds), -1).astype(np.int64), np.frombuffer(kinds, np.uint8), np.frombuffer(truth, np.uint8)
+
+
+def _summed(blocks: DataFrame, sums: Callable[..., np.ndarray]) -> np.ndarray:
+    """The sum over all blocks, one small array from each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for block in _blocks(batch):
+                total = sums(*block) if total is None else total + sums(*block)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([list(total.shape)], pa.list_(pa.int32()))], names=["total", "shape"])
+
+    rows = blocks.mapInArrow(run, "total binary, shape array<int>").collect()
+    return sum(np.frombuffer(r["total"], np.float64).reshape(r["shape"]) for r in rows)
+
+
 def fit(docs: DataFrame, text: str = "text") -> Trees | None:
-    """Train on candidates of the documents. None, so base spans only, without examples of both classes."""
+    """Train on all candidates of all documents, thresholds on half of them. None, so base spans only, without examples of both classes.
+
+    Every level of every tree is one pass over the packed candidates; a task returns sums by node, column and bin.
+    """
 
     def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [examples(t) for t in texts_of(batch, "text")]
-        flat = [e for one in found for e in one]
+        flat = [e for t in texts_of(batch, "text") for e in examples(t)]
         return pa.RecordBatch.from_arrays([pa.array([[float(v) for v in f] for f, _ in flat], pa.list_(pa.float64())), pa.array([t for _, t in flat], pa.int32())], names=["x", "y"])
 
-    share = int(min(1.0, FIT_TEXTS / max(1, docs.count())) * (1 << 20))
-    some = docs.select(F.col(text).alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) <= share).filter(F.col("text").rlike(r"[0-9@]"))
-    known = stage(map_batches(some, measure, "x array<double>, y int").withColumn("lot", F.xxhash64("x", "y")), "pii-examples")
-    n = known.count()
-    if not n:
+    lot = F.pmod(F.xxhash64("x", "y"), F.lit(2))
+    known = stage(map_batches(docs.select(F.col(text).alias("text")), measure, "x array<double>, y int").withColumn("lot", lot), "pii-examples")
+    learn = known.filter("lot = 0")
+    n, true, width = learn.agg(F.count("*"), F.sum("y"), F.max(F.size("x"))).first()
+    if not n or not 0 < true < n:
         return None
-    part = int(min(1.0, FIT_CANDIDATES / n) * (1 << 20))
-    # Bounded: about FIT_CANDIDATES rows; of more, those with the smallest hashes.
-    rows = known.filter(F.pmod("lot", F.lit(1 << 20)) <= part).orderBy("lot").limit(FIT_CANDIDATES).collect()
-    return train(np.array([r["x"] for r in rows], float), np.array([r["y"] for r in rows]))
+    cuts = [float(q) for q in np.linspace(0, 1, BINS + 1)[1:-1]]
+    quantiles = learn.agg(*[F.percentile(F.col("x")[i], cuts).alias(f"x{i}") for i in range(width)]).first()
+    model = Trees([np.unique(q) for q in quantiles], float(np.log(true / (n - true))))
+    packed = stage(known.filter("lot = 0").select("x", "y").mapInArrow(_pack(model.edges), "bins binary, kinds binary, truth binary"), "pii-learn")
+    for _ in range(ROUNDS):
+        model.trees.append(_grow(lambda tree, level: _summed(packed, lambda bins, _, truth: _histogram(bins, truth.astype(float), model, tree, level))))
+
+    def judged(bins: np.ndarray, kinds: np.ndarray, truth: np.ndarray) -> np.ndarray:
+        total = np.full(len(bins), model.base)
+        for tree in model.trees:
+            total += RATE * tree[2][_leaf(bins, tree)]
+        place = kinds.astype(np.int64) * (GRID + 1) + np.floor(GRID / (1 + np.exp(-np.clip(total, -30, 30)))).astype(np.int64)
+        return np.stack([np.bincount(place, w, len(KINDS) * (GRID + 1)).reshape(len(KINDS), GRID + 1) for w in (truth, np.ones(len(truth)))])
+
+    found = _summed(known.filter("lot = 1").select("x", "y").mapInArrow(_pack(model.edges), "bins binary, kinds binary, truth binary"), judged)
+    for i, kind in enumerate(KINDS):
+        model.thresholds[kind] = _grid_threshold(found[0, i], found[1, i]) if np.ndim(found) else 2.0
+    return model
+
+
+def _grid_threshold(true: np.ndarray, count: np.ndarray) -> float:
+    """Lowest place of the grid from which on the share of true candidates is at least PRECISION; above 1 if there is none."""
+    true, count = (np.cumsum(v[::-1])[::-1] for v in (true, count))
+    good = np.flatnonzero((count > 0) & (true >= PRECISION * count))
+    return max(0.5, float(good[0]) / GRID) if len(good) else 2.0
 
 
 def all_spans(text: str, model: Trees | None) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:

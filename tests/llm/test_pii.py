@@ -96,6 +96,26 @@ def test_more_spans(docs):
     assert pii.all_spans(texts[-2], model)[1] == pii.all_spans(texts[-1], model)[1] == []
 
 
+def test_all_candidates_teach(docs, monkeypatch):
+    """Every candidate of every text is learnt from or judged, those without digits or an at sign too."""
+    texts = corpus() + ["inth rao at mail3 dot example dot com rine"]
+    seen, summed = {}, pii._summed
+
+    def counting(blocks, sums):
+        if not seen:
+            seen["n"] = float(summed(blocks, lambda bins, kinds, truth: np.array([float(len(kinds))]))[0])
+            seen["fit"] = True
+        found = summed(blocks, sums)
+        if found.ndim == 3:
+            seen["n"] += found[1].sum()
+        return found
+
+    monkeypatch.setattr(pii, "ROUNDS", 2)
+    monkeypatch.setattr(pii, "_summed", counting)
+    assert pii.fit(docs(texts)) is not None
+    assert seen["n"] == sum(len(pii.examples(t)) for t in texts)
+
+
 def test_odd_rows(spark, docs):
     rows = [(None, None, "b"), (1, "", "b"), (2, "to a@b.c and a@b.c", "b"), (2, "to a@b.c and a@b.c", "b"), (3, "w " * 200_000 + "+1 (017) 555-7713", "b")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, spans string")
