@@ -59,3 +59,30 @@ def test_partition_selection(k):
     scores, ids = source.integers(0, 4, 30), source.permutation(30)
     want = sorted(range(30), key=lambda i: (-scores[i], ids[i]))[:k]
     assert topk.best_of(scores, ids, k).tolist() == want
+
+
+def test_nothing_is_broadcast_and_lists_are_merged_in_the_task(spark, monkeypatch):
+    """Queries meet all blocks without a join, whose smaller side would go to the driver multiplied by the blocks; a task tells a query's best once for a chunk."""
+    rows = [(i, np.random.default_rng(i).integers(-9, 10, 5).tolist()) for i in range(120)]
+    frame = frame_of(spark, rows)
+    found = topk.search(frame.filter("vec_id % 20 = 0"), frame, 3)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    for block, chunk, group in ((2048, 1 << 22, 1 << 19), (7, 100, 1 << 19), (7, 1 << 22, 10)):
+        for name, value in (("BLOCK", block), ("CHUNK", chunk), ("GROUP", group)):
+            monkeypatch.setattr(topk, name, value)
+        assert run(frame.filter("vec_id % 20 = 0"), frame, 3) == plain([r for r in rows if r[0] % 20 == 0], rows, 3)
+
+
+@pytest.mark.parametrize("size", [3, 1 << 18, 1 << 28, 1 << 40])
+def test_sums_are_exact_and_rare_terms_count(spark, monkeypatch, size):
+    """Each width of sums; most terms are in few vectors, one is in all, and many scores tie."""
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    source = np.random.default_rng(3)
+    rows = []
+    for i in range(90):
+        vector = [int(source.integers(-size, size))] + [0] * 30
+        for t in source.integers(1, 31, 3):
+            vector[t] = int(source.integers(1, 3))
+        rows.append((i % 80, vector))
+    asked = [(q, [min(size, 1 << 20), *rows[q][1][1:]]) for q in (0, 7, 33)] + [(1 << 20, [1] * 31)]
+    assert run(frame_of(spark, asked), frame_of(spark, rows), 8) == plain(asked, rows, 8)
